@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import read_table
+from tallyweave.llm.common import crc_mod, read_table
 
 
 def tokenizer_path() -> str:
@@ -16,12 +16,38 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.langid import fit_language_model, identify_language
+
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 4) == 2
+    model = fit_language_model(docs.where(~held_out))
+    return identify_language(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.quality import CUT_SCORE, fit_quality_model, score_quality
+
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = crc_mod("doc_id", 5) == 0
+    model = fit_quality_model(docs, labels.where(~held_out))
+    scored = score_quality(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= CUT_SCORE).cast("int").alias("predicted"))
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyweave.llm.mixing import mix_sources
 
     return mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op4_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.simhash import hex_column, simhash_duplicates
+
+    found = simhash_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_column("fp").alias("fingerprint"), "component_id")
+
+
 def op5_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyweave.llm.packing import pack_documents
 
