@@ -54,6 +54,41 @@ def op5_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.substring import remove_repeats
+
+    kept = remove_repeats(read_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+#: verdict, host, path
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def page_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """(host, good) of pages whose path names a labelled document: good if of quality and not toxic."""
+    from tallyweave.llm.reputation import host_column, path_column
+
+    numbered = pages.select(host_column("url").alias("host"), F.regexp_extract(path_column("url"), r"/(\d{1,18})(?:/|\.html)?$", 1).alias("number"))
+    known = labels.where("quality is not null or toxic is not null").select(F.col("doc_id").alias("labelled"), ((F.coalesce("quality", F.lit(1)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).alias("good"))
+    return numbered.where("number <> ''").join(known, F.col("number").cast("long") == F.col("labelled")).select("host", "good")
+
+
+def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.reputation import judge_urls
+
+    pages, labels = read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels")
+    return judge_urls(pages.select("page_id", "url"), page_outcomes(pages, labels), URL_RULES).drop("url")
+
+
+def op8_wav_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.media import feature_text, with_media, with_media_features
+
+    rows = with_media_features(with_media(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    stored = [F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature_text().alias("feature")]
+    return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", *stored)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
