@@ -29,6 +29,7 @@ WINDOW_COST, SPLIT_COST, BREAK_COST = 16, 2, 24
 GRID, LONG_GRID = 8, 32
 #: Tokens that are planned together; the last windows of a plan are planned again with what follows.
 BLOCK = 1 << 18
+#: Words in each of a worker's two cache generations.
 CACHED_WORDS = 300_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -45,6 +46,7 @@ class WordTokens(dict):
 
     The tokenizer lower-cases, composes and drops white space, so a text's ids are those of its words in order.
     Plain words (letters, then punctuation) go to the BPE model directly; all others through the whole tokenizer.
+    A full cache becomes the old generation, from which words still in use come back.
     """
 
     def __init__(self, path: str):
@@ -54,12 +56,23 @@ class WordTokens(dict):
         self.model = self.tokenizer.model
         self.characters = _byte_characters()
         self.marks: dict[str, bytes] = {"": b""}
+        self.old: dict[bytes, bytes] = {}
 
     def _model_ids(self, part: str) -> bytes:
         mapped = part if part.isascii() else "".join(map(self.characters.__getitem__, part.encode()))
         return b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped))
 
     def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._ids(word)
+        if len(self) >= CACHED_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+    def _ids(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         low = text.lower()
         stem = low.rstrip(".,!?*&$%#|;:)")
@@ -67,13 +80,18 @@ class WordTokens(dict):
             mark = low[len(stem) :]
             if mark not in self.marks:
                 self.marks[mark] = self._model_ids(mark)
-            ids = self._model_ids(stem) + self.marks[mark]
-        else:
-            ids = b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = ids
-        return ids
+            return self._model_ids(stem) + self.marks[mark]
+        return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+_held: dict[str, WordTokens] = {}
+
+
+def _worker_words(path: str) -> WordTokens:
+    """The cache of this Python worker, which serves all tasks that it runs."""
+    if path not in _held:
+        _held[path] = WordTokens(path)
+    return _held[path]
 
 
 def sentences(text: bytes) -> list[bytes]:
@@ -192,7 +210,7 @@ def pack_documents(
     schema = pa.schema([(x.split()[0], pa.int64()) for x in PIECES.split(", ")])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = Stream(WordTokens(tokenizer_path), end_id, capacity, TaskContext.get().partitionId() << 33)
+        stream = Stream(_worker_words(tokenizer_path), end_id, capacity, TaskContext.get().partitionId() << 33)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
