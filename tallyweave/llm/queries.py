@@ -89,6 +89,14 @@ def op8_wav_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", *stored)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.secrets_scan import scan_secrets, spans_text
+
+    rows = scan_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("base_spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(spans_text("base_spans"), 256).alias("base_sha256"), spans_text("spans").alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
