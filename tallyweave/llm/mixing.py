@@ -187,7 +187,7 @@ def taken_spans(sized: DataFrame, sources: list[Source], seed: int) -> DataFrame
     low, high = F.greatest(edge(F.col("block")) - F.col("began"), F.lit(0)), F.least(edge(F.col("block") + 1) - F.col("began"), F.col("size"))
     placed = placed.select("row", "number", "block", low.alias("low"), high.alias("high")).where("low < high")
     slots = draw_slots(spark, sources, seed).select("number", "round", "block")
-    return placed.join(slots, ["number", "block"]).select("row", "round", "low", "high")
+    return placed.join(slots.hint("merge"), ["number", "block"]).select("row", "round", "low", "high")
 
 
 def _planned(sized: DataFrame, cycle: tuple[int, ...], block_words: int) -> list[Source]:
