@@ -97,6 +97,14 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(spans_text("base_spans"), 256).alias("base_sha256"), spans_text("spans").alias("spans"))
 
 
+def op10_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.sketches import fingerprint_documents, sketch_text
+
+    rows = fingerprint_documents(read_table(spark, sf_dir, "documents"))
+    prints = [sketch_text(F.col("sketch")).alias("fingerprint"), sketch_text(F.col("edited_sketch")).alias("edited_fingerprint")]
+    return rows.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), *prints, "near_edited", "near_next")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
