@@ -45,20 +45,21 @@ def _check(digest: Column) -> Column:
     return F.xxhash64(digest).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _slot(digest: Column, part: Column) -> Column:
-    """The cell of a digest in a part (0 to 2): three bits of it."""
-    return part * PART + F.call_function("shiftrightunsigned", digest, (part * 8 + 3).cast("int")).bitwiseAND(F.lit(PART - 1))
+def _masks() -> Column:
+    """Of each cell, the bits that choose it and what they must be: a digest is in cell b of a part if three bits of it are b."""
+    cells = [(7 << (part * 8 + 3), b << (part * 8 + 3)) for part in range(PARTS) for b in range(PART)]
+    return F.array(*[F.struct(F.lit(mask).cast("long").alias("mask"), F.lit(want).cast("long").alias("want")) for mask, want in cells])
 
 
 def sketch(values: Column) -> Column:
     """The cells of an array of distinct digests."""
 
-    def cell(i: Column) -> Column:
-        own = F.filter(values, lambda d: _slot(d, F.floor(i / PART)) == i)
+    def cell(own: Column, m: Column) -> Column:
         zero = F.struct(F.lit(0).cast("long").alias("c"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("x"))
-        return F.aggregate(own, zero, lambda s, d: F.struct((s["c"] + 1).alias("c"), s["k"].bitwiseXOR(d).alias("k"), s["x"].bitwiseXOR(_check(d)).alias("x")))
+        here = F.filter(own, lambda d: d.bitwiseAND(m["mask"]) == m["want"])
+        return F.aggregate(here, zero, lambda s, d: F.struct((s["c"] + 1).alias("c"), s["k"].bitwiseXOR(d).alias("k"), s["x"].bitwiseXOR(_check(d)).alias("x")))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), cell)
+    return _let(values, lambda own: F.transform(_masks(), lambda m: cell(own, m)))
 
 
 def _subtracted(a: Column, b: Column) -> Column:
@@ -70,12 +71,12 @@ def peel(cells: Column) -> Column:
     start = F.struct(cells.cast(_CELL).alias("cells"), F.array().cast(_FOUND).alias("found"), F.lit(True).alias("go"))
 
     def cleared(state: Column, pure: Column) -> Column:
-        def cell(x: Column, i: Column) -> Column:
-            own = F.filter(pure, lambda p: _slot(p["k"], F.floor(i / PART)) == i)
+        def cell(x: Column, m: Column) -> Column:
+            own = F.filter(pure, lambda p: p["k"].bitwiseAND(m["mask"]) == m["want"])
             return F.aggregate(own, x, lambda s, p: F.struct((s["c"] - p["c"]).alias("c"), s["k"].bitwiseXOR(p["k"]).alias("k"), s["x"].bitwiseXOR(_check(p["k"])).alias("x")))
 
         none = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("go"))
-        some = F.struct(F.transform(state["cells"], cell).alias("cells"), F.concat(state["found"], pure).alias("found"), F.lit(True).alias("go"))
+        some = F.struct(F.zip_with(state["cells"], _masks(), cell).alias("cells"), F.concat(state["found"], pure).alias("found"), F.lit(True).alias("go"))
         return F.when(F.size(pure) == 0, none).otherwise(some)
 
     def step(state: Column, _: Column) -> Column:
