@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.functions.amounts import count_in, parse_amount
-from tallyweave.functions.dates import PERIOD_END, PERIOD_START, in_period, parse_date_text
+from tallyweave.functions.dates import PERIOD_END, PERIOD_START, in_period, month_day, parse_date_text
+from tallyweave.functions.text import collapse
 
 # Labels of rows that are no expense; cells are compared without white space.
 _PERIOD = r"(\d{1,2}(~\d{1,2})?월|\d(~\d)?분기|\d{4}년)"
@@ -70,57 +71,65 @@ def classify_rows(rows: DataFrame, mappings: DataFrame) -> DataFrame:
     return base.withColumn("section", F.sum(starts).over(order)).drop("headers")
 
 
-def typed_candidates(classified: DataFrame) -> DataFrame:
-    """Candidates with spent_on, merchant and amount, and `problem`: the first role that can't be read."""
-    own = classified.where("kind = 'candidate'")
+def typed_rows(classified: DataFrame) -> DataFrame:
+    """Classified rows with spent_on, merchant and amount (scaled), and `problem`: what is wrong with an expense."""
     role = lambda r: _cell(F.col("cells"), F.col("columns"), r)
     amount = parse_amount(role("amount_krw")) * F.col("multiplier")
-    own = own.withColumns({"spent_on": parse_date_text(role("spent_on"), F.col("year_hint") if "year_hint" in classified.columns else None), "amount": amount.cast("decimal(38,6)"), "merchant": F.trim(F.regexp_replace(role("merchant"), r"(?U)\s+", " "))})
-    problem = F.when(F.col("spent_on").isNull(), "spent_on").when(F.col("amount").isNull(), "amount_krw").when(F.col("merchant") == "", "merchant")
-    return own.withColumn("problem", problem)
+    day = parse_date_text(role("spent_on"), F.col("year_hint") if "year_hint" in classified.columns else None)
+    if "year_hint" in classified.columns:
+        day = F.coalesce(day, month_day(role("month"), role("day"), F.col("year_hint")))
+    rows = classified.withColumns({"spent_on": day, "amount": amount.cast("decimal(38,6)"), "merchant": collapse(role("merchant"))})
+    unread = F.when(F.col("spent_on").isNull(), "spent_on").when(F.col("amount").isNull(), "amount_krw").when(F.coalesce("merchant", F.lit("")) == "", "merchant")
+    return rows.withColumn("problem", F.when(F.col("kind") == "early_candidate", "expense before data start").when(F.col("kind") == "candidate", unread))
 
 
-def total_checks(totals: DataFrame, sums: DataFrame, unclear: DataFrame) -> DataFrame:
-    """source, sheet, total_check: matched, absent, ambiguous or mismatch.
+def total_check(sections: Column, whole: Column) -> Column:
+    """matched, absent, ambiguous or mismatch. sections: array of (amount, totals, unread, unclear).
 
-    totals: (source, sheet, section, total; null if unreadable), scaled. sums: (source, sheet, section, amount). unclear:
-    (source, sheet) with unclear totals. A total matches its own section's sum or the whole sheet's.
+    A total matches its own section's sum or the whole sheet's.
     """
-    whole = sums.groupBy("source", "sheet").agg(F.sum("amount").alias("whole"))
     zero = F.lit(0).cast("decimal(38,6)")
-    judged = totals.join(sums, ["source", "sheet", "section"], "left").join(whole, ["source", "sheet"], "left")
-    own, all_ = F.coalesce("amount", zero), F.coalesce("whole", zero)
-    judged = judged.withColumns({"unread": F.col("total").isNull(), "off": F.col("total").isNotNull() & (F.col("total") != own) & (F.col("total") != all_)})
-    found = judged.groupBy("source", "sheet").agg(F.bool_or("off").alias("off"), F.bool_or("unread").alias("unread"))
-    sheets = sums.select("source", "sheet").union(totals.select("source", "sheet")).union(unclear.select("source", "sheet")).distinct()
-    out = sheets.join(found, ["source", "sheet"], "left").join(unclear.select("source", "sheet").distinct().withColumn("unclear", F.lit(True)), ["source", "sheet"], "left")
-    vague = F.coalesce("unclear", F.lit(False))
-    check = F.when(F.coalesce("off", F.lit(False)), "mismatch").when(F.col("off").isNull(), F.when(vague, "ambiguous").otherwise("absent")).when(vague | F.col("unread"), "ambiguous").otherwise("matched")
-    return out.select("source", "sheet", check.alias("total_check"))
+    off = F.exists(sections, lambda s: F.exists(s["totals"], lambda t: (t != F.coalesce(s["amount"], zero)) & (t != F.coalesce(whole, zero))))
+    some = F.exists(sections, lambda s: (F.size(s["totals"]) > 0) | s["unread"])
+    vague = F.exists(sections, lambda s: s["unread"] | s["unclear"])
+    return F.when(off, "mismatch").when(vague, "ambiguous").when(some, "matched").otherwise("absent")
 
 
 def extract_sheets(rows: DataFrame, mappings: DataFrame, start: dt.date = PERIOD_START, end: dt.date = PERIOD_END) -> tuple[DataFrame, DataFrame]:
-    """(records, sheets). records: typed candidates in the period. sheets: counts, total_check and the first problem of each."""
-    classified = classify_rows(rows, mappings)
-    typed = typed_candidates(classified)
-    amounts = typed.groupBy("source", "sheet", "section").agg(F.sum("amount").alias("amount"))
-    read = parse_amount(_cell(F.col("cells"), F.col("columns"), "amount_krw")) * F.col("multiplier")
-    totals = classified.where("kind = 'total'").select("source", "sheet", "section", read.cast("decimal(38,6)").alias("total"))
-    checks = total_checks(totals, amounts, classified.where("kind = 'unclear_total'"))
-    bad = typed.where("problem is not null").select("source", "sheet", "row", "problem")
-    early = classified.where("kind = 'early_candidate'").select("source", "sheet", "row", F.lit("expense before data start").alias("problem"))
-    first = bad.union(early).groupBy("source", "sheet").agg(F.min_by(F.concat_ws(" ", F.concat(F.lit("R"), F.col("row").cast("string")), "problem"), "row").alias("problem"))
+    """(records, sheets). records: typed expenses in the period. sheets: counts, total_check and the first problem of each.
+
+    One pass over the rows: sums by section, then by sheet.
+    """
+    typed = typed_rows(classify_rows(rows, mappings))
+    is_ = lambda kind: F.col("kind") == kind
+    sections = typed.groupBy("source", "sheet", "section").agg(
+        F.sum(F.when(is_("candidate"), F.col("amount"))).alias("amount"), F.collect_list(F.when(is_("total"), F.col("amount"))).alias("totals"),
+        F.bool_or(is_("total") & F.col("amount").isNull()).alias("unread"), F.bool_or(is_("unclear_total")).alias("unclear"),
+        F.count_if(is_("candidate")).alias("candidates"), F.count_if(is_("candidate") & ~in_period(F.col("spent_on"), start, end)).alias("out_of_range"),
+        F.min(F.when(F.col("problem").isNotNull(), F.struct("row", "problem"))).alias("problem"),
+    )
+    folded = sections.groupBy("source", "sheet").agg(F.sum("candidates").alias("candidates"), F.sum("out_of_range").alias("out_of_range"), F.sum("amount").alias("whole"), F.min("problem").alias("first"), F.collect_list(F.struct("amount", "totals", "unread", "unclear")).alias("sections"))
     roles = F.map_keys("columns")
     dated = F.array_contains(roles, "spent_on") | (F.array_contains(roles, "month") & F.array_contains(roles, "day"))
     lacking = ~(dated & F.array_contains(roles, "merchant") & F.array_contains(roles, "amount_krw"))
-    counts = typed.groupBy("source", "sheet").agg(F.count("*").alias("candidates"), F.count_if(~in_period(F.col("spent_on"), start, end)).alias("out_of_range"))
-    sheets = mappings.join(counts, ["source", "sheet"], "left").join(checks, ["source", "sheet"], "left").join(first, ["source", "sheet"], "left")
-    problem = F.when((F.col("layout") == "table") & lacking, "missing required roles").when(~F.col("layout").isin("table", "none"), "unsupported layout").otherwise(F.coalesce("problem", F.when(F.col("total_check") == "mismatch", "total amount mismatch")))
-    sheets = sheets.select("source", "sheet", F.coalesce("candidates", F.lit(0)).alias("candidates"), F.coalesce("out_of_range", F.lit(0)).alias("out_of_range"), F.coalesce("total_check", F.lit("absent")).alias("total_check"), problem.alias("problem"))
-    records = typed.where(in_period(F.col("spent_on"), start, end)).select("source", "sheet", "row", "section", "spent_on", "merchant", "amount")
+    sheets = mappings.join(folded, ["source", "sheet"], "left").withColumn("total_check", total_check(F.coalesce("sections", F.array().cast(folded.schema["sections"].dataType)), F.col("whole")))
+    found = F.when(F.col("first").isNotNull(), F.concat(F.lit("R"), F.col("first.row").cast("string"), F.lit(" "), F.col("first.problem"))).when(F.col("total_check") == "mismatch", "total amount mismatch")
+    problem = F.when((F.col("layout") == "table") & lacking, "missing required roles").when(~F.col("layout").isin("table", "none"), "unsupported layout").otherwise(found)
+    sheets = sheets.select("source", "sheet", F.coalesce("candidates", F.lit(0)).alias("candidates"), F.coalesce("out_of_range", F.lit(0)).alias("out_of_range"), "total_check", problem.alias("problem"))
+    records = typed.where(is_("candidate") & in_period(F.col("spent_on"), start, end)).select("source", "sheet", "row", "section", "spent_on", "merchant", "amount")
     return records, sheets
 
 
+def excluded_rows(classified: DataFrame) -> DataFrame:
+    """source, sheet, row, kind of the rows from data_start on that are no expense."""
+    return classified.where((F.col("row") >= F.col("data_start")) & (F.col("kind") != "candidate")).select("source", "sheet", "row", "kind")
+
+
+def review_flags(records: DataFrame) -> DataFrame:
+    """Records whose amount is not positive: kept, and to be looked at."""
+    return records.where(F.col("amount") <= 0).select("source", "sheet", "row", F.lit("non_positive_amount").alias("flag"))
+
+
 def accept_sources(records: DataFrame, sheets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept records, reports). A source is parsed only if no sheet has a problem and there is a candidate; else none of its records stays."""
     folded = sheets.groupBy("source").agg(
