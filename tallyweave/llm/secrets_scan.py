@@ -25,12 +25,14 @@ KINDS = (
     ("hex", r"[0-9a-f]+", r"[0-9a-f]{32}", 0, 32),
 )
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+#: Letters from common to rare, so that groups of neighbours tell words from random draws.
+_LETTERS = "etaoinsrhldcumfpgwybvkxjqz"
 ALPHABETS = {
     "hex": "0123456789abcdef",
-    "lower": "0123456789abcdefghijklmnopqrstuvwxyz",
-    "upper": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-    "mixed": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
-    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
+    "lower": _LETTERS + "0123456789",
+    "upper": _LETTERS.upper() + "0123456789",
+    "mixed": _LETTERS + "0123456789" + _LETTERS.upper(),
+    "base64": _LETTERS + "0123456789+/-_" + _LETTERS.upper(),
 }
 #: Limit of the share of tokens above a cut that are not random; bins of p; lengths up to which a class goes.
 FALSE_SHARE, BINS, LENGTHS = 0.05, 50, (24, 32, 48, 64, 128)
