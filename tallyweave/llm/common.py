@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +51,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of a value's text, modulo n; a null value counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % n
+
+
+_worker_held: dict = {}
+
+
+def worker_cache(key: object, make: Callable[[], object]) -> object:
+    """A cache of this Python worker, for all tasks that it runs with the same key. One is held at a time, to bound memory."""
+    if key not in _worker_held:
+        _worker_held.clear()
+        _worker_held[key] = make()
+    return _worker_held[key]

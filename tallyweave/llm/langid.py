@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import without
+from tallyweave.llm.common import without, worker_cache
 
 UNKNOWN = "und"
 BUCKETS, DIMENSIONS = 1 << 13, 16
@@ -75,7 +75,7 @@ def _counts(words: list[str], cache: dict[str, list[int]]) -> tuple[np.ndarray,
     return at, (n / max(1, n.sum())).astype(np.float32)
 
 
-def train(texts: list[str], labels: list[str], seed: int = 5, epochs: int = 12, batch: int = 32, rate: float = 20.0) -> LanguageModel:
+def train(texts: list[str], labels: list[str], seed: int = 5, epochs: int = 12, batch: int = 32, rate: float = 20.0, least_steps: int = 1500) -> LanguageModel:
     """Every fifth text is kept for calibration. Each text also trains as two short spans of its words."""
     names = sorted(set(labels))
     if not names:
@@ -93,7 +93,9 @@ def train(texts: list[str], labels: list[str], seed: int = 5, epochs: int = 12,
     fit, held = rows if rows[1] else (rows[0], rows[0])
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weight, bias = np.zeros((DIMENSIONS, len(names)), np.float32), np.zeros(len(names), np.float32)
-    steps, done = max(1, epochs * -(-len(fit) // batch)), 0
+    each = max(1, -(-len(fit) // batch))
+    epochs = max(epochs, -(-least_steps // each))  # small samples are passed more often
+    steps, done = epochs * each, 0
     for _ in range(epochs):
         order = rng.permutation(len(fit))
         for i in range(0, len(order), batch):
@@ -190,18 +192,6 @@ def predict(model: LanguageModel, texts: list[bytes | None], words: _Words | Non
         yield model.labels[int(p.argmax())], score, score < model.threshold
 
 
-_held: dict[bytes, _Words] = {}
-
-
-def _worker_words(model: LanguageModel) -> _Words:
-    """The word cache of this Python worker, which serves all tasks that it runs for the same model."""
-    key = model.logits.tobytes() + model.bias.tobytes()
-    if key not in _held:
-        _held.clear()
-        _held[key] = _Words(model)
-    return _held[key]
-
-
 def identify_language(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
     """Adds lang_pred, score (0 to 1) and lang_rejected, from the whole text alone.
 
@@ -209,14 +199,15 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_column: str =
     rows and other columns pass through; columns with an added column's name are replaced.
     """
 
+    # not deterministic to the optimizer: a filter on what is found must not run the function a second time
     @F.arrow_udf("struct<lang_pred string, score double, lang_rejected boolean>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words = _worker_words(model)
+        words = worker_cache(model.logits.tobytes() + model.bias.tobytes(), lambda: _Words(model))
         for batch in batches:
             rows = list(predict(model, batch.to_pylist(), words))
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "lang_rejected"])
 
     rows = without(docs, "lang_pred", "score", "lang_rejected", "_language")
-    rows = rows.withColumn("_language", found(F.col(text_column).cast("string").cast("binary")))
+    rows = rows.withColumn("_language", found.asNondeterministic()(F.col(text_column).cast("string").cast("binary")))
     return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "_language"], "_language.*")

@@ -22,6 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave.llm.common import worker_cache
+
 CAPACITY = 2048
 #: Costs in padding tokens: of any window, of a cut inside a document, of a cut inside a sentence.
 WINDOW_COST, SPLIT_COST, BREAK_COST = 16, 2, 24
@@ -30,7 +32,7 @@ GRID, LONG_GRID = 8, 32
 #: Tokens that are planned together; the last windows of a plan are planned again with what follows.
 BLOCK = 1 << 18
 #: Words in each of a worker's two cache generations.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -55,12 +57,15 @@ class WordTokens(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.characters = _byte_characters()
-        self.marks: dict[str, bytes] = {"": b""}
+        self.marks: dict[str, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
     def _model_ids(self, part: str) -> bytes:
         mapped = part if part.isascii() else "".join(map(self.characters.__getitem__, part.encode()))
-        return b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped))
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(mapped)])
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
@@ -76,22 +81,18 @@ class WordTokens(dict):
         text = word.decode("utf-8", "replace")
         low = text.lower()
         stem = low.rstrip(".,!?*&$%#|;:)")
-        if stem.isalpha() and "σ" not in low and "ς" not in low and is_normalized("NFC", text):
+        if stem.isalpha() and (text.isascii() or "σ" not in low and "ς" not in low and is_normalized("NFC", text)):
+            ids = self.stems.get(stem)
+            if ids is None:
+                if len(self.stems) >= CACHED_WORDS:
+                    self.stems.clear()
+                    self.marks.clear()
+                self.stems[stem] = ids = self._model_ids(stem)
             mark = low[len(stem) :]
             if mark not in self.marks:
-                self.marks[mark] = self._model_ids(mark)
-            return self._model_ids(stem) + self.marks[mark]
-        return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-
-_held: dict[str, WordTokens] = {}
-
-
-def _worker_words(path: str) -> WordTokens:
-    """The cache of this Python worker, which serves all tasks that it runs."""
-    if path not in _held:
-        _held[path] = WordTokens(path)
-    return _held[path]
+                self.marks[mark] = self._model_ids(mark) if mark else b""
+            return ids + self.marks[mark]
+        return b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
 
 def sentences(text: bytes) -> list[bytes]:
@@ -210,7 +211,7 @@ def pack_documents(
     schema = pa.schema([(x.split()[0], pa.int64()) for x in PIECES.split(", ")])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = Stream(_worker_words(tokenizer_path), end_id, capacity, TaskContext.get().partitionId() << 33)
+        stream = Stream(worker_cache(tokenizer_path, lambda: WordTokens(tokenizer_path)), end_id, capacity, TaskContext.get().partitionId() << 33)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
