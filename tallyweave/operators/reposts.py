@@ -70,9 +70,9 @@ def repost_links(counts: DataFrame) -> DataFrame:
     return repost_pairs(heads).select("a", "b").union(stars)
 
 
-def _joined(links: pd.DataFrame) -> dict:
-    """Union-find over the links: node -> least node."""
-    head: dict = {}
+def _closed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links (expense, a, b) sorted by expense -> (expense, source, component): a union-find of one expense at a time."""
+    current, head = None, {}
 
     def find(x):
         while head.setdefault(x, x) != x:
@@ -80,29 +80,35 @@ def _joined(links: pd.DataFrame) -> dict:
             x = head[x]
         return x
 
-    for a, b in zip(links["a"], links["b"], strict=True):
-        x, y = find(a), find(b)
-        if x != y:
-            head[max(x, y)] = min(x, y)
-    return {x: find(x) for x in list(head)}
+    def closed() -> list[tuple]:
+        return [(current, x, find(x)) for x in list(head)]
+
+    for part in parts:
+        out = []
+        for expense, a, b in part.itertuples(index=False):
+            if expense != current:
+                out += closed()
+                current, head = expense, {}
+            x, y = find(a), find(b)
+            if x != y:
+                head[max(x, y)] = min(x, y)
+        yield pd.DataFrame(out, columns=["expense", "source", "component"])
+    yield pd.DataFrame(closed(), columns=["expense", "source", "component"])
 
 
 def expense_components(counts: DataFrame, pairs: DataFrame) -> DataFrame:
     """expense, source, component (its least source): components of the pairs among the sources of each expense.
 
-    pairs: (a, b), or (expense, a, b) for pairs of one expense only. Transitive closure per expense by union-find.
+    pairs: (a, b), or (expense, a, b) for pairs of one expense only. Links of an expense stream through a union-find, whose
+    state is the expense's sources; links themselves are not held.
     """
     keyed = "expense" in pairs.columns
     x, y = counts.alias("x"), counts.alias("y")
     on = (F.col("x.source") == F.col("p.a")) & (F.col("x.expense") == F.col("p.expense")) if keyed else F.col("x.source") == F.col("p.a")
-    links = pairs.alias("p").join(x, on).join(y, (F.col("y.source") == F.col("p.b")) & (F.col("y.expense") == F.col("x.expense"))).select(F.col("x.expense").alias("expense"), "p.a", "p.b").distinct()
+    links = pairs.alias("p").join(x, on).join(y, (F.col("y.source") == F.col("p.b")) & (F.col("y.expense") == F.col("x.expense"))).select(F.col("x.expense").alias("expense"), "p.a", "p.b")
     expense_type, source_type = counts.schema["expense"].dataType.simpleString(), counts.schema["source"].dataType.simpleString()
-
-    def closed(key: tuple, links: pd.DataFrame) -> pd.DataFrame:
-        found = _joined(links)
-        return pd.DataFrame({"expense": [key[0]] * len(found), "source": list(found), "component": list(found.values())})
-
-    linked = links.groupBy("expense").applyInPandas(closed, f"expense {expense_type}, source {source_type}, component {source_type}")
+    dealt = links.repartition("expense").sortWithinPartitions("expense")
+    linked = dealt.mapInPandas(_closed, f"expense {expense_type}, source {source_type}, component {source_type}")
     return counts.select("expense", "source").join(linked, ["expense", "source"], "left").withColumn("component", F.coalesce("component", "source"))
 
 
