@@ -90,7 +90,8 @@ def read_xlsx(content: bytes) -> Iterator[tuple[str, int, list[str]]]:
 
 def read_workbooks(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """Rows (source: sha256, sheet, row, cells, status) of workbook files. A file that can't be read gives one row with a
-    null sheet and its status: empty, unsupported or unreadable."""
+    null sheet and its status: unsupported or unreadable. Spark's file scan passes over files of no bytes: those are told by
+    their manifest (`container` calls them empty)."""
     files = spark.read.format("binaryFile").load(paths).select("content", F.sha2("content", 256).alias("source"), container(F.col("content")).alias("container"))
     readers = {"zip": read_xlsx, **READERS}
 
@@ -98,7 +99,7 @@ def read_workbooks(spark: SparkSession, paths: list[str] | str) -> DataFrame:
         for part in parts:
             for f in part.itertuples(index=False):
                 out = []
-                status = f.container if f.container in ("empty", "unsupported") else "unreadable"
+                status = "unsupported" if f.container == "unsupported" else "unreadable"
                 if f.container in readers:
                     try:
                         out = [(f.source, s, r, c, "read") for s, r, c in readers[f.container](f.content)]

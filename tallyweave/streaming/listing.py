@@ -38,6 +38,7 @@ def collect_listing(spark: SparkSession, listing: str, ledger: str, checkpoint:
 
 def event_windows(events: DataFrame, late: str = "10 minutes", size: str = "1 hour") -> DataFrame:
     """Counts and sums by event type and window; works on streams (with a watermark) and on tables alike."""
-    rows = events.withWatermark("ts", late) if events.isStreaming else events
+    # a watermark needs an instant
+    rows = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
     out = rows.groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("total"))
     return out.select(F.col("window.start").alias("start"), "event_type", "events", "total")
