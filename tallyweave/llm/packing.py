@@ -4,7 +4,7 @@ Documents are tokenized in input order into one stream. Windows are cut at docum
 and, inside overlong sentences, at a coarse grid. For cut positions c the cheapest cost is
 
     f(j) = penalty(j) + window_cost + min( min f(i) + capacity - (c(j) - c(i)),   0 < c(j) - c(i) <= capacity
-                                           min f(i),                              c(j) - c(i) a power of two )
+                                           min f(i),                              c(j) - c(i) a power of two from 32 )
 
 The first minimum is over a sliding window and is kept by a monotone queue on f(i) + c(i); the second has one
 candidate for each power of two, which needs no padding. No shuffle: each input partition is one ordered stream.
@@ -28,7 +28,9 @@ CAPACITY = 2048
 #: Costs in padding tokens: of any window, of a cut inside a document, of a cut inside a sentence.
 WINDOW_COST, SPLIT_COST, BREAK_COST = 16, 2, 24
 #: Sentence cuts are at least this many tokens apart; longer sentences get cuts at this distance.
-GRID, LONG_GRID = 8, 32
+GRID, LONG_GRID = 20, 32
+#: Windows below the capacity that are no longer than a power of two need no padding; this is the least such length.
+LEAST_POWER = 32
 #: Tokens that are planned together; the last windows of a plan are planned again with what follows.
 BLOCK = 1 << 18
 #: Words in each of a worker's two cache generations.
@@ -55,46 +57,80 @@ class WordTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.characters = _byte_characters()
-        self.marks: dict[str, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        #: ids of letters alone and of marks alone
+        self.stems: dict[bytes | str, bytes] = {}
+        self.marks: dict[bytes | str, bytes] = {}
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
     def _model_ids(self, part: str) -> bytes:
         mapped = part if part.isascii() else "".join(map(self.characters.__getitem__, part.encode()))
         packed = self.packed
-        return b"".join([packed[t.id] for t in self.model.tokenize(mapped)])
+        return b"".join([packed[t.id] for t in self.tokenize(mapped)])
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            ids = self._ids(word)
+            if word.isalpha():  # ASCII letters alone
+                packed = self.packed
+                ids = b"".join([packed[t.id] for t in self.tokenize(word.lower().decode())])
+            else:
+                low = word.lower()
+                stem = low.rstrip(b".,!?*&$%#|;:)")
+                ids = self._plain(stem, low[len(stem) :]) if stem.isalpha() else self._ids(word)
         if len(self) >= CACHED_WORDS:
             self.old = dict(self)
             self.clear()
         self[word] = ids
         return ids
 
+    def _plain(self, stem: bytes | str, mark: bytes | str) -> bytes:
+        """Ids of letters followed by marks, both lower-case."""
+        ids = self.stems.get(stem)
+        if ids is None:
+            if len(self.stems) >= CACHED_WORDS:
+                self.stems.clear()
+                self.marks.clear()
+            self.stems[stem] = ids = self._model_ids(stem if isinstance(stem, str) else stem.decode())
+        if not mark:
+            return ids
+        end = self.marks.get(mark)
+        if end is None:
+            self.marks[mark] = end = self._model_ids(mark if isinstance(mark, str) else mark.decode())
+        return ids + end
+
     def _ids(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         low = text.lower()
         stem = low.rstrip(".,!?*&$%#|;:)")
-        if stem.isalpha() and (text.isascii() or "σ" not in low and "ς" not in low and is_normalized("NFC", text)):
-            ids = self.stems.get(stem)
-            if ids is None:
-                if len(self.stems) >= CACHED_WORDS:
-                    self.stems.clear()
-                    self.marks.clear()
-                self.stems[stem] = ids = self._model_ids(stem)
-            mark = low[len(stem) :]
-            if mark not in self.marks:
-                self.marks[mark] = self._model_ids(mark) if mark else b""
-            return ids + self.marks[mark]
+        if stem.isalpha() and "σ" not in low and "ς" not in low and is_normalized("NFC", text):
+            return self._plain(stem, low[len(stem) :])
         return b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
 
+_SIMPLE = b"abcdefghijklmnopqrstuvwxyz0123456789 \n.,"
+_ASCII = bytes(range(128))
+
+
+def simplified(text: bytes) -> bytes:
+    """A text with the same ids and fewer different words: in ASCII lower case, and with its commas and stops set apart.
+
+    Case goes unless a special token could come of it. Marks are set apart only in texts of letters, digits, white space and
+    single commas and stops, as runs of marks have ids of their own.
+    """
+    if b"<|" in text:
+        return text
+    text = text.lower()
+    other = text.translate(None, _SIMPLE)
+    if other and (len(other) != len(other.translate(None, _ASCII)) or not other.decode("utf-8", "replace").isalpha()):
+        return text
+    if b".." in text or b".," in text or b",," in text or b",." in text:
+        return text
+    return text.replace(b",", b" ,").replace(b".", b" .")
+
+
 def sentences(text: bytes) -> list[bytes]:
     """A text's parts up to line ends and to `.`, `!` or `?` before a space."""
     return text.replace(b". ", b".\n").replace(b"! ", b"!\n").replace(b"? ", b"?\n").split(b"\n")
@@ -106,7 +142,7 @@ def plan_windows(cuts: list[int], costs: list[int], capacity: int = CAPACITY) ->
     costs[j] is the penalty of a cut at cuts[j]. Returns indexes into cuts, without 0.
     """
     where = {c: j for j, c in enumerate(cuts)}
-    powers = [1 << k for k in range(capacity.bit_length()) if 1 << k < capacity]
+    powers = [p for p in (1 << k for k in range(capacity.bit_length())) if LEAST_POWER <= p < capacity]
     best, back = [0] * len(cuts), [0] * len(cuts)
     queue: deque[tuple[int, int, int]] = deque([(0, 0, 0)])
     look = where.get
@@ -148,7 +184,7 @@ class Stream:
     def add(self, doc_id: int | None, text: bytes | None) -> None:
         began, at = self.size, self.size
         get, cuts, costs, last = self.words.__getitem__, self.cuts, self.costs, self.size
-        for sentence in sentences(text or b""):
+        for sentence in sentences(simplified(text or b"")):
             ids = b"".join(map(get, sentence.split()))
             if not ids:
                 continue
