@@ -109,5 +109,39 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+#: Every window of 20 words by its text; a word goes if one of the windows over it has an earlier place.
+_OP6_SQL = r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS place, words FROM d),
+h AS (SELECT doc_id, place, words[place] AS word, CASE WHEN place + 19 <= len(words) THEN md5(array_to_string(words[place:place + 19], ' ')) END AS win FROM w),
+m AS (SELECT *, first_value(doc_id) OVER (PARTITION BY win ORDER BY doc_id, place) AS fd, first_value(place) OVER (PARTITION BY win ORDER BY doc_id, place) AS fp FROM h),
+g AS (SELECT doc_id, place, word, max(CASE WHEN win IS NOT NULL AND (fd <> doc_id OR fp <> place) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM m),
+k AS (SELECT doc_id, CAST(sum(gone) AS BIGINT) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY place) FILTER (gone = 0), '') AS kept FROM g GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON k.doc_id = d.doc_id"""
+
+
+def _concentration_sql(groups: str) -> str:
+    """As reputation._concentration, over a relation of good, n, mean."""
+    return f"""(SELECT CASE WHEN count(*) = 0 OR avg(n) <= 1 OR sum(n * (good / n - mean) * (good / n - mean) / (mean * (1 - mean))) / count(*) <= 1 THEN 10000e0
+ELSE least(10000e0, greatest(1e0, (avg(n) - 1) / (sum(n * (good / n - mean) * (good / n - mean) / (mean * (1 - mean))) / count(*) - 1) - 1)) END FROM {groups} WHERE n > 0 AND mean > 0 AND mean < 1)"""
+
+
+def _op7_sql() -> str:
+    fits = lambda r: f"((host = '{r[1]}' OR host LIKE '%.{r[1]}') AND starts_with(path, '{r[2]}'))"
+    ordered = sorted(URL_RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2]))
+    rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r[1] + r[2]}'" for r in ordered) + " END"
+    said = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r[0]}'" for r in ordered) + " END"
+    return rf"""WITH p AS (SELECT page_id, coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host, coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+o AS (SELECT host, CASE WHEN coalesce(quality, 1) = 1 AND coalesce(toxic, 0) = 0 THEN 1e0 ELSE 0e0 END AS good FROM (SELECT host, regexp_extract(path, '/([0-9]{{1,18}})(?:/|\.html)?$', 1) AS number FROM p) x JOIN labels l ON number <> '' AND CAST(nullif(number, '') AS BIGINT) = l.doc_id WHERE quality IS NOT NULL OR toxic IS NOT NULL),
+h0 AS (SELECT host, sum(good) AS good, sum(n) AS n FROM (SELECT host, 0e0 AS good, 0e0 AS n FROM p UNION ALL SELECT host, good, 1e0 FROM o) GROUP BY host),
+h AS (SELECT *, regexp_extract(host, '([^.]+\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix FROM h0),
+d0 AS (SELECT domain, suffix, sum(good) AS good, sum(n) AS n FROM h GROUP BY 1, 2), s0 AS (SELECT suffix, sum(good) AS good, sum(n) AS n FROM d0 GROUP BY 1),
+s1 AS (SELECT *, (SELECT CASE WHEN sum(n) > 0 THEN (sum(good) + 1) / (sum(n) + 2) ELSE 0.5e0 END FROM s0) AS mean FROM s0), s2 AS (SELECT *, {_concentration_sql("s1")} AS m FROM s1),
+s AS (SELECT suffix, (good + m * mean) / (n + m) AS rate FROM s2),
+d1 AS (SELECT d0.*, s.rate AS mean FROM d0 JOIN s ON s.suffix = d0.suffix), d2 AS (SELECT *, {_concentration_sql("d1")} AS m FROM d1), d AS (SELECT domain, suffix, (good + m * mean) / (n + m) AS rate FROM d2),
+h1 AS (SELECT h.*, d.rate AS mean FROM h JOIN d ON d.domain = h.domain AND d.suffix = h.suffix), h2 AS (SELECT *, {_concentration_sql("h1")} AS m FROM h1),
+h3 AS (SELECT host, good + m * mean AS a, n - good + m * (1 - mean) AS b FROM h2), j AS (SELECT host, a / (a + b) - 1.645e0 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) AS bound FROM h3)
+SELECT page_id, p.host AS host, path, {rule.replace("host ", "p.host ")} AS rule, coalesce({said.replace("host ", "p.host ")}, CASE WHEN bound >= 0.5e0 THEN 'allow' ELSE 'block' END) AS verdict FROM p LEFT JOIN j ON j.host = p.host"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_substring_dedup": _OP6_SQL, "op7_host_reputation": _op7_sql()}
