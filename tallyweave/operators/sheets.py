@@ -34,21 +34,27 @@ def _cell(cells: Column, columns: Column, role: str) -> Column:
     return F.when(at.isNotNull(), F.coalesce(F.get(cells, at), F.lit("")))
 
 
-def row_kind(cells: Column, columns: Column, headers: Column) -> Column:
+def tight_cells(cells: Column) -> Column:
+    """Cells without white space."""
+    return F.transform(cells, lambda c: F.regexp_replace(c, r"(?U)\s+", ""))
+
+
+def row_kind(cells: Column, columns: Column, headers: Column, tight: Column, joined: Column) -> Column:
     """blank, header, subtotal, unclear_total, total, note or candidate; the first that fits.
 
-    headers: array of header rows, each its compact cells joined by U+0001.
+    headers: array of header rows, each its tight cells joined by U+0001. tight, joined: columns of the tight cells and of
+    all their text, so that they are computed once.
     """
-    tight = F.transform(cells, lambda c: F.regexp_replace(c, r"(?U)\s+", ""))
-    joined = F.array_join(tight, "")
+    # all labels of totals have this letter, which few rows hold
+    summed = joined.contains("계")
     empty = lambda *roles: F.array_size(F.filter(F.array(*[_cell(cells, columns, r) for r in roles]), lambda c: c.isNotNull() & (c != ""))) == 0
     identity = ("spent_on", "month", "day", "merchant")
     return (
         F.when(~joined.rlike("[0-9A-Za-z가-힣]") | joined.rlike(f"^(?:{TERMINATOR})$"), "blank")
         .when(F.array_contains(headers, F.array_join(tight, "\u0001")), "header")
-        .when(_any(tight, SUBTOTAL), "subtotal")
-        .when(_any(tight, UNCLEAR_TOTAL), "unclear_total")
-        .when((count_in(cells).isNotNull() & empty(*identity)) | _any(tight, TOTAL), "total")
+        .when(summed & _any(tight, SUBTOTAL), "subtotal")
+        .when(summed & _any(tight, UNCLEAR_TOTAL), "unclear_total")
+        .when((joined.contains("건") & count_in(cells).isNotNull() & empty(*identity)) | (summed & _any(tight, TOTAL)), "total")
         .when(empty(*identity, "amount_krw"), "note")
         .otherwise("candidate")
     )
@@ -60,15 +66,16 @@ def classify_rows(rows: DataFrame, mappings: DataFrame) -> DataFrame:
     Rows above data_start are of section 0; an expense there fails its sheet (kind `early_candidate`).
     """
     base = rows.join(mappings.where("layout = 'table'"), ["source", "sheet"])
-    signature = F.array_join(F.transform("cells", lambda c: F.regexp_replace(c, r"(?U)\s+", "")), "\u0001")
+    signature = F.array_join(tight_cells(F.col("cells")), "\u0001")
     heads = base.where(F.array_contains("header_rows", F.col("row"))).groupBy("source", "sheet").agg(F.collect_set(signature).alias("headers"))
     base = base.join(heads, ["source", "sheet"], "left").withColumn("headers", F.coalesce("headers", F.array().cast("array<string>")))
     base = base.where(F.col("row") > F.coalesce(F.array_max("header_rows"), F.lit(0)))
-    kind = row_kind(F.col("cells"), F.col("columns"), F.col("headers"))
+    base = base.withColumn("_tight", tight_cells(F.col("cells"))).withColumn("_joined", F.array_join("_tight", ""))
+    kind = row_kind(F.col("cells"), F.col("columns"), F.col("headers"), F.col("_tight"), F.col("_joined"))
     base = base.withColumn("kind", kind).withColumn("kind", F.when((F.col("row") < F.col("data_start")) & (F.col("kind") == "candidate"), "early_candidate").otherwise(F.col("kind")))
     order = Window.partitionBy("source", "sheet").orderBy("row")
     starts = ((F.col("kind") == "header") & (F.col("row") >= F.col("data_start"))).cast("int")
-    return base.withColumn("section", F.sum(starts).over(order)).drop("headers")
+    return base.withColumn("section", F.sum(starts).over(order)).drop("headers", "_tight", "_joined")
 
 
 def typed_rows(classified: DataFrame) -> DataFrame:
