@@ -26,6 +26,8 @@ ROUNDS, TRIES = 12, (1, 4, 16, 64, 256, 1024)
 #: A line end, or white space between a sentence's end and one of these letters.
 PARAGRAPH_END = r"\n+|(?<=[.!?])[ \t]+(?=[A-HÀ-Ýa-h])"
 COARSE_RANGES, RANGE_ROWS = 256, 20_000
+#: Ranges up to which their first ids are broadcast.
+MOST_BROADCAST = 10_000
 _CELL = "array<struct<c:bigint,k:bigint,x:bigint>>"
 _FOUND = "array<struct<k:bigint,c:bigint>>"
 
@@ -153,11 +155,13 @@ def with_next_text(docs: DataFrame) -> DataFrame:
         at = F.greatest(F.lit(1), F.least(F.lit(len(cuts) - 1), F.size(F.filter(bounds, lambda c: c <= F.col("doc_id")))))
         place = _let(at, within).cast("long")
     rows = docs.select("doc_id", "text").withColumns({"_range": F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(place), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
-    tops = rows.groupBy("_range").agg(F.max("doc_id").alias("_top")).orderBy(F.desc("_range")).collect()  # a row for each range
-    follow = [(tops[k]["_top"], tops[k]["_range"], tops[k - 1]["_range"]) for k in range(len(tops))]  # the first follows the last range
-    spark = docs.sparkSession
-    heads = spark.createDataFrame(follow, "_top long, _of long, _to long")
-    heads = F.broadcast(heads) if len(follow) <= 10_000 else heads
+    # a row for each range; its first row follows the last of the range above, and the topmost that of the lowest
+    in_order = Window.orderBy("_range")
+    lowest = F.first("_range").over(in_order)
+    tops = rows.groupBy("_range").agg(F.max("doc_id").alias("_top"))
+    heads = tops.select("_top", F.col("_range").alias("_of"), F.coalesce(F.lead("_range").over(in_order), lowest).alias("_to"))
+    if (len(cuts) + 1) * finer <= MOST_BROADCAST:
+        heads = F.broadcast(heads)
     first = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("_top")) & (F.col("_range") == F.col("_of")))
     first = first.select("doc_id", "text", F.col("_to").alias("_range"), "_hash", F.lit(1).alias("_copy"))
     order = Window.partitionBy("_range").orderBy("_copy", F.desc_nulls_last("doc_id"), F.desc("_hash"))
