@@ -60,6 +60,11 @@ def ngrams(word: str) -> list[int]:
     return [zlib.crc32(word.encode()) % BUCKETS, *map(_bucket, parts)]
 
 
+#: ASCII characters that are no letters and no white space, and lower case for the others: a text's words come out shorter and fewer.
+_NO_LETTERS = bytes(b for b in range(128) if not bytes([b]).isalpha() and not bytes([b]).isspace())
+_LOWER = bytes(range(256)).lower()
+
+
 def _normal(word: str) -> str:
     """The letters of a word, lower-cased; its digits and marks tell no language."""
     return "".join(c for c in word.lower() if c.isalpha())
@@ -173,7 +178,7 @@ def predict(model: LanguageModel, texts: list[bytes | None], words: _Words | Non
     """Label, calibrated probability and whether it is rejected, of each text."""
     words = _Words(model) if words is None else words
     for text in texts:
-        own = (text or b"").split()
+        own = (text or b"").translate(_LOWER, _NO_LETTERS).split()
         total = np.zeros(len(model.labels) + 1)
         for i in range(0, len(own), 1 << 16):
             part = own[i : i + (1 << 16)]
