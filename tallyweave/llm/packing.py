@@ -4,7 +4,7 @@ Documents are tokenized in input order into one stream. Windows are cut at docum
 and, inside overlong sentences, at a coarse grid. For cut positions c the cheapest cost is
 
     f(j) = penalty(j) + window_cost + min( min f(i) + capacity - (c(j) - c(i)),   0 < c(j) - c(i) <= capacity
-                                           min f(i),                              c(j) - c(i) a power of two from 32 )
+                                           min f(i),                              c(j) - c(i) a power of two )
 
 The first minimum is over a sliding window and is kept by a monotone queue on f(i) + c(i); the second has one
 candidate for each power of two, which needs no padding. No shuffle: each input partition is one ordered stream.
@@ -27,10 +27,10 @@ from tallyweave.llm.common import worker_cache
 CAPACITY = 2048
 #: Costs in padding tokens: of any window, of a cut inside a document, of a cut inside a sentence.
 WINDOW_COST, SPLIT_COST, BREAK_COST = 16, 2, 24
-#: Sentence cuts are at least this many tokens apart; longer sentences get cuts at this distance.
-GRID, LONG_GRID = 20, 32
-#: Windows below the capacity that are no longer than a power of two need no padding; this is the least such length.
-LEAST_POWER = 32
+#: Every sentence end is a cut; longer sentences also get cuts at this distance.
+LONG_GRID = 32
+#: Windows below the capacity whose length is a power of two need no padding; this is the least such length.
+LEAST_POWER = 1
 #: Tokens that are planned together; the last windows of a plan are planned again with what follows.
 BLOCK = 1 << 18
 #: Words in each of a worker's two cache generations.
@@ -183,7 +183,7 @@ class Stream:
 
     def add(self, doc_id: int | None, text: bytes | None) -> None:
         began, at = self.size, self.size
-        get, cuts, costs, last = self.words.__getitem__, self.cuts, self.costs, self.size
+        get, cuts, costs = self.words.__getitem__, self.cuts, self.costs
         for sentence in sentences(simplified(text or b"")):
             ids = b"".join(map(get, sentence.split()))
             if not ids:
@@ -194,12 +194,9 @@ class Stream:
                 for p in range(at + LONG_GRID, at + n, LONG_GRID):
                     cuts.append(p)
                     costs.append(BREAK_COST)
-                last = cuts[-1]
             at += n
-            if at - last >= GRID:
-                cuts.append(at)
-                costs.append(SPLIT_COST)
-                last = at
+            cuts.append(at)
+            costs.append(SPLIT_COST)
         if cuts[-1] == at and at > began:  # the end id stays with what it ends
             cuts.pop()
             costs.pop()

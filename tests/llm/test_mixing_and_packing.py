@@ -172,3 +172,23 @@ def test_stream_replans_the_end_of_a_block():
             pieces += stream.planned(final=False)
     pieces += stream.planned(final=True)
     assert sum(p[2] for p in pieces) == n and stream.size == 0
+
+
+def test_every_sentence_end_is_a_cut_and_every_power_of_two_needs_no_padding():
+    words = packing.WordTokens(queries.tokenizer_path())
+    stream = packing.Stream(words, 1, 2048, 0)
+    sentence = [b"one two three.", b"four!", b"five " * 70 + b"end."]
+    stream.add(7, b" ".join(sentence * 3))
+    sizes = [len(tokenizer().encode(s.decode(), add_special_tokens=False).ids) for s in sentence * 3]
+    ends = np.cumsum(sizes).tolist()
+    assert set(ends[:-1]) < set(stream.cuts) and stream.cuts[-1] == ends[-1] + 1
+    for p in (1, 2, 4, 8, 16):
+        cuts, costs = [0, 1024, 2048, 2048 + p], [0, 2, 2, 0]
+        assert packing.plan_windows(cuts, costs) == [2, 3]
+    rng = np.random.default_rng(5)
+    for _ in range(30):
+        cuts = [0, *np.cumsum(rng.integers(1, 12, 60)).tolist()]
+        costs = [0, *rng.choice([0, 2, 24], 60).tolist()]
+        path = [0, *packing.plan_windows(cuts, costs, 32)]
+        gaps = [(cuts[j] - cuts[i], costs[j]) for i, j in zip(path, path[1:], strict=False)]
+        assert sum((0 if n & (n - 1) == 0 else 32 - n) + c + packing.WINDOW_COST for n, c in gaps) == plain_plan(cuts, costs, 32)
