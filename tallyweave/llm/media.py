@@ -2,8 +2,10 @@
 
 A text's bytes, padded by zeros to a multiple of 64, are the samples of a mono 8-bit WAV file, written and read back by
 the wave module. A short-time Fourier transform of the samples gives, for each frame and frequency band, a strongest bin;
-those that no neighbouring frame exceeds are peaks. Each peak is paired with the peaks that follow it. The fingerprint is
-two arrays: the time (frame) of each pair, and its code from both bins and the distance in time.
+those that no neighbouring frame exceeds are peaks. Payloads that fit one frame are cut into shorter ones, of at most a
+quarter of their length. Each peak is paired with the peaks that follow it. If a text has no such pair, peaks of different bands are paired within their frames, and if there are none either, each
+peak with itself; so every text with a peak has a fingerprint. The fingerprint is two arrays: the time (frame) of each pair,
+and its code from both bins and the distance in time.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ UNIT, RATE = 64, 8000
 FRAME, HOP, BANDS = 256, 128, 4
 #: A peak is paired with so many of the next peaks, at most so many frames later.
 FAN, REACH = 2, 31
-_HANN = np.hanning(FRAME + 1)[:FRAME]
 _BAND = FRAME // 2 // BANDS
 
 
@@ -45,20 +46,30 @@ def from_wav(media: bytes) -> bytes:
         return w.readframes(w.getnframes())
 
 
+def frame_length(samples: int) -> int:
+    """FRAME; for samples that fit one such frame, the largest power of two up to a quarter of them, 16 at least."""
+    return FRAME if samples > FRAME else max(16, 1 << max(1, samples // 4).bit_length() - 1)
+
+
+_HANN = {n: np.hanning(n + 1)[:n] for n in (16, 32, 64, FRAME)}
+
+
 def peak_pairs(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(times, codes) of 8-bit samples; code = (first bin * 128 + second bin) * 32 + frames between."""
+    """(times, codes) of 8-bit samples; code = (first bin * 128 + second bin) * 32 + frames between, 0 within a frame."""
     x = np.frombuffer(samples, np.uint8).astype(np.float32) - 128
-    frames = 1 + -(-max(0, len(x) - FRAME) // HOP)
-    x = np.pad(x, (0, FRAME + HOP * (frames - 1) - len(x)))
-    windows = np.lib.stride_tricks.sliding_window_view(x, FRAME)[::HOP]
-    power = np.abs(np.fft.rfft(windows * _HANN, axis=1)[:, 1:]).reshape(frames, BANDS, _BAND)
+    shorter = FRAME // frame_length(len(x))
+    frame, hop, width = FRAME // shorter, HOP // shorter, _BAND // shorter
+    frames = 1 + -(-max(0, len(x) - frame) // hop)
+    x = np.pad(x, (0, frame + hop * (frames - 1) - len(x)))
+    windows = np.lib.stride_tricks.sliding_window_view(x, frame)[::hop]
+    power = np.abs(np.fft.rfft(windows * _HANN[frame], axis=1)[:, 1:]).reshape(frames, BANDS, width)
     best = power.argmax(2)
     # rounded, so that the order of equal peaks does not hang on the last bits
     height = np.round(np.take_along_axis(power, best[:, :, None], 2)[:, :, 0], 2)
     edge = np.zeros((1, BANDS))
     peak = (height > 0) & (height > np.vstack([edge, height[:-1]])) & (height >= np.vstack([height[1:], edge]))
     time, band = np.nonzero(peak)
-    code = band * _BAND + best[time, band]
+    code = band * _BAND + (best[time, band] + 1) * shorter - 1  # of the same frequency in frames of FRAME
     first, second, gap = [], [], []
     for k in range(1, FAN + BANDS):
         d = time[k:] - time[:-k]
@@ -72,6 +83,14 @@ def peak_pairs(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     begins = np.searchsorted(first, first)
     keep = np.arange(len(first)) - begins < FAN
     first, second, gap = first[keep], second[keep], gap[keep]
+    if not len(first) and len(time):
+        here = [np.flatnonzero(time[k:] == time[:-k]) for k in range(1, BANDS)]
+        first, second = np.concatenate(here), np.concatenate([h + k for k, h in enumerate(here, 1)])
+        if not len(first):
+            first = second = np.arange(len(time))
+        order = np.lexsort((second, first))
+        first, second = first[order], second[order]
+        gap = np.zeros(len(first), np.int64)
     return time[first], (code[first] * (FRAME // 2) + code[second]) * (REACH + 1) + gap
 
 

@@ -1,5 +1,6 @@
 import hashlib
 import io
+import itertools
 import re
 import wave
 import zlib
@@ -146,3 +147,16 @@ def test_media_query(spark):
         assert r["media_bytes"] == len(file) == 44 + r["payload_bytes"] and r["media_sha256"] == hashlib.sha256(file).hexdigest()
         assert by_text.setdefault(texts[r["doc_id"]], r["feature"]) == r["feature"]
     assert len(by_text) > 100 and len(set(by_text.values())) == pytest.approx(len(by_text), abs=20)
+
+
+def test_every_text_with_a_peak_has_a_fingerprint():
+    words = ["line", "song", "the tree", "our river", "letters of", "water in", "paths"]
+    short = [" ".join(p).encode() for p in [*itertools.permutations(words, 5)][::100]]
+    for text in [None, b"", b"x", b"a" * 256, b"a" * 64, b"ab" * 128, *short]:
+        times, codes = media.peak_pairs(media.from_wav(media.to_wav(text)))
+        assert len(times) == len(codes) > 0 and (np.diff(times) >= 0).all()
+    prints = {text: tuple(media.peak_pairs(media.from_wav(media.to_wav(text)))[1]) for text in short}
+    assert len(set(prints.values())) > 0.8 * len(short)
+    # more than one frame, peaks in the first alone
+    times, codes = media.peak_pairs(b"\xff" * 64 + bytes([128]) * 1000)
+    assert len(times) and (codes % (media.REACH + 1) == 0).all()
