@@ -45,7 +45,7 @@ def _mapped(convert) -> object:
 
 _normalized = _mapped(lambda v: " ".join(unicodedata.normalize("NFC", v).split()).casefold())
 _compact = _mapped(lambda v: "".join(unicodedata.normalize("NFC", v).split()))
-_searchable = _mapped(lambda v: unicodedata.normalize("NFKC", v).strip().lower())
+_searchable = _mapped(lambda v: searchable_form(v))
 _unescaped = _mapped(html.unescape)
 
 
@@ -59,6 +59,10 @@ def compact(value: Column) -> Column:
     return _compact(value)
 
 
+def searchable_form(value: str) -> str:
+    return unicodedata.normalize("NFKC", value).strip().lower()
+
+
 def searchable(value: Column) -> Column:
     """NFKC, stripped, lower case."""
     return _searchable(value)

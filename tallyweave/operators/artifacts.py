@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyweave.tables import in_ranges
+
 
 class Stale(ValueError):
     """A stored output whose inputs, or schema version, are no longer what it was made of."""
@@ -70,16 +72,18 @@ def report_or_remove(incidents: DataFrame, path: str) -> int:
 
 
 def chunked(entries: DataFrame, size: str, most: int, order: str) -> DataFrame:
-    """entries with `part`: files of at most `most` bytes (about; larger entries alone), by the running sum of sizes in ranges of the order."""
-    from pyspark.sql import Window
-
-    parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = entries.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id())
-    sums = dealt.groupBy("_part").agg(F.sum(size).alias("m"))
-    base = sums.select("_part", (F.sum("m").over(Window.orderBy("_part")) - F.col("m")).alias("_base"))
-    upto = F.sum(size).over(Window.partitionBy("_part").orderBy(order)) + F.col("_base")
-    rows = dealt.join(F.broadcast(base), "_part").withColumn("part", F.floor((upto - F.col(size)) / most) + 1)
-    return rows.drop("_part", "_base")
+    """entries with `part`: files of at most `most` bytes (an entry larger than that alone), ascending with the order.
+
+    By the running sum of sizes, from ranges of the order, so no task walks all entries: a file takes the entries that lie
+    within one stretch of `most` bytes, and an entry across two stretches is a file of its own. Numbers may have gaps.
+    """
+    dealt = in_ranges(entries, [F.col(order)], "_part")
+    sums = dealt.groupBy("_part").agg(F.sum(size).alias("_m"))
+    base = sums.select("_part", (F.sum("_m").over(Window.orderBy("_part")) - F.col("_m")).alias("_base"))
+    rows = dealt.withColumn("_upto", F.sum(size).over(Window.partitionBy("_part").orderBy(order))).join(F.broadcast(base), "_part")
+    upto = F.col("_upto") + F.col("_base")
+    first, last = F.floor((upto - F.col(size)) / most), F.floor((upto - 1) / most)
+    return rows.withColumn("part", 2 * first + F.when(last > first, 2).otherwise(1)).drop("_part", "_base", "_upto")
 
 
 def zipped(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:

@@ -7,10 +7,11 @@ a null branch or address is unknown, an empty branch is none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.functions.keys import business_id
+from tallyweave.tables import numbered
 
 
 def place(x: Column) -> Column:
@@ -113,10 +114,5 @@ def first_spellings(names: DataFrame) -> DataFrame:
 
 def number_batches(keys: DataFrame, size: int = 40) -> DataFrame:
     """keys (key, distinct) in order, with batch and index; numbered by ranges of keys, whose counts give the offsets."""
-    dealt = keys.repartitionByRange(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key").withColumn("_part", F.spark_partition_id())
-    # a range's first number is the count of the ranges before it
-    counts = dealt.groupBy("_part").agg(F.count("*").alias("n"))
-    base = counts.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_base"))
-    at = F.row_number().over(Window.partitionBy("_part").orderBy("key")) - 1 + F.col("_base")
-    rows = dealt.join(F.broadcast(base), "_part").withColumn("_at", at)
-    return rows.select("key", F.floor(F.col("_at") / size).alias("batch"), (F.col("_at") % size).alias("index"))
+    at = F.col("_at") - 1
+    return numbered(keys.select("key"), [F.col("key")], "_at").select("key", F.floor(at / size).alias("batch"), (at % size).alias("index"))

@@ -46,16 +46,23 @@ def disagreements(left: DataFrame, right: DataFrame, key: str, left_value: str,
 def precedence(records: DataFrame, key: str, layers: list[tuple[str, DataFrame]], pending: str = "pending") -> DataFrame:
     """records with status and evidence (the layer's name): of the first layer that has the key; else pending.
 
-    layers: (name, (key, status)), from the strongest on.
+    layers: (name, (key, status)), from the strongest on. A key that a layer has several times counts once there, with the
+    least of its statuses (`layer_conflicts` lists those that differ), so records are never multiplied.
     """
     out = records
     for name, layer in layers:
-        out = out.join(layer.select(F.col(key).alias(f"_{name}"), F.col("status").alias(f"_status_{name}")), F.col(key) == F.col(f"_{name}"), "left")
+        once = layer.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"_{name}")).agg(F.min("status").alias(f"_status_{name}"))
+        out = out.join(once, F.col(key) == F.col(f"_{name}"), "left")
     status = F.coalesce(*[F.col(f"_status_{n}") for n, _ in layers], F.lit(pending))
     evidence = F.coalesce(*[F.when(F.col(f"_status_{n}").isNotNull(), F.lit(n)) for n, _ in layers], F.lit("none"))
     return out.select(*records.columns, status.alias("status"), evidence.alias("evidence"))
 
 
+def layer_conflicts(layer: DataFrame, key: str) -> DataFrame:
+    """Keys to which a layer gives different statuses."""
+    return layer.groupBy(key).agg(F.min("status").alias("low"), F.max("status").alias("high")).where("low <> high").select(key)
+
+
 def applies_to(column: str, value: str) -> Column:
     """A row without a scope applies to every one."""
     return F.col(column).isNull() | (F.col(column) == value)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyweave.functions.amounts import half_up
 from tallyweave.functions.geo import in_box
+from tallyweave.functions.text import searchable_form
+from tallyweave.tables import in_ranges, numbered
 
 #: Visit bands, page sizes, and the share of rows that a first view leaves out on each side.
 BANDS = ((20, "20+"), (10, "10-19"), (5, "5-9"))
@@ -43,8 +45,8 @@ def visit_band(count: Column) -> Column:
 
 
 def search(markers: DataFrame, text: Column, query: str, band: str | None = None) -> DataFrame:
-    """Markers whose searchable text contains the query, of a band if one is given."""
-    found = markers.where(text.contains(query.strip().lower()))
+    """Markers whose searchable text contains the query (put into the same form: NFKC, stripped, lower case), of a band if one is given."""
+    found = markers.where(text.contains(searchable_form(query)))
     return found if band is None else found.where(visit_band(F.col("visit_count")) == band)
 
 
@@ -53,17 +55,13 @@ def ranked(markers: DataFrame, collation: str | None = None) -> DataFrame:
 
     Ranks come from the counts of each visit count, and places from ranges of the order, so no task numbers all rows.
     """
-    spark = markers.sparkSession
-    merchant = F.collate(F.col("merchant"), collation) if collation else F.col("merchant")
     sizes = markers.groupBy("visit_count").agg(F.count("*").alias("n"))  # one row for each distinct count
     above = sizes.select("visit_count", (F.sum("n").over(Window.orderBy(F.desc("visit_count"))) - F.col("n") + 1).alias("rank"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = markers.withColumn("_merchant", merchant).repartitionByRange(parts, F.desc("visit_count"), "_merchant", "business").withColumn("_part", F.spark_partition_id())
-    counts = dealt.groupBy("_part").agg(F.count("*").alias("n"))
-    base = counts.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_base"))
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(F.desc("visit_count"), "_merchant", "business"))
-    rows = dealt.join(F.broadcast(base), "_part").withColumn("place", within + F.col("_base"))
-    return rows.join(above, "visit_count").drop("_part", "_base", "_merchant")
+    if collation is None:
+        return numbered(markers, [F.desc("visit_count"), F.col("merchant"), F.col("business")], "place").join(above, "visit_count")
+    # the collated name is no column of the table that ranges are written to
+    merchant = F.collate(F.col("merchant"), collation)
+    return numbered(markers, [F.desc("visit_count"), merchant, F.col("business")], "place").join(above, "visit_count")
 
 
 def page(markers: DataFrame, number: int, size: int = MARKER_PAGE) -> DataFrame:
@@ -83,14 +81,13 @@ def nearest_rank(values: DataFrame, column: str, shares: list[float]) -> DataFra
     Exact: from the counts of distinct values, whose running sum is taken by ranges; no task sorts all rows.
     """
     spark = values.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sizes = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    dealt = sizes.repartitionByRange(parts, "value").withColumn("_part", F.spark_partition_id())
+    dealt = in_ranges(sizes, [F.col("value")], "_part")
     sums = dealt.groupBy("_part").agg(F.sum("n").alias("m"))
     base = sums.select("_part", (F.sum("m").over(Window.orderBy("_part")) - F.col("m")).alias("_base"))
-    upto = F.sum("n").over(Window.partitionBy("_part").orderBy("value")) + F.col("_base")
-    placed = dealt.join(F.broadcast(base), "_part").withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("n"))
-    total = sizes.agg(F.sum("n").alias("rows"))
+    upto = F.sum("n").over(Window.partitionBy("_part").orderBy("value"))
+    placed = dealt.withColumn("upto", upto).join(F.broadcast(base), "_part").withColumn("upto", F.col("upto") + F.col("_base")).withColumn("before", F.col("upto") - F.col("n"))
+    total = dealt.agg(F.sum("n").alias("rows"))
     wanted = spark.createDataFrame([(s,) for s in shares], "share double").join(F.broadcast(total), how="cross").withColumn("at", half_up(F.col("share") * (F.col("rows") - 1)))
     return placed.join(F.broadcast(wanted), (F.col("at") >= F.col("before")) & (F.col("at") < F.col("upto"))).select("share", "value")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tallyweave.functions.amounts import count_in, parse_amount
 from tallyweave.functions.dates import PERIOD_END, PERIOD_START, in_period, month_day, parse_date_text
 from tallyweave.functions.text import collapse
+from tallyweave.tables import cut_lineage
 
 # Labels of rows that are no expense; cells are compared without white space.
 _PERIOD = r"(\d{1,2}(~\d{1,2})?월|\d(~\d)?분기|\d{4}년)"
@@ -105,9 +106,10 @@ def total_check(sections: Column, whole: Column) -> Column:
 def extract_sheets(rows: DataFrame, mappings: DataFrame, start: dt.date = PERIOD_START, end: dt.date = PERIOD_END) -> tuple[DataFrame, DataFrame]:
     """(records, sheets). records: typed expenses in the period. sheets: counts, total_check and the first problem of each.
 
-    One pass over the rows: sums by section, then by sheet.
+    One pass over the rows: sums by section, then by sheet. Typed rows are written once and read for both results.
     """
-    typed = typed_rows(classify_rows(rows, mappings))
+    typed = typed_rows(classify_rows(rows, mappings)).select("source", "sheet", "row", "section", "kind", "spent_on", "merchant", "amount", "problem")
+    typed = cut_lineage(typed)
     is_ = lambda kind: F.col("kind") == kind
     sections = typed.groupBy("source", "sheet", "section").agg(
         F.sum(F.when(is_("candidate"), F.col("amount"))).alias("amount"), F.collect_list(F.when(is_("total"), F.col("amount"))).alias("totals"),

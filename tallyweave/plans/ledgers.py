@@ -260,9 +260,9 @@ def rule_conflicts(spark, sf_dir):
     return most_specific_rule(spark, sf_dir).where("conflict").select("record")
 
 
-@query("""SELECT x.c_custkey AS record, 'restored ' || CAST(x.c_custkey % 3 AS VARCHAR) AS restored, 'restored ' || CAST(x.c_custkey % 2 AS VARCHAR) AS confirmed FROM customer x WHERE x.c_custkey % 4 = 0 AND x.c_custkey % 3 <> x.c_custkey % 2""")
+@query("""SELECT x.c_custkey AS record, 'restored ' || CAST(x.c_custkey % 3 AS VARCHAR) AS restored, 'restored ' || CAST(x.c_custkey % 2 AS VARCHAR) AS confirmed FROM customer x WHERE x.c_custkey % 3 <> x.c_custkey % 2""")
 def agreement_check(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where("c_custkey % 4 = 0")
+    c = table(spark, sf_dir, "customer")
     named = lambda n, name: c.select(F.col("c_custkey").alias("record"), F.concat(F.lit("restored "), (F.col("c_custkey") % n).cast("string")).alias(name))
     return rules.disagreements(named(3, "restored"), named(2, "confirmed"), "record", "restored", "confirmed")
 

@@ -182,9 +182,9 @@ def published_ledger(spark, sf_dir):
     return serving.published_records(records, said, found)
 
 
-@query("""SELECT n_name AS organization, CAST(count(s_suppkey) AS BIGINT) AS records, CASE WHEN n_nationkey % 7 = 0 THEN 'held' WHEN count(s_suppkey) > 0 THEN 'collected' ELSE 'empty' END AS state FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_suppkey % 3 = 0 GROUP BY n_name, n_nationkey""")
+@query("""SELECT n_name AS organization, CAST(count(s_suppkey) AS BIGINT) AS records, CASE WHEN n_nationkey % 7 = 0 THEN 'held' WHEN count(s_suppkey) > 0 THEN 'collected' ELSE 'empty' END AS state FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name, n_nationkey""")
 def collection_status(spark, sf_dir):
-    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0")
+    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
     counts = s.groupBy("s_nationkey").agg(F.count("*").alias("records"))
     counts = counts.join(n, counts["s_nationkey"] == n["n_nationkey"]).select(F.col("n_name").alias("organization"), "records")
     return serving.collection_status(n.select(F.col("n_name").alias("organization"), (F.col("n_nationkey") % 7 == 0).alias("held")), counts)

@@ -10,6 +10,7 @@ import datetime as dt
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
@@ -29,6 +30,10 @@ ROWS = "source string, sheet string, row int, cells array<string>, status string
 READERS: dict[str, Callable[[bytes], Iterator[tuple[str, int, list[str]]]]] = {}
 
 
+#: What reading damaged, encrypted or malformed bytes can raise.
+FAULTS = (LookupError, TypeError, ValueError, ArithmeticError, AttributeError, RuntimeError, EOFError, zipfile.BadZipFile, zlib.error, ElementTree.ParseError)
+
+
 def _number(text: str, dated: bool) -> str:
     value = float(text)
     if dated:
@@ -104,7 +109,7 @@ def read_workbooks(spark: SparkSession, paths: list[str] | str) -> DataFrame:
                     try:
                         out = [(f.source, s, r, c, "read") for s, r, c in readers[f.container](f.content)]
                         status = "no_rows"
-                    except (KeyError, ValueError, zipfile.BadZipFile, ElementTree.ParseError):
+                    except FAULTS:
                         out, status = [], "unreadable"
                 yield pd.DataFrame(out or [(f.source, None, None, None, status)], columns=["source", "sheet", "row", "cells", "status"])
 

@@ -14,6 +14,17 @@ from tallyweave.sources import boards, html, records, workbooks
 from tallyweave.streaming import listing
 
 
+def check_chunks(rows, most):
+    """Parts ascend with the order, none is above the limit, and two neighbours are above it together or one holds a straddling entry."""
+    rows = sorted(rows, key=lambda r: r["k"])
+    parts = [r["part"] for r in rows]
+    assert parts == sorted(parts)
+    sums = {}
+    for r in rows:
+        sums[r["part"]] = sums.get(r["part"], 0) + r["size"]
+    assert all(v <= most for v in sums.values()) and len(sums) <= 2 * -(-sum(sums.values()) // most)
+
+
 def test_boards(spark):
     spark.dataSource.register(boards.BoardSource)
     known = [{"organization": "o1", "name": "a", "url": "mem://a/{page}", "pages": 2}, {"organization": "o2", "name": "b", "url": "mem://b/{page}", "pages": 1, "kind": "json"}, {"organization": "o3", "name": "c", "url": "mem://c/1", "pages": 1}]
@@ -131,7 +142,12 @@ def test_artifacts(spark, tmp_path):
     artifacts.publish_json(df, str(tmp_path / "out"))
     assert sorted(x for p in (tmp_path / "out").glob("part-*") for x in p.read_text().split()) == ['{"k":1,"v":"a"}', '{"k":2,"v":null}']
     sized = spark.createDataFrame([(k, 40) for k in range(10)], "k int, size int")
-    assert [r["part"] for r in artifacts.chunked(sized, "size", 100, "k").orderBy("k").collect()] == [1, 1, 1, 2, 2, 3, 3, 3, 4, 4]
+    check_chunks(artifacts.chunked(sized, "size", 100, "k").collect(), 100)
+    wide = spark.range(2000).selectExpr("id % 1999 * 7 + id as k", "id % 61 + 1 as size", "repeat('x', 20) as other", "id as one")
+    found = artifacts.chunked(wide, "size", 150, "k").collect()
+    assert len(found) == 2000
+    check_chunks(found, 150)
+    assert [r["part"] for r in artifacts.chunked(spark.createDataFrame([(1, 500), (2, 1)], "k int, size int"), "size", 100, "k").orderBy("k").collect()] == [2, 11]
     rows = spark.createDataFrame([("s", "t", 1, ["", ""]), ("s", "t", 3, ["long" * 20, "b"]), ("s", "t", 4, ["c", ""])], "source string, sheet string, row int, cells array<string>")
     assert artifacts.sheet_preview(rows).first()["preview"] == "3: " + "long" * 10 + " | b\n4: c | "
     parts = spark.createDataFrame([("b", 2, "y"), ("b", 1, "x")], "k string, at int, text string")
