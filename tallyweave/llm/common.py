@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyweave.tables import Successive, cut_lineage, quoted, shared_folder, spare_names
+
+__all__ = ["Successive", "cut_lineage", "quoted", "shared_folder", "spare_names"]
+
 #: What `bytes.split()` splits at: space and the control characters 9 to 13.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
@@ -17,35 +19,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; sets a local one only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if held.isDefined():
-        return held.get()
-    folder = tempfile.mkdtemp(prefix="tallyweave-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """`df` as Parquet in the shared folder: survives lost executors and is computed once."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/tallyweave-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def without(df: DataFrame, *names: str) -> DataFrame:
-    """`df` less the columns that an operator is about to add (case-insensitive)."""
+def columns_without(df: DataFrame, *names: str) -> list[Column]:
+    """The columns of `df`, whatever their names, less those that an operator is about to add (case-insensitive)."""
     taken = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+    return [quoted(c) for c in df.columns if c.lower() not in taken]
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    return df.select(*columns_without(df, *names))
 
 
 def crc_mod(column: str, n: int) -> Column:

@@ -1,11 +1,15 @@
 """Mixing sources to target weights by sampling fixed-length word blocks.
 
-The words of a source, document after document, are one sequence, cut into blocks of (nearly) `block_words` words.
-Output slots are dealt into shards; a shard's counts by source are multinomial, conditioned on each source's total
-over all shards (so that the mix meets its targets). They are drawn by splitting the range of shards in halves with
-hypergeometric draws seeded by the half, so any task can draw any shard alone, and knows how many slots of each source
-come before it. Slot k of a source takes block P(k mod n) of its n blocks, P being a pseudorandom permutation of its
-own for every round of n slots. Slots and documents meet by an equi-join on (source, block).
+The words of a source, document after document, are one sequence, packed into blocks of `block_words` words; the last
+block is shorter. A source's target in words fixes how often it is passed: some whole rounds, then a part of a round, whose
+last block is cut to the words still wanted. So a source's slots are numbered, and slot k takes block P(k) of its round, P
+being a pseudorandom permutation of the source's full blocks for that round (the short block comes last).
+
+The mix is written in output shards. Each shard draws how many of its slots fall to each source from the multinomial with
+the sources' shares, given what is left of them: shards are drawn in shelves of a few, a shelf's totals being the sources'
+totals in proportion, with the remainder carried to the next shelf. So the mix meets its targets over every few shards, any
+task draws any shelf alone, and the draws decide in which shard, and at which place there, a block is written. Slots and
+documents meet by an equi-join on (source, block).
 """
 
 from __future__ import annotations
@@ -19,12 +23,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import WORD_PATTERN, cut_lineage, without
+from tallyweave.llm.common import WORD_PATTERN, cut_lineage, quoted, shuffle_partitions, spare_names
 
 MOST_REPEATS = 3
-BLOCK_WORDS, LEAST_BLOCKS, SLOTS = 512, 256, 2048
+#: Words of a block, slots of a shard (about), shards of a shelf (at most).
+BLOCK_WORDS, SLOTS, SHELF = 512, 2048, 16
 #: Documents of a source are dealt into at most so many buckets, each of which gets its offset from the buckets before.
 MOST_BUCKETS, BUCKET_ROWS = 65_536, 256
+#: Sources are a list that people weigh: the driver holds a row for each, and refuses more than this.
+MOST_SOURCES = 100_000
 
 
 @dataclass(frozen=True)
@@ -36,8 +43,12 @@ class Source:
     size: int
     rows: int
     target: float
+    #: blocks of a round, of which `full` have block_words words
     blocks: int
+    full: int
+    #: slots of the mix, and the words that the last one takes
     slots: int
+    last: int
 
 
 def word_count(text: Column) -> Column:
@@ -64,9 +75,11 @@ def plan_sources(found: list[tuple[str | None, int, int]], cycle: tuple[int, ...
     goals = targets([x[1] for x in found], [cycle[k % len(cycle)] for k in range(len(found))])
     out = []
     for k, ((name, size, rows), goal) in enumerate(zip(found, goals, strict=True)):
-        blocks = max(-(-size // block_words), min(size, LEAST_BLOCKS))
-        slots = min(round(goal * blocks / size), MOST_REPEATS * blocks) if size else 0
-        out.append(Source(k, name, size, rows, goal, blocks, slots))
+        rounds, rest = divmod(min(round(goal), MOST_REPEATS * size), size) if size else (0, 0)
+        blocks, tail = -(-size // block_words), size % block_words
+        more = -(-rest // block_words)
+        last = rest - block_words * (more - 1) if rest else tail or block_words
+        out.append(Source(k, name, size, rows, goal, blocks, size // block_words, rounds * blocks + more, last))
     return out
 
 
@@ -94,153 +107,166 @@ def permuted(k: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _halved(counts: list[int], slots: int, rng: np.random.Generator) -> list[int]:
-    """How many of `slots` draws without replacement fall on each source, which has counts[i] of sum(counts)."""
-    out, left, total = [], slots, sum(counts)
-    for c in counts:
-        rest = total - c
-        if total < 10**9:
-            x = int(rng.hypergeometric(c, rest, left)) if c and left else 0
-        else:  # beyond the exact sampler's range: the normal limit
-            p = c / total
-            spread = (left * p * (1 - p) * max(0.0, (total - left) / total)) ** 0.5
-            x = min(c, left, max(0, left - rest, round(rng.normal(left * p, spread))))
-        out.append(x)
-        left, total = left - x, rest
-    return out
+def shelf_counts(shelf: int, shelves: int, counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """A shelf's slots by source, and those of all shelves before it: totals in proportion, the remainder carried."""
+    upto = lambda j: np.array([(2 * j * c + shelves) // (2 * shelves) for c in counts], np.int64)
+    before = upto(shelf)
+    return upto(shelf + 1) - before, before
 
 
-def shard_counts(shard: int, shards: int, counts: list[int], seed: int) -> tuple[list[int], list[int]]:
-    """A shard's number of slots by source, and those of all shards before it."""
-    low, high, before = 0, shards, [0] * len(counts)
-    total = sum(counts)
-    edge = lambda s: s * total // shards
-    while high - low > 1:
-        mid = (low + high) // 2
-        first = _halved(counts, edge(mid) - edge(low), np.random.default_rng([seed, low, high]))
-        if shard < mid:
-            counts, high = first, mid
-        else:
-            before = [b + f for b, f in zip(before, first, strict=True)]
-            counts, low = [c - f for c, f in zip(counts, first, strict=True)], mid
-    return counts, before
-
-
-def draw_slots(spark, sources: list[Source], seed: int, slots_per_shard: int = SLOTS) -> DataFrame:
-    """The mix: a row for each slot, with its shard, its place there, and the source, round and block that it takes."""
-    total = sum(s.slots for s in sources)
+def shard_counts(own: np.ndarray, shelf: int, seed: int, slots_per_shard: int) -> np.ndarray:
+    """How many slots of each source (columns) each shard (rows) of a shelf takes: multinomial, given the shelf's totals."""
+    total = int(own.sum())
     shards = max(1, -(-total // slots_per_shard))
-    counts, blocks = [s.slots for s in sources], [s.blocks for s in sources]
+    rng, left, out = np.random.default_rng([seed, shelf]), own.copy(), []
+    for k in range(shards):
+        drawn = rng.multivariate_hypergeometric(left, (k + 1) * total // shards - k * total // shards, method="marginals")
+        out.append(drawn)
+        left = left - drawn
+    return np.array(out).reshape(shards, len(own))
+
+
+def slot_blocks(k: np.ndarray, source: Source, seed: int, block_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Round, block and words of a source's slots k."""
+    turn, block = k // source.blocks, k % source.blocks
+    for t in np.unique(turn):
+        here = np.flatnonzero((turn == t) & (block < source.full))
+        block[here] = permuted(block[here], source.full, seed * 1_000_003 + source.number * 8 + int(t))
+    words = np.where(block < source.full, block_words, source.size - source.full * block_words)
+    return turn, block, np.where(k == source.slots - 1, np.minimum(words, source.last), words)
+
+
+SLOT_COLUMNS = "shard long, place long, number long, round long, block long, words long"
+
+
+def draw_slots(spark, sources: list[Source], seed: int, block_words: int = BLOCK_WORDS, slots_per_shard: int = SLOTS) -> DataFrame:
+    """The mix: a row for each slot, with its shard, its place there, and the source, round, block and words that it takes."""
+    counts = [s.slots for s in sources]
+    total = sum(counts)
+    shelves = -(-total // (SHELF * slots_per_shard))
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                own, before = shard_counts(shard, shards, counts, seed)
-                number = np.repeat(np.arange(len(own)), own)
-                turn, block = np.empty(len(number), np.int64), np.empty(len(number), np.int64)
-                at = 0
-                for s, (n, b) in enumerate(zip(own, before, strict=True)):
-                    k = np.arange(b, b + n)
-                    for t in np.unique(k // blocks[s]) if n else ():
-                        here = np.flatnonzero(k // blocks[s] == t)
-                        turn[at + here] = t
-                        block[at + here] = permuted(k[here] % blocks[s], blocks[s], seed * 1_000_003 + s * 8 + int(t))
-                    at += n
-                place = np.random.default_rng([seed, shard, 1]).permutation(len(number))
-                yield pa.RecordBatch.from_pydict({"shard": np.full(len(number), shard), "place": place, "number": number, "round": turn, "block": block})
-
-    tasks = min(shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return spark.range(0, shards if total else 0, 1, tasks).mapInArrow(draw, "shard long, place long, number long, round long, block long")
+            for shelf in batch.column(0).to_pylist():
+                own, before = shelf_counts(shelf, shelves, counts)
+                for k, drawn in enumerate(shard_counts(own, shelf, seed, slots_per_shard)):
+                    some = np.flatnonzero(drawn)
+                    parts = [slot_blocks(before[s] + np.arange(drawn[s]), sources[s], seed, block_words) for s in some]
+                    turn, block, words = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 3
+                    before = before + drawn
+                    shard = shelf * (SHELF + 1 + len(counts) // slots_per_shard) + k  # rounding may give a shelf a few slots more
+                    place = np.random.default_rng([seed, shelf, k]).permutation(len(block))
+                    yield pa.RecordBatch.from_pydict({"shard": np.full(len(block), shard), "place": place, "number": np.repeat(some, drawn[some]), "round": turn, "block": block, "words": words})
+
+    tasks = max(1, min(shelves, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return spark.range(0, shelves, 1, tasks).mapInArrow(draw, SLOT_COLUMNS)
 
 
 def with_offsets(sized: DataFrame, sources: list[Source]) -> DataFrame:
     """Adds `number`, the source's, and `began`, the words of its source before a document.
 
-    A source's rows are dealt by a hash of doc_id into buckets whose number follows its rows; buckets' sums give their
-    offsets, and rows within a bucket are summed in order. So no task holds a whole source.
+    A source's rows are dealt by `key`, a hash of doc_id and text, into buckets whose number follows its rows; buckets' sums
+    give their offsets, and rows within a bucket are summed in order. So no task holds a whole source.
     """
     spark = sized.sparkSession
     names = spark.createDataFrame([(s.name, s.number, max(1, min(MOST_BUCKETS, -(-s.rows // BUCKET_ROWS)))) for s in sources], "name string, number long, buckets long")
     dealt = sized.join(F.broadcast(names), F.col("source").eqNullSafe(F.col("name")))
-    dealt = dealt.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), "buckets")).drop("name", "buckets")
+    dealt = dealt.withColumn("bucket", F.pmod("key", "buckets")).drop("name", "buckets")
     sums = dealt.groupBy("number", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("number", "bucket", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("number", "bucket").orderBy("doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("number", "bucket").orderBy("doc_id", "size", "key", "row").rowsBetween(Window.unboundedPreceding, -1)
     dealt = dealt.withColumn("own", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return dealt.join(sums, ["number", "bucket"]).withColumn("began", F.col("base") + F.col("own")).drop("bucket", "base", "own")
+    return dealt.join(sums, ["number", "bucket"]).withColumn("began", F.col("base") + F.col("own")).drop("bucket", "base", "own", "key")
 
 
-def taken_spans(sized: DataFrame, sources: list[Source], seed: int) -> DataFrame:
-    """Rows (row, round, low, high): the words from low to before high of a document that a round of the mix takes.
+def taken_spans(sized: DataFrame, sources: list[Source], seed: int, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Rows (row, shard, place, round, block, low, high): the words from low to before high of a document that a slot takes.
 
-    sized: row, doc_id, source, size. A span lies in one block; adjoining blocks give adjoining spans.
+    sized: row, doc_id, source, size. A span lies in one block, at (shard, place) of the mix.
     """
-    spark = sized.sparkSession
-    sizes = spark.createDataFrame([(s.number, s.size, s.blocks) for s in sources if s.size], "number long, source_size long, blocks long")
-    placed = with_offsets(sized.where("size > 0"), sources).join(F.broadcast(sizes), "number")
-    # block b begins at word b * source_size / blocks, rounded down; decimals keep the product exact
-    n, m = F.col("source_size").cast("decimal(19,0)"), F.col("blocks").cast("decimal(18,0)")
-    block_of = lambda w: F.floor(((w.cast("decimal(19,0)") + 1) * m - 1) / n).cast("long")
-    edge = lambda b: F.floor(b.cast("decimal(18,0)") * n / m).cast("long")
-    placed = placed.withColumn("block", F.explode(F.sequence(block_of(F.col("began")), block_of(F.col("began") + F.col("size") - 1))))
-    low, high = F.greatest(edge(F.col("block")) - F.col("began"), F.lit(0)), F.least(edge(F.col("block") + 1) - F.col("began"), F.col("size"))
-    placed = placed.select("row", "number", "block", low.alias("low"), high.alias("high")).where("low < high")
-    slots = draw_slots(spark, sources, seed).select("number", "round", "block")
-    return placed.join(slots.hint("merge"), ["number", "block"]).select("row", "round", "low", "high")
+    placed = with_offsets(sized.where("size > 0"), sources)
+    first, last = F.floor(F.col("began") / block_words), F.floor((F.col("began") + F.col("size") - 1) / block_words)
+    placed = placed.select("row", "number", "began", "size", F.explode(F.sequence(first, last)).alias("block"))
+    slots = draw_slots(sized.sparkSession, sources, seed, block_words)
+    met = placed.join(slots.hint("merge"), ["number", "block"])
+    begins = F.col("block") * block_words - F.col("began")
+    low, high = F.greatest(begins, F.lit(0)), F.least(begins + F.col("words"), F.col("size"))
+    return met.select("row", "shard", "place", "round", "block", low.alias("low"), high.alias("high")).where("low < high")
 
 
 def _planned(sized: DataFrame, cycle: tuple[int, ...], block_words: int) -> list[Source]:
-    found = sized.groupBy("source").agg(F.sum("size"), F.count("*")).collect()  # one row for each source
+    found = sized.groupBy("source").agg(F.sum("size"), F.count("*")).limit(MOST_SOURCES + 1).collect()  # one row for each source
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources to weigh")
     return plan_sources([tuple(r) for r in found], cycle, block_words)
 
 
+def _sized(docs: DataFrame, row: Column, id_column: str, text_column: str, source_column: str, *more: Column) -> DataFrame:
+    doc_id, text = quoted(id_column).cast("long"), quoted(text_column).cast("string")
+    return docs.select(row.alias("row"), doc_id.alias("doc_id"), quoted(source_column).cast("string").alias("source"), word_count(text).alias("size"), F.xxhash64(doc_id, text).alias("key"), *more)
+
+
 def mix_sources(
     docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), seed: int = 17, block_words: int = BLOCK_WORDS, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source"
 ) -> DataFrame:
-    """One row for each document: doc_id, source, size, source_size, target, taken (words, repeats counted).
+    """One row for each document: doc_id, size, source_size, target, taken (words, repeats counted), source, slots.
 
+    slots lists where the mix holds the document's words: arrays of (shard, place, round, block, words), in that order.
     Sources (by code point, null last) weigh `cycle` in turn and share all words; none gets more than 3 times its own,
-    and no document is taken more than 3 times. A source's taken words miss its target by half a block at most.
+    and no document is taken more than 3 times. A source's taken words are its target, rounded.
     Null and empty texts have size 0 and are never taken. Repeated rows are rows of their own. A null doc_id is kept.
-    Other columns are ignored. An empty table gives no rows. The list of sources (a row each) is held by the driver.
+    Other columns are ignored. An empty table gives no rows. The list of sources (a row each, at most MOST_SOURCES) is
+    held by the driver.
     """
-    sized = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(source_column).cast("string").alias("source"), word_count(F.col(text_column)).alias("size"))
-    sized = cut_lineage(sized)
+    sized = cut_lineage(_sized(docs, F.monotonically_increasing_id(), id_column, text_column, source_column))
     sources = _planned(sized, cycle, block_words)
-    sums = taken_spans(sized, sources, seed).groupBy("row").agg(F.sum(F.col("high") - F.col("low")).alias("taken"))
+    words = F.col("high") - F.col("low")
+    slot = F.struct("shard", "place", "round", "block", words.alias("words"))
+    sums = taken_spans(sized, sources, seed, block_words).groupBy("row").agg(F.sum(words).alias("taken"), F.array_sort(F.collect_list(slot)).alias("slots"))
     facts = sized.sparkSession.createDataFrame([(s.name, s.size, s.target) for s in sources], "name string, source_size long, target double")
-    out = sized.join(sums, "row", "left").join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("name")))
-    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    out = sized.join(sums, "row", "left").join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("name")))  # facts: MOST_SOURCES rows at most
+    return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "source", F.coalesce("slots", F.array().cast(sums.schema["slots"].dataType)).alias("slots"))
+
+
+def slots_text(slots: str) -> Column:
+    """shard:place:round:block:words of each slot, joined by commas."""
+    return F.array_join(F.transform(slots, lambda s: F.concat_ws(":", *[s[c].cast("string") for c in ("shard", "place", "round", "block", "words")])), ",")
 
 
 def _sliced(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    """Each text's slices between words low and high, as a list."""
     out = []
     for text, own in zip(texts.to_pylist(), spans.to_pylist(), strict=True):
         edges = [m.start() for m in re.finditer(WORD_PATTERN, text)] + [len(text)]
-        runs: list[list[int]] = []
-        for x in sorted((x["low"], x["high"]) for x in own):
-            if runs and runs[-1][1] == x[0]:
-                runs[-1][1] = x[1]
-            else:
-                runs.append([*x])
-        out.append("\n".join(text[edges[a] : edges[b]].rstrip() for a, b in runs))
-    return pa.array(out, pa.string())
+        out.append([text[edges[x["low"]] : edges[x["high"]]].rstrip("\x20\t\n\x0b\x0c\r") for x in own])
+    return pa.array(out, pa.list_(pa.string()))
 
 
 def mixed_texts(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), seed: int = 17, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The mix as documents: for each document and each round that takes words of it, a row with the words taken.
+    """The mix, written out: for each slot and each document in its block, a row with the words taken, in the mix's order.
 
-    Columns are those of `docs` (doc_id, text, source at least), with `text` replaced and `n_chars`, if there, its
-    length. Words keep the white space between them; runs of words that don't adjoin are joined by a line end.
-    Nulls, repeated rows and empty tables: as in mix_sources.
+    Columns are those of `docs` (doc_id, text, source at least), with `text` replaced and `n_chars`, if there, its length;
+    names that are the operator's own, too, and any others (with dots, say) are kept. Rows are dealt by shard, and sorted by
+    shard, place in it, and place in the block, so files hold whole shards in order. Words keep the white space between
+    them. Nulls, repeated rows and empty tables: as in mix_sources.
     """
-    named = without(docs, "_row", "_size").select("*", F.monotonically_increasing_id().alias("_row"), word_count(F.col("text")).alias("_size"))
-    kept = cut_lineage(named)
-    sized = kept.select(F.col("_row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("_size").alias("size"))
-    spans = taken_spans(sized, _planned(sized, cycle, block_words), seed)
-    runs = spans.groupBy("row", "round").agg(F.collect_list(F.struct("low", "high")).alias("_spans"))
-    rows = kept.join(runs, kept["_row"] == runs["row"]).withColumn("text", F.arrow_udf(_sliced, "string")("text", "_spans"))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast("long"))
-    return rows.select(*[c for c in docs.columns if c.lower() not in ("_row", "_size")])
+    row, spans_, text_, taken, at, fact = spare_names(docs.columns, "_row", "_spans", "_text", "_taken", "_at", "_fact")
+    every = [quoted(c) for c in docs.columns]
+    facts = _sized(docs, F.monotonically_increasing_id(), "doc_id", "text", "source", F.struct(*every).alias(fact))
+    kept = cut_lineage(facts.select(F.struct("row", "doc_id", "source", "size", "key").alias(at), quoted(fact)))
+    sized = kept.select(f"{at}.*")
+    kept = kept.select(f"{fact}.*", F.col(f"{at}.row").alias(row))
+    spans = taken_spans(sized, _planned(sized, cycle, block_words), seed, block_words)
+    # words before the document in its block tell the order of a block's documents
+    span = F.struct("shard", "place", "block", "low", "high")
+    runs = spans.groupBy(F.col("row").alias(at)).agg(F.collect_list(span).alias(spans_))
+    met = kept.join(runs, quoted(row) == quoted(at)).withColumn(text_, F.arrow_udf(_sliced, "array<string>")(F.col("text"), quoted(spans_)))
+    each = met.withColumn(taken, F.explode(F.arrays_zip(quoted(spans_).alias("s"), quoted(text_).alias("t"))))
+    new = {"text": F.col(f"{taken}.t"), "n_chars": F.length(F.col(f"{taken}.t")).cast("long")}
+    chosen = [new.get(c, quoted(c)).alias(c) for c in docs.columns]
+    shard, place, order = spare_names(docs.columns, "_shard", "_place", "_order")
+    rows = each.select(*chosen, F.col(f"{taken}.s.shard").alias(shard), F.col(f"{taken}.s.place").alias(place), quoted(row).alias(order))
+    # a shard is of one size, whatever the input's
+    dealt = rows.repartition(shuffle_partitions(docs), shard).sortWithinPartitions(shard, place, order)
+    return dealt.select(*[quoted(c) for c in docs.columns])

@@ -36,9 +36,9 @@ def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tallyweave.llm.mixing import mix_sources
+    from tallyweave.llm.mixing import mix_sources, slots_text
 
-    return mix_sources(read_table(spark, sf_dir, "documents"))
+    return mix_sources(read_table(spark, sf_dir, "documents")).withColumn("slots", slots_text("slots"))
 
 
 def op4_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,50 +1,47 @@
 """SimHash near-duplicates by BK-trees.
 
 A document's fingerprint has a bit set where more than half the 64-bit hashes of its word shingles have it. Equal
-fingerprints form one class at once. Two fingerprints that differ in at most 3 bits agree in one of 4 blocks of 16 bits,
-so classes are dealt into shards by (block, value) and each shard builds a BK-tree: a node's children are keyed by their
-Hamming distance to it, and a search follows only the edges within the radius of the distance at hand. Trees are built
-and searched level by level over arrays, for all shards of a task at once. A shard above a bound is split into tree
-parts and query parts, each pair of parts a unit of its own. A unit gives a spanning forest of its links, not its
-pairs. Components over these links come from alternating large-star and small-star steps.
+fingerprints form one class at once. Two fingerprints that differ in at most 3 bits agree in m - 3 of any m blocks of the
+64 bits, so classes are dealt into shards by the values of m - 3 blocks; m grows with the number of classes, so that
+shards stay small. Each shard builds a BK-tree: a node's children are keyed by their Hamming distance to it, and a search
+follows only the edges within the radius of the distance at hand, and no edge to a subtree that is linked with the query
+already, so a tight group of any size costs one step. Trees are built and searched level by level over arrays, for all
+shards of a task at once. A shard above a bound is split into tree parts and query parts, each pair of parts a unit of its
+own. A unit gives a spanning forest of its links, not its pairs. Components over these links come from alternating
+large-star and small-star steps.
+
+`near_copies` finds documents whose shingle sets are similar: the same trees with a wider radius, in shards of documents
+that share some least hashes of their shingles, each hit verified by the share of equal least hashes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tallyweave.llm.common import cut_lineage, shuffle_partitions, without
+from tallyweave.llm.common import Successive, cut_lineage, quoted, shuffle_partitions, spare_names
 
-RADIUS, BLOCKS = 3, 4
+RADIUS = 3
 #: Rows of a tree part; shards above it are split.
 PART_ROWS = 1024
+#: Rows that a shard is meant to have at most; more classes get longer keys.
+SHARD_ROWS = 256
+#: Query and node pairs of one step of a search.
+STEP_PAIRS = 1 << 19
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
 def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     """The SimHash of a text: ASCII lower case, words, shingles with repeats, XXH64 with seed 42; 0 without words."""
-    from xxhash import xxh64_intdigest
-
     words = (text or b"").lower().split()
-    if not words:
-        return 0
-    if len(words) <= shingle:
-        hashes = [xxh64_intdigest(b" ".join(words), 42)]
-    else:
-        joined = b" ".join(words)
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-        starts = [0, *ends[:-shingle].tolist()]
-        hashes = [xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)]
-    planes = np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8)
-    ones = [np.bincount(planes[:, k], minlength=256) @ _BITS for k in range(8)]
-    bits = np.concatenate(ones) * 2 > len(hashes)
-    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+    return majority(shingle_hashes(words, shingle)) if words else 0
 
 
 @F.arrow_udf(LongType())
@@ -64,12 +61,13 @@ def hex_column(fingerprint: str) -> Column:
 class Forest:
     """BK-trees of many units: within a unit, a node's children are keyed by their distance to it.
 
-    Node k holds the value at place[k]. children of k with distance d: found by (k, d) in the sorted `edges`.
+    Node k holds the value at place[k], below parent[k] (-1: a root). Children of k with distance d: found by (k, d) in the
+    sorted `edges`. Parents have smaller numbers than their children; `levels` has the first node of each level.
     """
 
     def __init__(self, unit: np.ndarray, value: np.ndarray):
         self.value = value
-        place, edge_key, edge_to = [], [], []
+        place, edge_key, edge_to, above, levels = [], [], [], [], []
         # unit: small integers; rows not yet placed, by the (parent node, distance) they hang from; at first by unit
         _, group = np.unique(unit, return_inverse=True)
         rows, made, top = np.arange(len(value)), 0, True
@@ -82,6 +80,8 @@ class Forest:
             size = np.diff(np.r_[first, len(rows)])
             node = made + np.arange(len(first))
             place.append(rows[first])
+            levels.append(made)
+            above.append(np.full(len(first), -1) if top else parent[order][first])
             if top:
                 self.root[unit[rows[first]]] = node
                 top = False
@@ -96,24 +96,77 @@ class Forest:
             rows, parent, distance = rows[stay], own[stay], gap[stay]
             group = parent * 65 + distance
         self.place = np.concatenate(place) if place else np.zeros(0, np.int64)
+        self.parent = np.concatenate(above) if above else np.zeros(0, np.int64)
+        self.levels = [*levels, len(self.place)]
         keys = np.concatenate(edge_key) if edge_key else np.zeros(0, np.int64)
         order = np.argsort(keys)
         self.edges, self.to = keys[order], (np.concatenate(edge_to) if edge_to else keys)[order]
 
-    def near(self, unit: np.ndarray, value: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(query, row) pairs within the radius, level by level."""
+    def start(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, node): the root of each query's unit, where it has one."""
         node = np.where(unit < len(self.root), self.root[np.minimum(unit, len(self.root) - 1)], -1)
         query = np.flatnonzero(node >= 0)
-        node = node[query]
+        return query, node[query]
+
+    def below(self, query: np.ndarray, node: np.ndarray, gap: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, node): the children within the radius of the distance at hand."""
+        low = np.searchsorted(self.edges, node * 65 + np.maximum(gap - radius, 0))
+        high = np.searchsorted(self.edges, node * 65 + np.minimum(gap + radius, 64), "right")
+        size = high - low
+        at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return np.repeat(query, size), self.to[at]
+
+    def near(self, unit: np.ndarray, value: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, row) pairs within the radius, level by level."""
+        query, node = self.start(unit)
         while len(node):
             gap = np.bitwise_count(value[query] ^ self.value[self.place[node]]).astype(np.int64)
             hit = gap <= radius
             yield query[hit], self.place[node[hit]]
-            low = np.searchsorted(self.edges, node * 65 + np.maximum(gap - radius, 0))
-            high = np.searchsorted(self.edges, node * 65 + np.minimum(gap + radius, 64), "right")
-            size = high - low
-            at = np.repeat(low - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            query, node = np.repeat(query, size), self.to[at]
+            query, node = self.below(query, node, gap, radius)
+
+    def uniform(self, label: np.ndarray) -> np.ndarray:
+        """Whether all rows below each node, and its own, have one label. label: by row."""
+        own, out = label[self.place], np.ones(len(self.place), bool)
+        for k in range(len(self.levels) - 2, 0, -1):
+            node = np.arange(self.levels[k], self.levels[k + 1])
+            out[self.parent[node[~out[node] | (own[node] != own[self.parent[node]])]]] = False
+        return out
+
+
+def linked(unit: np.ndarray, value: np.ndarray, tree: np.ndarray, ask: np.ndarray, radius: int, holds: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """A label for each row, the same for rows that links connect: links lead from rows `ask` to rows `tree` of their unit
+    within the radius, where holds(a, b) if it is given. The label is a row of the group.
+    """
+    label = np.arange(len(value))
+    if not len(tree) or not len(ask):
+        return label
+    forest = Forest(unit[tree], value[tree])
+    same = forest.uniform(label[tree])
+    query, node = forest.start(unit[ask])
+    todo = [(query, node)]
+    while todo:
+        query, node = todo.pop()
+        if len(node) > STEP_PAIRS:
+            todo += [(query[k : k + STEP_PAIRS], node[k : k + STEP_PAIRS]) for k in range(0, len(node), STEP_PAIRS)]
+            continue
+        a, b = ask[query], tree[forest.place[node]]
+        go = ~same[node] | (label[a] != label[b])
+        query, node, a, b = query[go], node[go], a[go], b[go]
+        gap = np.bitwise_count(value[a] ^ value[b]).astype(np.int64)
+        hit = np.flatnonzero((gap <= radius) & (label[a] != label[b]))
+        if holds is not None:
+            hit = hit[holds(a[hit], b[hit])]
+        if len(hit):
+            x, y = spanning(label[a[hit]], label[b[hit]])
+            to = np.arange(len(label))
+            to[x] = y
+            label = to[label]
+            same = forest.uniform(label[tree])
+        query, node = forest.below(query, node, gap, radius)
+        if len(node):
+            todo.append((query, node))
+    return label
 
 
 def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,64 +188,85 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[apart], nodes[label[apart]]
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (unit, is_query, is_tree, fingerprint, rep), sorted by unit -> links (rep, rep) of each unit."""
-    held: list[pa.RecordBatch] = []
-    seen = 0
+def _linker(radius: int, least_equal: int = 0) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (unit, is_query, is_tree, fp, rep, and sig if least_equal), sorted by unit -> links (rep, rep) of each unit.
+
+    least_equal: how many bytes of their sigs two rows must have in common.
+    """
 
     def solve(table: pa.Table) -> pa.RecordBatch:
         unit, value, rep = (table.column(c).to_numpy() for c in ("unit", "fp", "rep"))
-        value = value.view(np.uint64)
         tree, ask = (np.flatnonzero(table.column(c).to_numpy(zero_copy_only=False)) for c in ("is_tree", "is_query"))
-        found = np.zeros((2, 0), np.int64)
         _, dense = np.unique(unit, return_inverse=True)
-        if len(tree):
-            forest = Forest(dense[tree], value[tree])
-            for at in range(0, len(ask), 4096):
-                own = ask[at : at + 4096]
-                for q, r in forest.near(dense[own], value[own], RADIUS):
-                    pair = np.stack([rep[own[q]], rep[tree[r]]])
-                    found = np.concatenate([found, pair[:, pair[0] != pair[1]]], axis=1)
-                    if found.shape[1] > 500_000:
-                        found = np.stack(spanning(*found))
-        a, b = spanning(*found)
-        return pa.RecordBatch.from_pydict({"a": a, "b": b})
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        seen += batch.num_rows
-        if seen < 50_000:
-            continue
-        table = pa.Table.from_batches(held).combine_chunks()
-        unit = table.column("unit").to_numpy()
-        cut = int(np.searchsorted(unit, unit[-1]))  # the last unit may go on
-        if cut:
-            yield solve(table.slice(0, cut))
-            held, seen = table.slice(cut).to_batches(), len(unit) - cut
-    if held:
-        yield solve(pa.Table.from_batches(held).combine_chunks())
-
-
-def similar_links(classes: DataFrame) -> DataFrame:
-    """Links (a, b) of rep that connect all fingerprints within the radius. classes: fp (distinct), rep."""
-    parts = shuffle_partitions(classes)
-    width = 64 // BLOCKS
-    block = lambda k: F.shiftrightunsigned("fp", k * width).bitwiseAND(F.lit((1 << width) - 1))
-    shard = F.explode(F.array(*[block(k) + F.lit(k << width) for k in range(BLOCKS)]))
-    rows = classes.select("fp", "rep", shard.alias("shard"))
+        holds = None
+        if least_equal:
+            sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(unit), -1)
+
+            def holds(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+                return np.concatenate([np.zeros(0, bool), *((sigs[a[k : k + 65_536]] == sigs[b[k : k + 65_536]]).sum(1) >= least_equal for k in range(0, len(a), 65_536))])
+
+        label = linked(dense, value.view(np.uint64), tree, ask, radius, holds)
+        apart = np.flatnonzero(rep != rep[label])
+        return pa.RecordBatch.from_pydict({"a": rep[apart], "b": rep[label[apart]]})
+
+    def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        seen = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            seen += batch.num_rows
+            if seen < 50_000:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            unit = table.column("unit").to_numpy()
+            cut = int(np.searchsorted(unit, unit[-1]))  # the last unit may go on
+            if cut:
+                yield solve(table.slice(0, cut))
+                held, seen = table.slice(cut).to_batches(), len(unit) - cut
+        if held:
+            yield solve(pa.Table.from_batches(held).combine_chunks())
+
+    return solved
+
+
+def _shard_links(rows: DataFrame, radius: int, least_equal: int = 0) -> DataFrame:
+    """Links (a, b) of rep that connect all rows of a shard within the radius. rows: fp, rep, shard, and sig if least_equal."""
+    more = ["sig"] if least_equal else []
     sizes = rows.groupBy("shard").count().where(F.col("count") > PART_ROWS).select("shard", F.ceil(F.col("count") / PART_ROWS).alias("parts"))
     rows = rows.join(sizes, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
-    part = F.pmod(F.xxhash64("fp"), F.col("parts"))
+    part = F.pmod(F.xxhash64("rep"), F.col("parts"))
     rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     low, high = F.least("part", "other"), F.greatest("part", "other")
     # the tree of the lower part is asked by both; within a part it is asked by itself
     unit = F.xxhash64("shard", low, high)
     same = F.col("part") == F.col("other")
-    rows = rows.select(unit.alias("unit"), (same | (F.col("part") > F.col("other"))).alias("is_query"), (same | (F.col("part") < F.col("other"))).alias("is_tree"), "fp", "rep")
-    dealt = rows.repartition(parts, "unit").sortWithinPartitions("unit")
-    return dealt.mapInArrow(_linked, "a long, b long")
+    rows = rows.select(unit.alias("unit"), (same | (F.col("part") > F.col("other"))).alias("is_query"), (same | (F.col("part") < F.col("other"))).alias("is_tree"), "fp", "rep", *more)
+    dealt = rows.repartition(shuffle_partitions(rows), "unit").sortWithinPartitions("unit")
+    return dealt.mapInArrow(_linker(radius, least_equal), "a long, b long")
+
+
+def block_count(classes: int, radius: int = RADIUS) -> int:
+    """Into how many blocks to cut 64 bits, so that shards of equal blocks (all but `radius`) have SHARD_ROWS rows or fewer, if bits are even."""
+    m = radius + 1
+    while m < 2 * radius + 2 and classes > SHARD_ROWS << (64 * (m - radius) // m):
+        m += 1
+    return m
+
+
+def similar_links(classes: DataFrame, blocks: int = RADIUS + 1) -> DataFrame:
+    """Links (a, b) of rep that connect all fingerprints within the radius. classes: fp (distinct), rep.
+
+    blocks: into how many the bits are cut; each choice of all but 3 is a key. More blocks make more and smaller shards, and
+    the same links.
+    """
+    edges = [64 * k // blocks for k in range(blocks + 1)]
+    keys = []
+    for k, chosen in enumerate(combinations(range(blocks), blocks - RADIUS)):
+        mask = sum(((1 << edges[c + 1]) - 1) ^ ((1 << edges[c]) - 1) for c in chosen)
+        keys.append(F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))))
+    return _shard_links(classes.select("fp", "rep", F.explode(F.array(*keys)).alias("shard")), RADIUS)
 
 
 def _stars(edges: DataFrame) -> bool:
@@ -204,7 +278,8 @@ def _stars(edges: DataFrame) -> bool:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each linked node can reach. links: (a, b)."""
-    edges = cut_lineage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    written = Successive()
+    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while not _stars(edges):
         # large star: larger neighbours of a node go to its smallest neighbour
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -213,14 +288,14 @@ def components(links: DataFrame) -> DataFrame:
         # small star: smaller neighbours of a node, and the node, go to its smallest neighbour
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        edges = cut_lineage(small.where("a <> b").distinct())
+        edges = written(small.where("a <> b").distinct())
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
 def _classed(prints: DataFrame) -> DataFrame:
     """Adds component_id to prints (doc_id, fp, ...): the smallest doc_id of all fingerprints that its own can reach."""
     classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    found = components(similar_links(classes.where("rep is not null")))
+    found = components(similar_links(classes.where("rep is not null"), block_count(classes.count())))
     named = classes.join(found, classes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(named, "fp")
 
@@ -236,18 +311,102 @@ def simhash_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column:
     return _classed(prints).select("doc_id", "fp", "component_id")
 
 
-def keep_representatives(docs: DataFrame) -> DataFrame:
-    """One document of each component stays, with all its columns: that with the smallest doc_id, then text hash.
+#: Least hashes that a document is described by (a byte of each), and bands of them: documents with an equal band share a shard.
+LEAST_HASHES, BANDS, BAND_ROWS = 128, 6, 3
+#: How far an estimate from 128 least hashes may fall below the wanted similarity (1.3 standard deviations at 0.8).
+SLACK = 0.045
+_MULTIPLIERS = np.random.default_rng(20).integers(1, 1 << 63, LEAST_HASHES, dtype=np.uint64) | np.uint64(1)
+_PRINT = "struct<key binary, fp bigint, sig binary, bands array<bigint>>"
+
+
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """Hashes of a text's shingles, repeats included; of the whole sequence, if it has fewer words."""
+    from xxhash import xxh64_intdigest
+
+    joined = b" ".join(words)
+    if len(words) <= shingle:
+        return np.array([xxh64_intdigest(joined, 42)], np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = [0, *ends[:-shingle].tolist()]
+    return np.array([xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half the hashes have."""
+    planes = hashes.view(np.uint8).reshape(-1, 8)
+    ones = [np.bincount(planes[:, k], minlength=256) @ _BITS for k in range(8)]
+    return int.from_bytes(np.packbits(np.concatenate(ones) * 2 > len(hashes), bitorder="little").tobytes(), "little")
+
+
+def least_hashes(hashes: np.ndarray) -> np.ndarray:
+    """The least of the hashes under each of LEAST_HASHES multiplications."""
+    out = np.full(LEAST_HASHES, np.iinfo(np.uint64).max, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(0, len(hashes), 2048):
+            out = np.minimum(out, (hashes[k : k + 2048, None] * _MULTIPLIERS).min(0))
+    return out
+
+
+def _describe(text: bytes | None, shingle: int) -> tuple[bytes, int, bytes, list[int]]:
+    from xxhash import xxh3_128_digest
+
+    words = (text or b"").lower().split()
+    key = xxh3_128_digest(b" ".join(words))
+    if not words:
+        return key, 0, bytes(LEAST_HASHES), []
+    hashes = shingle_hashes(words, shingle)
+    least = least_hashes(np.unique(hashes))
+    bands = least[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
+    with np.errstate(over="ignore"):
+        mixed = np.arange(BANDS, dtype=np.uint64)
+        for c in bands.T:
+            mixed = (mixed ^ c) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+    return key, majority(hashes), (least & np.uint64(255)).astype(np.uint8).tobytes(), mixed.view(np.int64).tolist()
+
+
+def hamming_radius(similarity: float) -> int:
+    """Bits in which fingerprints of sets of this similarity (of equal sizes) differ, and two standard deviations more."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(64 * share + 2 * math.sqrt(64 * share * (1 - share)))
+
+
+def near_copies(docs: DataFrame, row: str, text_column: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """row, component: the groups of documents that links of similar sets of word shingles connect.
+
+    docs: a column `row` (long, distinct, not null) and the text. Texts with the same words (ASCII case aside) are one class
+    at once. Two classes are linked if they share a band of least hashes, their fingerprints lie within the radius that
+    the similarity implies, and their estimated similarity is at least `similarity` less SLACK. Null texts and texts without
+    words form one class, linked to no other. component is the row of a member. Repeated rows share their component. An
+    empty table gives no rows.
+    """
+
+    @F.arrow_udf(_PRINT)
+    def described(texts: pa.Array) -> pa.Array:
+        rows = [_describe(t.as_py(), shingle) for t in texts]
+        kinds = (pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+        columns = [pa.array([int(r[1]) - (1 << 64) if r[1] >> 63 else int(r[1]) for r in rows] if k == 1 else [r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+        return pa.StructArray.from_arrays(columns, ["key", "fp", "sig", "bands"])
+
+    prints = cut_lineage(docs.select(quoted(row).alias("row"), described(quoted(text_column).cast("string").cast("binary")).alias("p")))
+    classes = prints.groupBy("p.key").agg(F.min("row").alias("rep"), *[F.first(f"p.{c}").alias(c) for c in ("fp", "sig", "bands")])
+    classes = cut_lineage(classes)
+    rows = classes.select("fp", "rep", "sig", F.explode("bands").alias("shard"))
+    found = components(_shard_links(rows, hamming_radius(similarity), math.ceil(LEAST_HASHES * (similarity - SLACK))))
+    named = classes.select("key", "rep").join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
+    return prints.select("row", F.col("p.key").alias("key")).join(named, "key").select("row", "component")
+
+
+def keep_representatives(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One document of each group of `near_copies` stays, with all its columns: that with the smallest doc_id (null last).
 
-    docs: doc_id and text at least. Of identical repeated rows one stays. Nulls and empty tables: as in simhash_duplicates;
-    rows with only null ids form a group for each fingerprint.
+    docs: doc_id and text at least; other columns, whatever their names, are kept. Of identical repeated rows one stays.
+    Null texts and empty tables: as in near_copies.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), fingerprint_column("text").alias("fp"))
-    group = F.when(F.col("component_id").isNull(), F.col("fp"))
-    kept = _classed(cut_lineage(ids)).where("doc_id <=> component_id").groupBy("component_id", group.alias("own")).agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
-    kept = kept.select(F.col("kept.doc_id").alias("_id"), F.col("kept.text_hash").alias("_hash"))
-    named = without(docs, "_text_hash", "_turn").withColumn("_text_hash", F.xxhash64(text))
-    rows = named.join(kept, (named["_text_hash"] == kept["_hash"]) & named["doc_id"].cast("long").eqNullSafe(kept["_id"]), "left_semi")
-    turn = F.row_number().over(Window.partitionBy("_text_hash", "doc_id").orderBy(F.lit(0)))
-    return rows.withColumn("_turn", turn).where("_turn = 1").select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("_text_hash", "_turn")])
+    (row,) = spare_names(docs.columns, "_row")
+    kept = cut_lineage(docs.select(*[quoted(c) for c in docs.columns], F.monotonically_increasing_id().alias(row)))
+    ids = kept.select(quoted(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    groups = near_copies(kept, row, "text", shingle, similarity).join(ids, "row").groupBy("component")
+    # the least of (is null, id, row)
+    stay = groups.agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("m")).select(F.col("m.row").alias(row))
+    return kept.join(stay, row, "left_semi").select(*[quoted(c) for c in docs.columns])

@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -68,6 +70,111 @@ def test_similar_links_with_split_shards(spark, monkeypatch):
     assert {k: found.get(k, k) for k, _ in rows} == plain_components(rows)
 
 
+@pytest.mark.parametrize("blocks", [4, 5, 6])
+def test_more_blocks_give_the_same_links(spark, blocks):
+    rng = random.Random(blocks)
+    prints = set()
+    for _ in range(30):
+        f = rng.getrandbits(64)
+        for _ in range(6):
+            prints.add(f)
+            for _ in range(rng.choice([1, 3, 4])):
+                f ^= 1 << rng.randrange(64)
+    rows = list(enumerate(sorted(prints)))
+    classes = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, k) for k, f in rows], "fp long, rep long")
+    found = {r["node"]: r["component"] for r in simhash.components(simhash.similar_links(classes, blocks)).collect()}
+    assert {k: found.get(k, k) for k, _ in rows} == plain_components(rows)
+
+
+def test_blocks_grow_with_the_classes():
+    sizes = [simhash.block_count(n) for n in (0, 10**6, 10**8, 10**10, 10**12)]
+    assert sizes == sorted(sizes) and sizes[0] == 4 and sizes[-1] > 4
+
+
+def test_tight_groups_are_searched_once():
+    """Labels equal the components of all links, and a tight group costs about one step for each member."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 3, dtype=np.uint64)
+    value = np.unique(np.array([b ^ np.uint64(1 << int(rng.integers(60))) ^ np.uint64(1 << int(rng.integers(60))) for b in rng.choice(base, 3000)], np.uint64))
+    unit, every = np.zeros(len(value), np.int64), np.arange(len(value))
+    seen = []
+    label = simhash.linked(unit, value, every, every, 4, lambda a, b: seen.append(len(a)) or np.ones(len(a), bool))
+    for b in base:
+        near = np.flatnonzero(np.bitwise_count(value ^ b) <= 2)
+        assert len(set(label[near].tolist())) == 1
+    assert len(set(label.tolist())) == 3 and sum(seen) < 6 * len(value)
+    half = every[::2]
+    split = simhash.linked(unit, value, half, every, 4)
+    assert len(set(split.tolist())) == 3
+    assert (simhash.linked(unit, value, every, every, 4, lambda a, b: np.zeros(len(a), bool)) == every).all()
+
+
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similar_pairs(texts, least):
+    """Pairs of different texts with so similar sets of five-word shingles, by an index of shingles."""
+    sets, index = [shingle_set(t) for t in texts], {}
+    for k, s in enumerate(sets):
+        for x in s:
+            index.setdefault(x, []).append(k)
+    shared = Counter((a, b) for own in index.values() if len(own) < 400 for i, a in enumerate(own) for b in own[i + 1 :])
+    return {p for p, n in shared.items() if n >= least * (len(sets[p[0]]) + len(sets[p[1]]) - n)}
+
+
+def test_near_copies_of_made_texts(spark):
+    """Texts with words changed: all pairs far above 0.8 meet, no pair below 0.7 does."""
+    rng = random.Random(12)
+    texts = []
+    for k in range(60):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        texts.append(" ".join(words))
+        for changes in (1, 2, 5, 30):
+            new = list(words)
+            for at in rng.sample(range(300), changes):
+                new[at] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(new))
+    texts += [texts[0].upper(), texts[0], None, "", "one two", "ONE two", "x " * 30_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k long, text string").repartition(4)
+    group = {r["row"]: r["component"] for r in simhash.near_copies(docs, "k").collect()}
+    assert len(group) == len(texts)
+    strong = similar_pairs(texts, 0.8)
+    assert np.mean([group[a] == group[b] for a, b in strong]) > 0.95
+    own = lambda k: k // 5 if k < 300 else 0 if k < 302 else {302: -1, 303: -1, 304: -2, 305: -2, 306: -3}[k]
+    for k, c in group.items():
+        assert own(k) == own(c) and (k >= 300 or k % 5 < 4 or c == k)
+    assert simhash.near_copies(docs.limit(0), "k").count() == 0
+
+
+def test_near_copies_of_the_documents(spark):
+    """Recall of pairs of different texts with a similarity of 0.8 or more, by brute force, on 10,000 documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    texts = [t for _, t in rows]
+    pairs = similar_pairs(texts, 0.8)
+    different = {p for p in pairs if texts[p[0]].lower().split() != texts[p[1]].lower().split()}
+    group = {r["row"]: r["component"] for r in simhash.near_copies(docs, "doc_id").collect()}
+    met = [group[rows[a][0]] == group[rows[b][0]] for a, b in different]
+    print(len(pairs), len(different), np.mean(met))
+    assert len(different) > 20 and np.mean(met) >= 0.9
+    # nothing is joined that links of 0.7 would not join
+    loose = {k: k for k in range(len(rows))}
+
+    def find(x):
+        while loose[x] != x:
+            x = loose[x]
+        return x
+
+    for a, b in similar_pairs(texts, 0.7):
+        x, y = find(a), find(b)
+        loose[max(x, y)] = min(x, y)
+    place = {k: i for i, (k, _) in enumerate(rows)}
+    wrong = [k for k, c in group.items() if texts[place[k]].split() and find(place[k]) != find(place[c])]
+    assert len(wrong) <= 0.001 * len(rows)
+
+
 def test_components_of_long_paths(spark):
     n = 300
     links = spark.createDataFrame([(k, k + 1) for k in range(0, n)] + [(1000, 1001), (1001, 1000), (5, 5)], "a long, b long")
@@ -95,6 +202,10 @@ def test_representatives(spark):
     assert kept.columns == docs.columns
     got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
     assert got == sorted([(50, None), (60, "one"), (70, "word " * 40_000), (None, "alone here")], key=str)
+    clash = docs.selectExpr("*", "1 as _row", "2 as `a.b`", "3 as _turn", "4 as _text_hash", "5 as component", "6 as `row`", "7 as key", "8 as _kept")
+    out = simhash.keep_representatives(clash)
+    assert out.columns == clash.columns and out.count() == 4 and tuple(out.first()[3:]) == tuple(range(1, 9))
+    assert simhash.keep_representatives(clash.limit(0)).count() == 0
 
 
 def test_simhash_query_against_a_scan(spark):
