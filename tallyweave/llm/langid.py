@@ -20,12 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import without, worker_cache
+from tallyweave.llm.common import columns_without, quoted, spare_names, worker_cache
 
 UNKNOWN = "und"
 BUCKETS, DIMENSIONS = 1 << 13, 16
 #: The bound of the training sample: about so many labelled rows for each language.
 ROWS_PER_LABEL = 500
+MOST_LABELS = 1000
 CACHED_WORDS = 250_000
 
 
@@ -39,6 +40,9 @@ class LanguageModel:
     threshold: float
 
 
+ADDED = ("lang_pred", "score", "lang_rejected")
+
+
 class _Grams(dict):
     def __missing__(self, gram: str) -> int:
         if len(self) > CACHED_WORDS:
@@ -81,21 +85,26 @@ def _counts(words: list[str], cache: dict[str, list[int]]) -> tuple[np.ndarray,
 
 
 def train(texts: list[str], labels: list[str], seed: int = 5, epochs: int = 12, batch: int = 32, rate: float = 20.0, least_steps: int = 1500) -> LanguageModel:
-    """Every fifth text is kept for calibration. Each text also trains as two short spans of its words."""
-    names = sorted(set(labels))
+    """About a fifth of the texts, chosen by their hash (so that copies stay together), is kept for calibration.
+
+    Each text also trains as two short spans of its words. Texts without letters say nothing: labels that have no others
+    are not learned, and without any label the model is empty.
+    """
+    worded = [(text, [w for w in map(_normal, text.split()) if w], label) for text, label in zip(texts, labels, strict=True)]
+    worded = [x for x in worded if x[1]]
+    names = sorted({x[2] for x in worded})
     if not names:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
     rng, cache = np.random.default_rng(seed), {}
     rows: list[list] = [[], []]
-    for k, (text, label) in enumerate(zip(texts, labels, strict=True)):
-        words = [w for w in map(_normal, text.split()) if w]
+    for text, words, label in worded:
         spans = [words]
         for _ in range(2):
             n = int(rng.integers(1, 10))
             at = int(rng.integers(0, max(1, len(words) - n + 1)))
             spans.append(words[at : at + n])
-        rows[k % 5 == 4] += [(_counts(s, cache), names.index(label)) for s in spans if s]
-    fit, held = rows if rows[1] else (rows[0], rows[0])
+        rows[zlib.crc32(b"held " + text.encode()) % 5 == 0] += [(_counts(s, cache), names.index(label)) for s in spans if s]
+    fit, held = rows if rows[0] and rows[1] else (rows[0] + rows[1],) * 2
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weight, bias = np.zeros((DIMENSIONS, len(names)), np.float32), np.zeros(len(names), np.float32)
     each = max(1, -(-len(fit) // batch))
@@ -137,16 +146,19 @@ def train(texts: list[str], labels: list[str], seed: int = 5, epochs: int = 12,
 def fit_language_model(docs: DataFrame, text_column: str = "text", label_column: str = "lang", id_column: str = "doc_id", rows_per_label: int = ROWS_PER_LABEL) -> LanguageModel:
     """Trains on rows with a label and a text. The sample is by a hash of id and text, a fraction for each label.
 
-    At most about `rows_per_label` rows a label reach the driver. No labelled rows: a model without labels.
+    At most about `rows_per_label` rows a label reach the driver (twice as many in all, where rows are repeated), and a
+    count for each label, of which there may be MOST_LABELS. No usable labelled rows: a model without labels.
     """
-    rows = docs.where(F.col(label_column).isNotNull() & F.col(text_column).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(label_column).count().collect()}
+    rows = docs.select(quoted(id_column).cast("string").alias("i"), quoted(text_column).cast("string").alias("t"), quoted(label_column).cast("string").alias("l")).where("t is not null and l is not null")
+    counts = {r[0]: r[1] for r in rows.groupBy("l").count().limit(MOST_LABELS + 1).collect()}
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} languages")
     if not counts:
         return train([], [])
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, rows_per_label / n))])
-    draw = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit("langid")), F.lit(1 << 30)) / (1 << 30)
-    drawn = rows.where(draw < F.element_at(share, F.col(label_column))).select(F.col(id_column).alias("i"), F.col(text_column).alias("t"), F.col(label_column).alias("l"))
-    found = sorted(drawn.collect(), key=lambda r: (zlib.crc32(r["t"].encode()), r["t"], r["l"]))
+    rows = rows.withColumn("d", F.pmod(F.xxhash64("i", F.lit("langid")), F.lit(1 << 30)) / (1 << 30))
+    drawn = rows.where(F.col("d") < F.element_at(share, F.col("l"))).orderBy("d", "i", F.xxhash64("t"), "l").limit(2 * rows_per_label * len(counts))
+    found = sorted(drawn.select("t", "l").collect(), key=lambda r: (zlib.crc32(r["t"].encode()), r["t"], r["l"]))
     return train([r["t"] for r in found], [r["l"] for r in found])
 
 
@@ -201,7 +213,8 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_column: str =
     """Adds lang_pred, score (0 to 1) and lang_rejected, from the whole text alone.
 
     A text that is null or has no letter gets `und`, 0 and is rejected; others get a learned label. Empty tables, repeated
-    rows and other columns pass through; columns with an added column's name are replaced.
+    rows and other columns, whatever their names, pass through; columns with an added column's name are replaced (a text
+    column of such a name is read first).
     """
 
     # not deterministic to the optimizer: a filter on what is found must not run the function a second time
@@ -211,8 +224,8 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_column: str =
         for batch in batches:
             rows = list(predict(model, batch.to_pylist(), words))
             columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
-            yield pa.StructArray.from_arrays(columns, ["lang_pred", "score", "lang_rejected"])
+            yield pa.StructArray.from_arrays(columns, ADDED)
 
-    rows = without(docs, "lang_pred", "score", "lang_rejected", "_language")
-    rows = rows.withColumn("_language", found.asNondeterministic()(F.col(text_column).cast("string").cast("binary")))
-    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "_language"], "_language.*")
+    (held,) = spare_names(docs.columns, "_language")
+    rows = docs.select(*columns_without(docs, *ADDED), found.asNondeterministic()(quoted(text_column).cast("string").cast("binary")).alias(held))
+    return rows.select(*columns_without(rows, held), f"{held}.*")

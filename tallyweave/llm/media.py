@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import without
+from tallyweave.llm.common import columns_without, quoted, spare_names
 
 UNIT, RATE = 64, 8000
 FRAME, HOP, BANDS = 256, 128, 4
@@ -54,18 +54,31 @@ def frame_length(samples: int) -> int:
 _HANN = {n: np.hanning(n + 1)[:n] for n in (16, 32, 64, FRAME)}
 
 
+#: Frames whose spectra are held at once.
+FRAMES_HELD = 2048
+
+
+def strongest(x: np.ndarray, frame: int, hop: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, height) of the strongest bin of each frame (rows) and band (columns), by pieces of FRAMES_HELD frames."""
+    frames = 1 + -(-max(0, len(x) - frame) // hop)
+    best, height = np.empty((frames, BANDS), np.int64), np.empty((frames, BANDS))
+    for at in range(0, frames, FRAMES_HELD):
+        n = min(FRAMES_HELD, frames - at)
+        part = x[at * hop : (at + n - 1) * hop + frame].astype(np.float32) - 128
+        part = np.pad(part, (0, frame + hop * (n - 1) - len(part)))
+        windows = np.lib.stride_tricks.sliding_window_view(part, frame)[::hop]
+        power = np.abs(np.fft.rfft(windows * _HANN[frame], axis=1)[:, 1:]).reshape(n, BANDS, width)
+        best[at : at + n] = power.argmax(2)
+        # rounded, so that the order of equal peaks does not hang on the last bits
+        height[at : at + n] = np.round(np.take_along_axis(power, best[at : at + n, :, None], 2)[:, :, 0], 2)
+    return best, height
+
+
 def peak_pairs(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(times, codes) of 8-bit samples; code = (first bin * 128 + second bin) * 32 + frames between, 0 within a frame."""
-    x = np.frombuffer(samples, np.uint8).astype(np.float32) - 128
+    x = np.frombuffer(samples, np.uint8)
     shorter = FRAME // frame_length(len(x))
-    frame, hop, width = FRAME // shorter, HOP // shorter, _BAND // shorter
-    frames = 1 + -(-max(0, len(x) - frame) // hop)
-    x = np.pad(x, (0, frame + hop * (frames - 1) - len(x)))
-    windows = np.lib.stride_tricks.sliding_window_view(x, frame)[::hop]
-    power = np.abs(np.fft.rfft(windows * _HANN[frame], axis=1)[:, 1:]).reshape(frames, BANDS, width)
-    best = power.argmax(2)
-    # rounded, so that the order of equal peaks does not hang on the last bits
-    height = np.round(np.take_along_axis(power, best[:, :, None], 2)[:, :, 0], 2)
+    best, height = strongest(x, FRAME // shorter, HOP // shorter, _BAND // shorter)
     edge = np.zeros((1, BANDS))
     peak = (height > 0) & (height > np.vstack([edge, height[:-1]])) & (height >= np.vstack([height[1:], edge]))
     time, band = np.nonzero(peak)
@@ -97,16 +110,16 @@ def peak_pairs(samples: bytes) -> tuple[np.ndarray, np.ndarray]:
 def with_media(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """Adds n_bytes (of the text's UTF-8; null texts count as empty) and media, a WAV file.
 
-    Empty tables, repeated rows and other columns pass through; columns with an added column's name are replaced.
+    Empty tables, repeated rows and other columns, whatever their names, pass through; columns with an added column's name
+    are replaced. A text costs its size a few times in memory, however long it is.
     """
 
     @F.arrow_udf("binary")
     def written(texts: pa.Array) -> pa.Array:
         return pa.array([to_wav(t.as_py()) for t in texts], pa.binary())
 
-    text = F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary")
-    rows = docs.withColumns({"_n_bytes": F.length(text).cast("long"), "_media": written(text)})
-    return without(rows, "n_bytes", "media").withColumnsRenamed({"_n_bytes": "n_bytes", "_media": "media"})
+    text = F.coalesce(quoted(text_column).cast("string"), F.lit("")).cast("binary")
+    return docs.select(*columns_without(docs, "n_bytes", "media"), F.length(text).cast("long").alias("n_bytes"), written(text).alias("media"))
 
 
 def with_media_features(media: DataFrame, media_column: str = "media") -> DataFrame:
@@ -128,8 +141,9 @@ def with_media_features(media: DataFrame, media_column: str = "media") -> DataFr
             rows.append(dict(zip(names, (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), times, codes), strict=True)))
         return pa.array(rows, schema)
 
-    rows = without(media, "_read", *names).withColumn("_read", read(F.col(media_column)))
-    return rows.select(*[F.col(f"`{c}`") for c in rows.columns if c != "_read"], "_read.*")
+    (held,) = spare_names(media.columns, "_read")
+    rows = media.select(*columns_without(media, *names), read(quoted(media_column)).alias(held))
+    return rows.select(*columns_without(rows, held), f"{held}.*")
 
 
 def feature_text(times: str = "peak_times", codes: str = "peak_codes") -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import without
+from tallyweave.llm.common import columns_without, cut_lineage, quoted, spare_names
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Standard deviations below the mean, and the least bound that is allowed.
@@ -24,12 +24,12 @@ LEAST, MOST = 1.0, 10_000.0
 
 def host_column(url: str) -> Column:
     """After the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased; empty if null or without `://`."""
-    return F.coalesce(F.translate(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1), UPPER, LOWER), F.lit(""))
+    return F.coalesce(F.translate(F.regexp_extract(quoted(url), r"(?s)^.*?://([^/?#]*)", 1), UPPER, LOWER), F.lit(""))
 
 
 def path_column(url: str) -> Column:
     """After the host up to `?`, `#` or the end."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
+    return F.coalesce(F.regexp_extract(quoted(url), r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
 def rule_columns(rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -69,15 +69,16 @@ def _concentration(groups: DataFrame) -> float:
 def host_reputation(hosts: DataFrame, outcomes: DataFrame) -> DataFrame:
     """host, reputation (posterior mean), bound (its lower bound), for every host of `hosts` (host) or `outcomes` (host, good: boolean).
 
-    Outcomes with a null host or good are left out. Without outcomes every reputation is 1/2.
+    Outcomes with a null host or good are left out. Without outcomes every reputation is 1/2. Counts by host are written
+    once; all levels come from them.
     """
-    seen = outcomes.where("host is not null and good is not null").groupBy("host").agg(F.sum(F.col("good").cast("long")).alias("good"), F.count("*").alias("n"))
-    every = hosts.select("host").where("host is not null").withColumns({"good": F.lit(0).cast("long"), "n": F.lit(0).cast("long")})
-    by_host = every.union(seen).groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-    by_host = by_host.withColumns({"domain": domain_column(F.col("host")), "suffix": suffix_column(F.col("host"))})
-    by_domain = by_host.groupBy("domain", "suffix").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
+    n = outcomes.where("host is not null and good is not null").select("host", F.col("good").cast("long").alias("good"), F.lit(1).cast("long").alias("n"))
+    every = hosts.select("host").where("host is not null").select("host", F.lit(0).cast("long").alias("good"), F.lit(0).cast("long").alias("n"))
+    by_host = every.union(n).groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
+    by_host = cut_lineage(by_host.withColumns({"domain": domain_column(F.col("host")), "suffix": suffix_column(F.col("host"))}))
+    by_domain = cut_lineage(by_host.groupBy("domain", "suffix").agg(F.sum("good").alias("good"), F.sum("n").alias("n")))
     by_suffix = by_domain.groupBy("suffix").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-    total = by_suffix.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
+    total = by_domain.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
     overall = (total["good"] + 1) / (total["n"] + 2) if total["n"] else 0.5
 
     def posterior(groups: DataFrame, name: str) -> DataFrame:
@@ -94,13 +95,16 @@ def host_reputation(hosts: DataFrame, outcomes: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]], url_column: str = "url", threshold: float = THRESHOLD) -> DataFrame:
     """Adds host, path, rule (null if none fits), verdict (`allow` or `block`: the rule's, else by reputation).
 
-    A null url, or one without `://`, has an empty host and path, and the reputation of the empty host. Repeated rows,
-    empty tables and other columns pass through; columns with an added column's name are replaced.
+    A null url, or one without `://`, has an empty host and path, and the reputation of the empty host. A host is taken as
+    it stands: a port or user name is part of it, and its domain is its last two labels, whatever they are (`co.uk` is
+    a domain of the suffix `uk`, below which its hosts share a reputation). Repeated rows, empty tables and other columns,
+    whatever their names, pass through; columns with an added column's name are replaced.
     """
-    parsed = without(pages.withColumns({"_host": host_column(url_column), "_path": path_column(url_column)}), "host", "path", "rule", "verdict", "bound", "_judged")
-    parsed = parsed.withColumnsRenamed({"_host": "host", "_path": "path"})
-    found = host_reputation(parsed.select("host").distinct(), outcomes).select(F.col("host").alias("_judged"), "bound")
+    added = ("host", "path", "rule", "verdict")
+    judged, bound = spare_names([*pages.columns, *added], "_judged", "_bound")
+    parsed = pages.select(*columns_without(pages, *added), host_column(url_column).alias("host"), path_column(url_column).alias("path"))
+    found = host_reputation(parsed.select("host"), outcomes).select(F.col("host").alias(judged), F.col("bound").alias(bound))
     rule, said = rule_columns(rules)
-    method = F.when(F.col("bound") >= threshold, "allow").otherwise("block")
-    rows = parsed.join(found, parsed["host"] == found["_judged"], "left").withColumns({"rule": rule, "verdict": F.coalesce(said, method)})
-    return rows.drop("bound", "_judged")
+    method = F.when(F.col(bound) >= threshold, "allow").otherwise("block")
+    rows = parsed.join(found, F.col("host") == F.col(judged), "left").withColumns({"rule": rule, "verdict": F.coalesce(said, method)})
+    return rows.drop(bound, judged)

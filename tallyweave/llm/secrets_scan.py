@@ -6,7 +6,9 @@ that they have. Each is tested for being a uniform draw from that encoding's alp
 runs about the alphabet's middle, and serial correlation. Fisher's combination gives one p-value, uniform for random
 tokens and small for others. For each encoding and length class, the corpus-wide histogram of p gives how many tokens
 are random (twice those above 1/2) and so which share of those above a cut is not; the least cut that keeps this share
-below the limit decides. Short tokens, which the tests tell apart less well, so need more.
+below the limit decides. Short tokens, which the tests tell apart less well, so need more. A class's histogram is shrunk
+towards its encoding's, that towards all tokens', and that towards a fixed one, each counting as POOLED tokens: so a class
+with few tokens takes the cut of its like, and the more it has, the more its own, by one rule at every size.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import cut_lineage, without
+from tallyweave.llm.common import columns_without, cut_lineage, quoted, spare_names
 
 #: Fixed patterns: kind, pattern, a necessary pattern that is fast to look for, group and its least length.
 KINDS = (
@@ -36,8 +38,8 @@ ALPHABETS = {
 }
 #: Limit of the share of tokens above a cut that are not random; bins of p; lengths up to which a class goes.
 FALSE_SHARE, BINS, LENGTHS = 0.05, 50, (24, 32, 48, 64, 128)
-#: Fewer random tokens than this in a class say nothing about it; its cut is then LONE_CUT.
-LEAST_RANDOM, LONE_CUT = 20, 0.05
+#: Tokens that the histogram of the next wider class counts as. The widest is fixed: half random, half below p = 0.1.
+POOLED, FIXED_LOW = 20, 5
 
 
 def _spans(text: Column, pattern: str, guard: str, kind: str, group: int = 0, least: int = 0) -> Column:
@@ -152,17 +154,25 @@ def _length_class(token: Column) -> Column:
 
 
 def false_discovery_cuts(rows: list[tuple[str, int, int]]) -> dict[str, float]:
-    """rows: (class, bin of p, tokens). The least cut of each class that keeps the share of non-random tokens in limit."""
+    """rows: (class: encoding/length, bin of p, tokens). The least cut of each class that keeps the share of non-random tokens in limit."""
     classes: dict[str, list[int]] = {}
     for name, bin_, n in rows:
         classes.setdefault(name, [0] * BINS)[min(BINS - 1, max(0, bin_))] += n
+
+    def shrunk(counts: list[list[int]], wider: list[float]) -> list[float]:
+        """The sum of histograms, and the wider one as POOLED tokens."""
+        scale = POOLED / sum(wider)
+        return [sum(own) + scale * w for *own, w in zip(*counts, wider, strict=True)]
+
+    fixed = [0.5 / BINS + (0.5 / FIXED_LOW if k < FIXED_LOW else 0) for k in range(BINS)]
+    every = shrunk(list(classes.values()), fixed)
+    encodings = {e: shrunk([c for name, c in classes.items() if name.split("/")[0] == e], every) for e in {name.split("/")[0] for name in classes}}
     cuts = {}
     for name, counts in classes.items():
-        random = 2 * sum(counts[BINS // 2 :])
-        cuts[name] = LONE_CUT
-        if random >= LEAST_RANDOM:
-            above = lambda k: sum(counts[k:])  # noqa: B023, E731
-            cuts[name] = next((k / BINS for k in range(BINS // 2) if above(k) - random * (1 - k / BINS) <= FALSE_SHARE * above(k)), 0.5)
+        own = shrunk([counts], encodings[name.split("/")[0]])
+        random = 2 * sum(own[BINS // 2 :])
+        above = [sum(own[k:]) for k in range(BINS // 2)]
+        cuts[name] = next((k / BINS for k, n in enumerate(above) if n - random * (1 - k / BINS) <= FALSE_SHARE * n), 0.5)
     return cuts
 
 
@@ -170,14 +180,19 @@ def scan_secrets(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """Adds base_spans (fixed patterns) and spans (those, and random tokens that overlap none): arrays of (start, end, kind).
 
     Positions are code points, end exclusive; arrays are sorted by start, then kind in the order assign, access, hex, random.
-    Null and empty texts have no spans. Empty tables, repeated rows and other columns pass through; columns with an added
-    column's name are replaced. The tests' cuts are counted over the whole input: two passes over the texts.
+    Null and empty texts have no spans. Empty tables, repeated rows and other columns, whatever their names, pass through;
+    columns with an added column's name are replaced. The tests' cuts are counted over the whole input: two passes over the
+    texts.
     """
-    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    return _scanned(docs, text_column, "base_spans", "spans")
+
+
+def _scanned(docs: DataFrame, text_column: str, base_name: str, spans_name: str) -> DataFrame:
+    text = F.coalesce(quoted(text_column).cast("string"), F.lit(""))
     found = cut_lineage(_class_counts(docs, text))
     rows = [(r["class"], r["bin"], r["n"]) for r in found.collect()]  # at most encodings x length classes x bins
     cuts = false_discovery_cuts(rows)
-    return _with_spans(docs, text, cuts)
+    return _with_spans(docs, text, cuts, base_name, spans_name)
 
 
 def _candidates(text: Column) -> Column:
@@ -197,18 +212,19 @@ def _class_counts(docs: DataFrame, text: Column) -> DataFrame:
     return tokens.groupBy(F.col("t.class").alias("class"), F.least(F.lit(BINS - 1), F.floor(F.col("t.p") * BINS)).cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
-def _with_spans(docs: DataFrame, text: Column, cuts: dict[str, float]) -> DataFrame:
+def _with_spans(docs: DataFrame, text: Column, cuts: dict[str, float], base_name: str, spans_name: str) -> DataFrame:
     order = {kind: k for k, kind in enumerate([k[0] for k in KINDS] + ["random"])}
     short = lambda a: F.transform(a, lambda x: F.struct(x["start"].alias("start"), _lookup(order, x["kind"]).alias("place"), x["end"].alias("end"), x["kind"].alias("kind")))
-    base = F.array_sort(F.concat(*[short(_spans(text, pattern, guard, kind, group, least)) for kind, pattern, guard, group, least in KINDS]))
-    rows = without(docs.withColumns({"_text": text}), "base_spans", "spans", "_base").withColumn("_base", base)
-    if cuts:
-        passed = F.filter(_candidates(F.col("_text")), lambda t: (t["p"] >= _lookup(cuts, t["class"])) & ~F.exists("_base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
-        every = F.array_sort(F.concat("_base", short(passed)))
-    else:
-        every = F.col("_base")
     plain = lambda a: F.transform(a, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
-    return rows.withColumns({"base_spans": plain(F.col("_base")), "spans": plain(every)}).drop("_base", "_text")
+    text_name, held = spare_names([*docs.columns, base_name, spans_name], "_text", "_base")
+    base = F.array_sort(F.concat(*[short(_spans(F.col(text_name), pattern, guard, kind, group, least)) for kind, pattern, guard, group, least in KINDS]))
+    kept = columns_without(docs, base_name, spans_name)
+    rows = docs.select(*kept, text.alias(text_name)).withColumn(held, base)
+    every = F.col(held)
+    if cuts:
+        passed = F.filter(_candidates(F.col(text_name)), lambda t: (t["p"] >= _lookup(cuts, t["class"])) & ~F.exists(held, lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+        every = F.array_sort(F.concat(held, short(passed)))
+    return rows.withColumns({base_name: plain(F.col(held)), spans_name: plain(every)}).drop(held, text_name)
 
 
 def spans_text(spans: str | Column) -> Column:
@@ -219,20 +235,21 @@ def spans_text(spans: str | Column) -> Column:
 def redact(docs: DataFrame, text_column: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The documents, with every span of their texts replaced by `mark` (overlapping spans by one), and n_chars, if there, set anew.
 
-    Null texts stay null. All rows and columns are kept.
+    Null texts stay null. All rows and columns, whatever their names, are kept.
     """
-    names = [c for c in docs.columns if c.lower() not in ("base_spans", "spans")]
-    rows = scan_secrets(docs, text_column)
+    base_name, spans_name = spare_names(docs.columns, "base_spans", "spans")
+    rows = _scanned(docs, text_column, base_name, spans_name)
+    text = quoted(text_column).cast("string")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
-        clear = F.substring(F.col(text_column), s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
+        clear = F.substring(text, s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
         fresh = x["start"] >= s["at"]
         return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(fresh, F.concat(s["out"], clear, F.lit(mark))).otherwise(s["out"]).alias("out"))
 
-    end = lambda s: F.concat(s["out"], F.substring(F.col(text_column), s["at"] + 1, F.length(text_column)))
-    cleaned = F.when(F.size("spans") > 0, F.aggregate("spans", start, step, end)).otherwise(F.col(text_column))
-    rows = rows.withColumn(text_column, cleaned)
-    if "n_chars" in names:
-        rows = rows.withColumn("n_chars", F.length(text_column).cast("long"))
-    return rows.select(*[F.col(f"`{c}`") for c in names])
+    end = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
+    cleaned = F.when(F.size(spans_name) > 0, F.aggregate(spans_name, start, step, end)).otherwise(text)
+    (clean_name,) = spare_names(rows.columns, "_clean")
+    rows = rows.withColumn(clean_name, cleaned)
+    new = {text_column: F.col(clean_name), "n_chars": F.length(clean_name).cast("long")}
+    return rows.select(*[new.get(c, quoted(c)).alias(c) for c in docs.columns])

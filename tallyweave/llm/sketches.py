@@ -1,10 +1,11 @@
 """Document fingerprints by invertible Bloom lookup tables (IBLT).
 
-A text's paragraphs (lines, cut further at some sentence ends that the next letter chooses) are digested to 64 bits. A
+A text's paragraphs (lines, cut further at the ends of sentences and clauses) are digested to 64 bits. A
 digest is in 3 cells of a sketch; a cell holds the count, the XOR of its digests and the XOR of their checks. The sketches
 of two versions subtract cell by cell, which leaves the digests that differ; cells with one digest are peeled until
 none is left, which recovers the differing digests. Where that fails, the digests are dealt by a hash into 4 sketches of
-the same size, each subtracted and peeled alone, and so on: 4 times the cells at each retry, for the failed parts only.
+the same size, each subtracted and peeled alone, and so on: 4 times the cells at each retry, for the failed parts only. A
+failed part hands its digests on to its own 4, so a retry costs in proportion to the digests of the parts that failed.
 
 Native: arrays and higher-order functions within the row. Neighbours come from a window over id ranges.
 """
@@ -16,15 +17,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import shuffle_partitions
+from tallyweave.llm.common import quoted, shuffle_partitions, spare_names
 
 #: Cells of each of the 3 parts of a sketch; a digest is in one cell of each.
 PART, PARTS = 8, 3
 CELLS = PART * PARTS
 #: Rounds of peeling, and sketches that a pair is dealt into at each try.
-ROUNDS, TRIES = 12, (1, 4, 16, 64, 256, 1024)
-#: A line end, or white space between a sentence's end and one of these letters.
-PARAGRAPH_END = r"\n+|(?<=[.!?])[ \t]+(?=[A-HÀ-Ýa-h])"
+ROUNDS, TRIES = 12, (1, 4, 16, 64, 256, 1024, 4096)
+#: A line end, or white space after the end of a sentence or clause.
+PARAGRAPH_END = r"\n+|(?<=[.!?,;:])[ \t]+"
 COARSE_RANGES, RANGE_ROWS = 256, 20_000
 #: Ranges up to which their first ids are broadcast.
 MOST_BROADCAST = 10_000
@@ -90,36 +91,41 @@ def peel(cells: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.struct(s["found"].alias("found"), left(s).alias("left")))
 
 
+_OPEN = "array<struct<a:array<bigint>,b:array<bigint>>>"
+
+
 def with_difference(rows: DataFrame, out: str, a: str, b: str, sketch_a: str, sketch_b: str) -> DataFrame:
     """Adds column `out`: the digests (k, c) only in array column a (c = 1) or only in b (c = -1), by their sketches.
 
-    A part that even the last try leaves is compared digest by digest.
+    A part that even the last try leaves is compared digest by digest: it holds more differing digests than a sketch has
+    room for, after the last try's split into as many parts as its number says. Other columns, whatever their names, are kept.
     """
-
-    def part_of(values: str, groups: int, g: Column) -> Column:
-        return F.filter(values, lambda d: F.pmod(F.shiftrightunsigned(d, 32), F.lit(groups)) == g)
-
-    def tried(groups: int, g: Column) -> Column:
-        if groups == 1:
-            return peel(_subtracted(F.col(sketch_a), F.col(sketch_b)))
-        return peel(_subtracted(sketch(part_of(a, groups, g)), sketch(part_of(b, groups, g))))
-
-    def sorted_out(state: Column, groups: int) -> Column:
-        rs = F.col("_tried")
-        done = F.flatten(F.transform(F.filter(rs, lambda r: r["r"]["left"] == 0), lambda r: r["r"]["found"]))
-        failed = F.filter(rs, lambda r: r["r"]["left"] > 0)
-        split = F.flatten(F.transform(failed, lambda r: F.transform(F.sequence(F.lit(0), F.lit(3)), lambda t: (r["g"] + t * groups).cast("long"))))
-        return F.when(F.size(rs) > 0, F.struct(F.concat(state["found"], done).alias("found"), split.alias("open"))).otherwise(state)
-
-    # state: what is found, and the parts that the next try takes
-    rows = rows.withColumn("_state", F.struct(F.array().cast(_FOUND).alias("found"), F.array(F.lit(0).cast("long")).alias("open")))
-    for groups in TRIES:
-        rows = rows.withColumn("_tried", F.transform("_state.open", lambda g: F.struct(g.alias("g"), tried(groups, g).alias("r"))))  # noqa: B023
-        rows = rows.withColumn("_state", sorted_out(F.col("_state"), groups)).drop("_tried")
-    last = TRIES[-1] * 4
-    side = lambda x, y, c, g: F.transform(F.array_except(part_of(x, last, g), part_of(y, last, g)), lambda d: F.struct(d.alias("k"), F.lit(c).cast("long").alias("c")))
-    rest = F.flatten(F.transform("_state.open", lambda g: F.concat(side(a, b, 1, g), side(b, a, -1, g))))
-    return rows.withColumn(out, F.concat(F.col("_state.found"), rest)).drop("_state")
+    (state_name,) = spare_names([*rows.columns, out], "_state")
+
+    def split(part: Column, level: Column) -> Column:
+        """A failed part's digests in 4 parts, by two bits of the digest that no level before has used."""
+        bits = lambda d: F.call_function("shiftrightunsigned", d, (level * 2 + 32).cast("int")).bitwiseAND(F.lit(3).cast("long"))
+        of = lambda values, t: F.filter(values, lambda d: bits(d) == t)
+        return F.transform(F.array(*[F.lit(t).cast("long") for t in range(4)]), lambda t: F.struct(of(part["a"], t).alias("a"), of(part["b"], t).alias("b")))
+
+    def sorted_out(found: Column, tried: Column, level: Column) -> Column:
+        """What is found, and the parts of those that failed. tried: (part, r) with what peeling gave."""
+        done = F.flatten(F.transform(F.filter(tried, lambda x: x["r"]["left"] == 0), lambda x: x["r"]["found"]))
+        failed = F.flatten(F.transform(F.filter(tried, lambda x: x["r"]["left"] > 0), lambda x: split(x["part"], level)))
+        return F.struct(F.concat(found, done).cast(_FOUND).alias("found"), failed.cast(_OPEN).alias("open"))
+
+    def retried(state: Column, level: Column) -> Column:
+        tried = F.transform(state["open"], lambda part: F.struct(part.alias("part"), peel(_subtracted(sketch(part["a"]), sketch(part["b"]))).alias("r")))
+        return F.when(F.size(state["open"]) > 0, _let(tried, lambda t: sorted_out(state["found"], t, level))).otherwise(state)
+
+    whole = F.struct(F.struct(F.col(a).alias("a"), F.col(b).alias("b")).alias("part"), peel(_subtracted(F.col(sketch_a), F.col(sketch_b))).alias("r"))
+    rows = rows.withColumn(state_name, _let(F.array(whole), lambda t: sorted_out(F.array().cast(_FOUND), t, F.lit(0))))
+    if len(TRIES) > 1:
+        again = F.aggregate(F.sequence(F.lit(1), F.lit(len(TRIES) - 1)), F.col(state_name), retried)
+        rows = rows.withColumn(state_name, F.when(F.size(f"{state_name}.open") > 0, again).otherwise(F.col(state_name)))
+    side = lambda x, y, c: F.transform(F.array_except(x, y), lambda d: F.struct(d.alias("k"), F.lit(c).cast("long").alias("c")))
+    rest = F.flatten(F.transform(f"{state_name}.open", lambda p: F.concat(side(p["a"], p["b"], 1), side(p["b"], p["a"], -1))))
+    return rows.withColumn(out, F.concat(F.col(f"{state_name}.found"), rest)).drop(state_name)
 
 
 def likeness(a: Column, b: Column, differing: Column) -> Column:
@@ -129,8 +135,8 @@ def likeness(a: Column, b: Column, differing: Column) -> Column:
 
 
 def sketch_text(cells: Column) -> Column:
-    """A sketch as hex: count (2 digits), digests (16) and checks (8) of each cell."""
-    one = lambda x: F.concat(F.lpad(F.hex(x["c"]), 4, "0"), F.lpad(F.hex(x["k"]), 16, "0"), F.lpad(F.hex(x["x"]), 8, "0"))
+    """A sketch as hex: count (8 digits, as no array has 2^31 members), digests (16) and checks (8) of each cell."""
+    one = lambda x: F.concat(F.lpad(F.hex(x["c"]), 8, "0"), F.lpad(F.hex(x["k"]), 16, "0"), F.lpad(F.hex(x["x"]), 8, "0"))
     return F.lower(F.array_join(F.transform(cells, one), ""))
 
 
@@ -138,35 +144,44 @@ def with_next_text(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) with next_text: the text of the next row by descending doc_id; the last row's is the first's.
 
     Rows with equal ids are in the order of their text's hash, descending; null ids come last. Rows are dealt into id
-    ranges, which are sorted each on its own; each range also gets the first row of the next one.
+    ranges, which are sorted each on its own; each range also gets the first row of the next one. The bounds of the ranges
+    are percentiles of the ids, held by the driver. An id that is a bound has a range of its own, and if it holds several
+    percentiles of the rows, as many as its rows need, by ranges of the hash; so have null ids.
     """
-    stats = docs.agg(F.count("*").alias("n"), F.percentile_approx("doc_id", [k / COARSE_RANGES for k in range(COARSE_RANGES + 1)]).alias("cuts")).first()
-    cuts = sorted(set(stats["cuts"] or []))
+    stats = docs.agg(F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls"), F.percentile_approx("doc_id", [k / COARSE_RANGES for k in range(COARSE_RANGES + 1)]).alias("cuts")).first()
+    every = sorted(stats["cuts"] or [])
+    cuts = sorted(set(every))
+    several = [c for c in cuts if every.count(c) > 2]
+    subs = stats["n"] // RANGE_ROWS + 1
     finer = -(-max(stats["n"] // RANGE_ROWS, 8 * shuffle_partitions(docs)) // COARSE_RANGES)
-    if len(cuts) < 2:
-        place = F.lit(0).cast("long")
-    else:
-        bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-
-        def within(k: Column) -> Column:
-            low, high = F.element_at(bounds, k), F.element_at(bounds, k + 1)
-            return k * finer + F.least(F.lit(finer - 1), F.greatest(F.lit(0), F.floor((F.col("doc_id") - low).cast("double") * finer / (high - low))))
-
-        at = F.greatest(F.lit(1), F.least(F.lit(len(cuts) - 1), F.size(F.filter(bounds, lambda c: c <= F.col("doc_id")))))
-        place = _let(at, within).cast("long")
-    rows = docs.select("doc_id", "text").withColumns({"_range": F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(place), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
+    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
+    doc_id = F.col("doc_id")
+
+    def within(k: Column) -> Column:
+        """The place of an id at or after the k-th bound and before the next: the bound alone, or one of `finer` stretches."""
+        low, high = F.element_at(bounds, k), F.element_at(bounds, F.least(k + 1, F.lit(len(cuts))))
+        width = F.greatest(high.cast("double") - low.cast("double"), F.lit(1.0))
+        at = F.floor((doc_id.cast("double") - low.cast("double")) * finer / width)
+        return k.cast("long") * (finer + 1) + F.when(doc_id == low, F.lit(0)).otherwise(1 + F.least(F.lit(finer - 1), F.greatest(F.lit(0), at)))
+
+    place = _let(F.greatest(F.lit(1), F.size(F.filter(bounds, lambda c: c <= doc_id))), within).cast("long") if cuts else F.lit(0).cast("long")
+    # hash ranges ascend with the hash
+    hashed = F.least(F.lit(subs - 1), F.floor((F.col("_hash").cast("double") / 2.0**64 + 0.5) * subs)).cast("long")
+    split = doc_id.isNull() | (doc_id.isin(several) if several else F.lit(False))
+    rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    rows = rows.withColumns({"_range": F.when(doc_id.isNull(), F.lit(-1).cast("long")).otherwise(place), "_sub": F.when(split, hashed).otherwise(F.lit(0).cast("long"))})
     # a row for each range; its first row follows the last of the range above, and the topmost that of the lowest
-    in_order = Window.orderBy("_range")
-    lowest = F.first("_range").over(in_order)
-    tops = rows.groupBy("_range").agg(F.max("doc_id").alias("_top"))
-    heads = tops.select("_top", F.col("_range").alias("_of"), F.coalesce(F.lead("_range").over(in_order), lowest).alias("_to"))
-    if (len(cuts) + 1) * finer <= MOST_BROADCAST:
+    in_order = Window.orderBy("_range", "_sub")
+    here = F.struct("_range", "_sub")
+    tops = rows.groupBy("_range", "_sub").agg(F.max(F.struct("doc_id", "_hash")).alias("_top"))
+    heads = tops.select("_top", here.alias("_of"), F.coalesce(F.lead(here).over(in_order), F.first(here).over(in_order)).alias("_to"))
+    if len(cuts) * (finer + 1) + (len(several) + 1) * subs <= MOST_BROADCAST:  # the number of ranges at most
         heads = F.broadcast(heads)
-    first = rows.join(heads, F.col("doc_id").eqNullSafe(F.col("_top")) & (F.col("_range") == F.col("_of")))
-    first = first.select("doc_id", "text", F.col("_to").alias("_range"), "_hash", F.lit(1).alias("_copy"))
-    order = Window.partitionBy("_range").orderBy("_copy", F.desc_nulls_last("doc_id"), F.desc("_hash"))
-    every = rows.withColumn("_copy", F.lit(0)).union(first)
-    return every.withColumn("next_text", F.lead("text").over(order)).where("_copy = 0").drop("_range", "_hash", "_copy")
+    first = rows.join(heads, doc_id.eqNullSafe(F.col("_top.doc_id")) & (F.col("_hash") == F.col("_top._hash")) & (F.col("_range") == F.col("_of._range")) & (F.col("_sub") == F.col("_of._sub")))
+    first = first.select("doc_id", "text", "_hash", F.col("_to._range").alias("_range"), F.col("_to._sub").alias("_sub"), F.lit(1).alias("_copy"))
+    order = Window.partitionBy("_range", "_sub").orderBy("_copy", F.desc_nulls_last("doc_id"), F.desc("_hash"))
+    both = rows.withColumn("_copy", F.lit(0)).union(first)
+    return both.withColumn("next_text", F.lead("text").over(order)).where("_copy = 0").drop("_range", "_sub", "_hash", "_copy")
 
 
 def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -178,7 +193,7 @@ def fingerprint_documents(docs: DataFrame, id_column: str = "doc_id", text_colum
     empty texts have likeness 1. Repeated rows are rows of their own (see with_next_text). Other columns are ignored.
     An empty table gives no rows.
     """
-    kept = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    kept = docs.select(quoted(id_column).cast("long").alias("doc_id"), F.coalesce(quoted(text_column).cast("string"), F.lit("")).alias("text"))
     rows = with_next_text(kept).withColumn("n_chars", F.length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited_text", F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring("next_text", F.lit(1), half)))

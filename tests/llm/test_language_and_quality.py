@@ -86,3 +86,83 @@ def test_quality_query_on_held_out_rows(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in found)
     assert all(r["predicted"] == int(r["score"] >= 0.3) for r in found)
     assert np.mean([r["predicted"] == r["quality"] for r in found]) > 0.8
+
+
+CLASHES = ["_language", "_id", "_label", "i", "t", "l", "d", "j", "y", "a.b", "a`c"]
+
+
+def test_other_columns_of_any_name(spark):
+    rows = spark.createDataFrame(made_texts(60), "doc_id long, text string, lang string").select("*", *[F.lit(k).alias(c) for k, c in enumerate(CLASHES)])
+    model = langid.fit_language_model(rows)
+    assert model.labels == ["aa", "bb"]
+    found = langid.identify_language(rows, model)
+    assert found.columns == [*rows.columns, "lang_pred", "score", "lang_rejected"] and tuple(found.first()[3:14]) == tuple(range(11))
+    labels = rows.select("doc_id", (F.col("lang") == "aa").cast("int").alias("quality"), *[F.col(f"`{c.replace('`', '``')}`") for c in CLASHES])
+    scored = quality.score_quality(rows, quality.fit_quality_model(rows, labels))
+    assert scored.columns == [*rows.columns, "score"] and scored.count() == 60
+
+
+def test_training_without_usable_texts(spark):
+    for texts in (["", ""], ["12", "!!"], []):
+        assert langid.train(texts, ["aa"] * len(texts)).labels == []
+    docs = spark.createDataFrame([(1, "", "aa"), (2, "34", "bb"), (3, None, "aa")], "doc_id long, text string, lang string")
+    model = langid.fit_language_model(docs)
+    assert [r["lang_pred"] for r in langid.identify_language(docs, model).collect()] == [langid.UNKNOWN] * 3
+    one = langid.train(["kari mo"], ["aa"])
+    assert one.labels == ["aa"] and next(langid.predict(one, [b"kari"]))[0] == "aa"
+
+
+def test_samples_are_bounded_with_repeated_ids(spark):
+    docs = spark.createDataFrame([(7, f"kari mo {k} tu" + "x" * k, "aa") for k in range(300)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(7, 1), (7, 0), (7, 1)], "doc_id long, quality int")
+    assert len(quality.fit_quality_model(docs, labels, rows=10).weight) and langid.fit_language_model(docs, rows_per_label=10).labels in ([], ["aa"])
+
+
+def plain_language(model, text):
+    """Label and score by summing the logits of every n-gram of the text, one word at a time."""
+    total, n = np.zeros(len(model.labels)), 0
+    for word in (text or "").split():
+        word = "".join(c for c in word.lower() if c.isalpha())
+        if word:
+            marked = f"<{word}>"
+            grams = [word] + [marked[i : i + k] for k in (2, 3, 4) for i in range(len(marked) - k + 1)]
+            for g in grams:
+                total += model.logits[zlib.crc32(g.encode()) % langid.BUCKETS]
+            n += len(grams)
+    if not n:
+        return langid.UNKNOWN, 0.0
+    z = (total / n + model.bias) / model.temperature
+    p = np.exp(z - z.max())
+    return model.labels[int(p.argmax())], p.max() / p.sum()
+
+
+def test_language_query_by_hand(spark):
+    """Each row of the query against a direct sum over its text, with a model trained apart on the same rows."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = {r["doc_id"]: r for r in docs.collect()}
+    model = langid.fit_language_model(docs.where("crc32(cast(doc_id as string)) % 4 <> 2"))
+    for r in queries.op1_language_id(spark, DATA).collect():
+        label, score = plain_language(model, rows[r["doc_id"]]["text"])
+        assert r["lang_pred"] == label and abs(r["score"] - score) < 1e-4
+
+
+def test_quality_query_by_hand(spark):
+    """Each row of the query: the logistic of weighted features, recomputed text by text in plain Python."""
+    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    model = quality.fit_quality_model(docs, labels.where("crc32(cast(doc_id as string)) % 5 <> 0"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in queries.op2_quality_ranking(spark, DATA).collect():
+        raw = texts[r["doc_id"]].encode()
+        words, lines = raw.split(), raw.split(b"\n")
+        found = quality.features(raw)
+        n = max(1, len(raw))
+        for k, members in enumerate(quality._BYTE_SETS):
+            share = sum(b in members for b in raw) / n
+            assert abs(found[k] - share) < 1e-9 and abs(found[k + len(quality._BYTE_SETS)] - share**0.5) < 1e-9
+        rest = found[2 * len(quality._BYTE_SETS) :]
+        w = max(1, len(words))
+        repeats = max((words.count(x) for x in set(words)), default=0) if len(words) < 500 else None
+        assert rest[3] == len(set(words)) / w and (repeats is None or rest[4] == repeats / w) and rest[8] == len(set(lines)) / len(lines)
+        z = sum(min(6, max(-6, (x - m) / s)) * v for x, m, s, v in zip(found, model.mean, model.scale, model.weight, strict=True))
+        want = 1 / (1 + np.exp(-(z - model.cut + np.log(0.3 / 0.7))))
+        assert abs(r["score"] - want) < 1e-6

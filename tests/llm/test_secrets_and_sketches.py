@@ -67,8 +67,15 @@ def test_cuts_control_the_false_share():
     random_ = [("a", k, 10) for k in range(50)]
     assert secrets_scan.false_discovery_cuts(random_) == {"a": 0.0}
     assert secrets_scan.false_discovery_cuts([*random_, ("a", 0, 5000)]) == {"a": 0.02}
-    few = secrets_scan.false_discovery_cuts([("b", 49, 3), ("c", 0, 100)])
-    assert few == {"b": secrets_scan.LONE_CUT, "c": secrets_scan.LONE_CUT}
+    # few tokens: the cut of their like, without a step at any number of tokens
+    cut = lambda rows: secrets_scan.false_discovery_cuts(rows)["c/0"]
+    assert [cut([("c/0", 0, n)]) for n in (1, 19, 20, 21, 1000)] == [0.1] * 5
+    spread = [cut([("c/0", k, n) for k in range(50)]) for n in range(30)][1:]
+    assert spread == sorted(spread, reverse=True) and spread[0] <= 0.1 and spread[-1] == 0
+    # a lone token takes the cut of its encoding, and that one the cut of all
+    assert secrets_scan.false_discovery_cuts([("d/0", 30, 1), *[("d/1", k, 40) for k in range(50)]]) == {"d/0": 0, "d/1": 0}
+    noisy = secrets_scan.false_discovery_cuts([("e/0", 30, 1), *[("d/1", k, 40) for k in range(50)], ("d/1", 0, 40_000)])
+    assert noisy["e/0"] > 0
 
 
 def test_encodings(spark):
@@ -83,6 +90,14 @@ def test_redaction(spark):
     assert out.columns == docs.columns
     got = {r["doc_id"]: r["text"] for r in out.collect()}
     assert got == {0: "a [SECRET] b", 1: "[SECRET]\" end", 2: None, 3: "clean", 4: "é [SECRET] ü"}
+    names = ["_text", "_base", "base_spans", "spans", "_clean", "a.b", "a`c"]
+    clash = docs.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    out = secrets_scan.redact(clash)
+    assert out.columns == clash.columns
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == got and all(tuple(r[3:]) == tuple(range(7)) for r in out.collect())
+    scanned = secrets_scan.scan_secrets(clash)
+    assert scanned.columns == [c for c in clash.columns if c not in ("base_spans", "spans")] + ["base_spans", "spans"]
+    assert {r["_text"] for r in scanned.collect()} == {0}
 
 
 def test_secret_query(spark):
@@ -95,7 +110,7 @@ def test_secret_query(spark):
 
 
 def paragraphs(text):
-    return {p for p in re.split(r"\n+|(?<=[.!?])[ \t]+(?=[A-HÀ-Ýa-h])", text) if p}
+    return {p for p in re.split(r"\n+|(?<=[.!?,;:])[ \t]+", text) if p}
 
 
 def like(a, b):
@@ -120,7 +135,7 @@ def test_sketches_recover_differences_of_all_sizes(spark):
     rng = random.Random(5)
     rows = [(10_000 - k, "\n".join(f"line {rng.randrange(40 * k + 2)}" for _ in range(int(1.6**k) if k < 15 else 3))) for k in range(16)]
     rows += [(5, None), (4, ""), (3, "x\n\n\ny\nx"), (2, "é漢🙂. Zed. Also this."), (1, "same\n" * 400)]
-    docs = spark.createDataFrame([(k, t, 0) for k, t in rows], "doc_id long, text string, sketch int").repartition(3)
+    docs = spark.createDataFrame([(k, t, 0) for k, t in rows], "doc_id long, text string, sketch int").repartition(3).selectExpr("*", "1 as _state", "2 as `a.b`", "3 as _range", "4 as digests")
     found = sorted(sketches.fingerprint_documents(docs).collect(), key=lambda r: -r["doc_id"])
     check_prints(found, rows)
     assert sketches.fingerprint_documents(docs.limit(0)).count() == 0
@@ -143,6 +158,34 @@ def test_repeated_null_and_single_ids(spark):
     assert alone["edited_text"] == "abab" and alone["near_next"] == 1.0
 
 
+def test_hot_and_null_ids_are_dealt_by_hash(spark, monkeypatch):
+    """Half the rows have one id or none; the neighbours are those of a plain sort, and no range holds an id's rows."""
+    monkeypatch.setattr(sketches, "RANGE_ROWS", 20)
+    rng = random.Random(9)
+    rows = [(k if k % 2 else 50 if k % 4 else None, f"text {rng.randrange(10**9)}. one, two {k}") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashed = {r["text"]: r["h"] for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]]), reverse=True)
+    after = {t: order[(k + 1) % len(order)][1] for k, (_, t) in enumerate(order)}
+    found = sketches.with_next_text(docs).collect()
+    assert len(found) == len(rows) and all(r["next_text"] == after[r["text"]] for r in found)
+    copies = docs.where("doc_id is null").limit(1).selectExpr("doc_id", "'same' as text", "explode(sequence(1, 90)) as k").drop("k")
+    assert all(r["next_text"] == "same" for r in sketches.with_next_text(copies).collect())
+
+
+def test_long_texts(spark):
+    """A text of many pieces, of which nearly all differ, is recovered by splitting."""
+    a = "\n".join(f"a{k}" for k in range(30_000))
+    b = "\n".join(f"b{k}" for k in range(0, 30_000, 2)) + "\n" + a
+    docs = spark.createDataFrame([(2, a), (1, b)], "doc_id long, text string")
+    check_prints(sorted(sketches.fingerprint_documents(docs).collect(), key=lambda r: -r["doc_id"]), [(2, a), (1, b)])
+
+
+def test_counts_above_four_digits(spark):
+    cell = spark.sql("select array(named_struct('c', 70000L, 'k', 5L, 'x', 6L)) as s").select(sketches.sketch_text(F.col("s"))).first()[0]
+    assert cell == f"{70000:08x}{5:016x}{6:08x}"
+
+
 def test_sketch_query(spark):
     rows = sorted(((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()), reverse=True)
     found = {r["doc_id"]: r for r in queries.op10_iblt_fingerprint(spark, DATA).collect()}
