@@ -12,6 +12,7 @@ candidate for each power of two, which needs no padding. No shuffle: each input
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -20,9 +21,8 @@ from unicodedata import is_normalized
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallyweave.llm.common import worker_cache
+from tallyweave.llm.common import quoted, worker_cache
 
 CAPACITY = 2048
 #: Costs in padding tokens: of any window, of a cut inside a document, of a cut inside a sentence.
@@ -35,7 +35,12 @@ LEAST_POWER = 1
 BLOCK = 1 << 18
 #: Words in each of a worker's two cache generations.
 CACHED_WORDS = 200_000
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, row_key long"
+# What a tokenizer that WordTokens knows does to texts before its vocabulary, as its file says it.
+KNOWN_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+KNOWN_SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+KNOWN_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+# End of fixed values.
 
 
 def _byte_characters() -> dict[int, str]:
@@ -65,6 +70,11 @@ class WordTokens(dict):
         self.marks: dict[bytes | str, bytes] = {}
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
+    def parts(self, text: bytes) -> list[bytes]:
+        """The ids of a text's sentences, in order."""
+        get = self.__getitem__
+        return [b"".join(map(get, sentence.split())) for sentence in sentences(simplified(text))]
+
     def _model_ids(self, part: str) -> bytes:
         mapped = part if part.isascii() else "".join(map(self.characters.__getitem__, part.encode()))
         packed = self.packed
@@ -110,6 +120,38 @@ class WordTokens(dict):
         return b"".join([self.packed[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
 
+class WholeTokens:
+    """The ids of whole texts, by any tokenizer; sentences end at the tokens that end with their marks."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def parts(self, text: bytes) -> list[bytes]:
+        whole = text.decode("utf-8", "replace")
+        found = self.tokenizer.encode(whole, add_special_tokens=False)
+        out, at = [], 0
+        for k, (_, end) in enumerate(found.offsets, 1):
+            if k == len(found.ids) or (whole[end - 1 : end] in ".!?\n" and whole[end : end + 1].isspace()) or whole[end - 1 : end] == "\n":
+                out.append(b"".join(i.to_bytes(4, "little") for i in found.ids[at:k]))
+                at = k
+        return out
+
+
+def known(path: str) -> bool:
+    """Whether a tokenizer's file is of the kind whose texts WordTokens may take apart."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    model, marks = said["model"], {a["content"] for a in said.get("added_tokens") or ()}
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback")) and all(m.startswith("<|") for m in marks)
+    return said.get("normalizer") == KNOWN_NORMALIZER and said.get("pre_tokenizer") == {"type": "Sequence", "pretokenizers": [KNOWN_SPLIT, KNOWN_BYTES]} and model["type"] == "BPE" and plain
+
+
+def tokens(path: str) -> WordTokens | WholeTokens:
+    return WordTokens(path) if known(path) else WholeTokens(path)
+
+
 _SIMPLE = b"abcdefghijklmnopqrstuvwxyz0123456789 \n.,"
 _ASCII = bytes(range(128))
 
@@ -173,19 +215,19 @@ def plan_windows(cuts: list[int], costs: list[int], capacity: int = CAPACITY) ->
 class Stream:
     """The planned and unplanned tokens of one ordered stream of documents."""
 
-    def __init__(self, words: WordTokens, eos: int, capacity: int, first_sequence: int):
+    def __init__(self, words: WordTokens | WholeTokens, eos: int, capacity: int, first_sequence: int):
         self.words, self.eos, self.capacity, self.sequence = words, eos.to_bytes(4, "little"), capacity, first_sequence
         self.buffer: list[bytes] = []
         self.size = 0
         self.cuts, self.costs = [0], [0]
-        #: doc_id, position of the first id here (negative if cut before), ids in all
-        self.docs: list[tuple[int | None, int, int]] = []
+        #: doc_id, position of the first id here (negative if cut before), ids in all, key
+        self.docs: list[tuple[int | None, int, int, int]] = []
+        self.key = first_sequence
 
     def add(self, doc_id: int | None, text: bytes | None) -> None:
         began, at = self.size, self.size
-        get, cuts, costs = self.words.__getitem__, self.cuts, self.costs
-        for sentence in sentences(simplified(text or b"")):
-            ids = b"".join(map(get, sentence.split()))
+        cuts, costs = self.cuts, self.costs
+        for ids in self.words.parts(text or b""):
             if not ids:
                 continue
             self.buffer.append(ids)
@@ -204,7 +246,8 @@ class Stream:
         self.size = at + 1
         cuts.append(self.size)
         costs.append(0)
-        self.docs.append((doc_id, began, self.size - began))
+        self.docs.append((doc_id, began, self.size - began, self.key))
+        self.key += 1
 
     def planned(self, final: bool) -> Iterator[tuple]:
         """The pieces of all windows, or of all but the last few."""
@@ -217,9 +260,9 @@ class Stream:
         for j in path:
             end = self.cuts[j]
             while k < len(self.docs) and self.docs[k][1] < end:
-                doc_id, began, n = self.docs[k]
+                doc_id, began, n, key = self.docs[k]
                 a, b = max(began, done), min(began + n, end)
-                yield doc_id, a - began, b - a, zlib.crc32(ids[4 * a : 4 * b]), n, self.sequence, a - done
+                yield doc_id, a - began, b - a, zlib.crc32(ids[4 * a : 4 * b]), n, self.sequence, a - done, key
                 if began + n > end:
                     break
                 k += 1
@@ -228,7 +271,7 @@ class Stream:
         j = path[-1]
         self.buffer, self.size = [ids[4 * done :]], self.size - done
         self.cuts, self.costs = [c - done for c in self.cuts[j:]], [0, *self.costs[j + 1 :]]
-        self.docs = [(d, s - done, n) for d, s, n in self.docs[k:]]
+        self.docs = [(d, s - done, n, key) for d, s, n, key in self.docs[k:]]
 
 
 def pack_documents(
@@ -237,14 +280,16 @@ def pack_documents(
     """One row for each piece of a document: where it starts in the document's ids, and its sequence and offset there.
 
     A document's ids are those of its whole text and then `end_id`. Each id lies in exactly one piece; a sequence
-    holds at most `capacity` ids, its offsets are gapless from 0, and its number is unique.
+    holds at most `capacity` ids, its offsets are gapless from 0, and its number is unique. row_key is a number of the input
+    row, so that pieces of rows with the same doc_id can be told apart.
     Null and empty texts are `end_id` alone. Repeated rows are packed each. A null id stays null. An empty table gives
-    no rows. Other columns are ignored. Within a partition the input order is kept.
+    no rows. Other columns are ignored. Within a partition the input order is kept. The tokenizer may be of any kind; texts
+    are taken apart into cached words only where its file shows that this gives the same ids (`known`).
     """
     schema = pa.schema([(x.split()[0], pa.int64()) for x in PIECES.split(", ")])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream = Stream(worker_cache(tokenizer_path, lambda: WordTokens(tokenizer_path)), end_id, capacity, TaskContext.get().partitionId() << 33)
+        stream = Stream(worker_cache(tokenizer_path, lambda: tokens(tokenizer_path)), end_id, capacity, TaskContext.get().partitionId() << 33)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -256,5 +301,5 @@ def pack_documents(
         if rows := list(stream.planned(final=True)):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=schema)
 
-    kept = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").cast("binary").alias("text"))
+    kept = docs.select(quoted(id_column).cast("long").alias("doc_id"), quoted(text_column).cast("string").cast("binary").alias("text"))
     return kept.mapInArrow(pack, PIECES)

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import shuffle_partitions
+from tallyweave.llm.common import quoted, shuffle_partitions
 
 WINDOW = 20
 #: A perfect difference set: every residue modulo PERIOD is a difference of two of COVER.
@@ -31,6 +31,8 @@ FLUSH_WORDS, FLUSH_MARKS = 3_000_000, 1_000_000
 #: Bytes of a hash that anchors travel with: they only choose what is compared, so a chance match costs time alone.
 ANCHOR_BYTES = 6
 CACHED_WORDS = 300_000
+#: Bytes of text whose places go to one route at most, about: a task holds one route's at a time.
+ROUTE_BYTES = 16 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _IS_COVER = np.isin(np.arange(PERIOD), COVER)
 
@@ -54,10 +56,18 @@ def _tag(text: bytes) -> int:
     return xxh64_intdigest(text) >> 1
 
 
-def _ambiguous(docs: DataFrame) -> bool:
-    """Whether an id has different texts."""
+def _facts(docs: DataFrame) -> tuple[bool, int]:
+    """Whether an id has different texts; bytes of all texts."""
     h = F.xxhash64("text")
-    return docs.groupBy("doc_id").agg(F.min(h).alias("a"), F.max(h).alias("b")).where("a <> b").limit(1).count() > 0
+    by_id = docs.groupBy("doc_id").agg(F.min(h).alias("a"), F.max(h).alias("b"), F.sum(F.length("text")).alias("n"))
+    row = by_id.agg(F.bool_or(F.col("a") != F.col("b")).alias("several"), F.sum("n").alias("n")).first()
+    return bool(row["several"]), row["n"] or 0
+
+
+def deal(size: int, partitions: int) -> tuple[int, int]:
+    """(routes, partitions) for so many bytes of text: a route's places fit in memory, whatever the input and the setting."""
+    routes = max(3 * partitions, -(-size // ROUTE_BYTES))
+    return routes, max(partitions, -(-routes // 3))
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -333,14 +343,14 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     same document. Rows with the same doc_id count as one document in this order, so a window at the same place of
     two of them spares both. A null
     doc_id comes after all others. Null and empty texts have no words. An empty table gives no rows. Windows are compared
-    by 64-bit hashes.
+    by 64-bit hashes. Other columns, whatever their names, are ignored.
     """
-    parts = shuffle_partitions(docs)
-    routes = 3 * parts  # a task sends a blob to each route at most
-    kept = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary").alias("text"))
+    kept = docs.select(F.coalesce(quoted(id_column).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(quoted(text_column).cast("string"), F.lit("")).cast("binary").alias("text"))
 
     # marks are told by id and position; only where an id has several texts do they need to tell these apart
-    tag = _tag if _ambiguous(kept) else lambda _: 0
+    several, size = _facts(kept)
+    tag = _tag if several else lambda _: 0
+    routes, parts = deal(size, shuffle_partitions(docs))
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Anchors(routes, tag)

@@ -31,7 +31,7 @@ URLS = [None, "", "no scheme", "://", "http://", "HTTP://WWW.Example.COM/en/x?y"
 
 
 def judged(spark, urls, outcomes):
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").selectExpr("*", "'clash' as host", "1 as bound")
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").selectExpr("*", "'clash' as host", "1 as bound", "2 as _host", "3 as _path", "4 as _judged", "5 as `a.b`", "6 as _bound")
     return reputation.judge_urls(pages, spark.createDataFrame(outcomes, "host string, good boolean"), RULES)
 
 
@@ -42,6 +42,7 @@ def test_rules_hosts_and_paths(spark):
         host, path = plain_host_path(r["url"])
         rule = plain_rule(host, path)
         assert (r["host"], r["path"]) == (host, path)
+        assert (r["bound"], r["_host"], r["_path"], r["_judged"], r["a.b"], r["_bound"]) == (1, 2, 3, 4, 5, 6)
         assert r["rule"] == (rule and rule[1] + rule[2])
         assert r["verdict"] == (rule[0] if rule else "block")  # without outcomes every bound is below the threshold
     assert judged(spark, [], [("a.org", True)]).count() == 0
@@ -126,10 +127,11 @@ def test_peaks_of_a_tone():
 
 def test_media_columns_and_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, "abc"), (3, "abc"), (None, "ü" * 70_000)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as media", "0 as tail_crc32")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as media", "0 as tail_crc32", "1 as _read", "2 as _n_bytes", "3 as _media", "4 as `a.b`")
     found = media.with_media_features(media.with_media(docs)).collect()
-    assert len(found) == 5 and set(found[0].asDict()) == {"doc_id", "text", "n_bytes", "media", "payload_bytes", "payload_sha256", "tail_crc32", "peak_times", "peak_codes"}
+    assert len(found) == 5 and set(found[0].asDict()) == {"doc_id", "text", "n_bytes", "media", "payload_bytes", "payload_sha256", "tail_crc32", "peak_times", "peak_codes", "_read", "_n_bytes", "_media", "a.b"}
     for r in found:
+        assert (r["_read"], r["_n_bytes"], r["_media"], r["a.b"]) == (1, 2, 3, 4)
         raw = (r["text"] or "").encode()
         padded = raw + bytes(-len(raw) % 64 if raw else 64)
         assert r["n_bytes"] == len(raw) and r["payload_bytes"] == len(padded)
@@ -149,6 +151,69 @@ def test_media_query(spark):
     assert len(by_text) > 100 and len(set(by_text.values())) == pytest.approx(len(by_text), abs=20)
 
 
+def plain_pairs(samples):
+    """Times and codes by a slow Fourier transform, frame by frame, and loops over peaks."""
+    n = len(samples)
+    frame = 256 if n > 256 else max(16, 2 ** (int(np.log2(max(1, n // 4)))))
+    hop, width, scale = frame // 2, frame // 8, 256 // frame
+    window = [0.5 - 0.5 * np.cos(2 * np.pi * k / frame) for k in range(frame)]
+    turn = np.exp(-2j * np.pi * np.outer(np.arange(frame), np.arange(1, frame // 2 + 1)) / frame)
+    rows, at = [], 0
+    while True:
+        part = [(samples[at + k] - 128.0 if at + k < n else 0.0) * window[k] for k in range(frame)]
+        power = abs(np.array(part) @ turn)
+        rows.append([max((round(float(power[b * width + j]), 2), -j) for j in range(width)) for b in range(4)])
+        at += hop
+        if at + hop >= n:
+            break
+    peaks = []
+    for t, row in enumerate(rows):
+        for b in range(4):
+            h = row[b][0]
+            if h > 0 and h > (rows[t - 1][b][0] if t else 0) and h >= (rows[t + 1][b][0] if t + 1 < len(rows) else 0):
+                peaks.append((t, b * 32 + (1 - row[b][1]) * scale - 1))
+    return rows, peaks
+
+
+def test_strongest_bins_and_peaks_by_hand(spark):
+    texts = [r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").limit(40).collect()]
+    for text in [*(t[:3000] for t in texts), "short one", "x" * 300]:
+        payload = media.from_wav(media.to_wav(text.encode()))
+        rows, peaks = plain_pairs(payload)
+        frame = media.frame_length(len(payload))
+        best, height = media.strongest(np.frombuffer(payload, np.uint8), frame, frame // 2, frame // 8)
+        assert height.shape == (len(rows), 4) and np.allclose(height, [[x[0] for x in r] for r in rows], atol=0.02)
+        times, codes = media.peak_pairs(payload)
+        first, second, gap = codes // 32 // 128, codes // 32 % 128, codes % 32
+        at = set(peaks)
+        near = [(int(t), int(a)) in at and (int(t + g), int(b)) in at for t, a, b, g in zip(times, first, second, gap, strict=True)]
+        assert np.mean(near) > 0.98  # ties of rounded heights apart
+        ahead = {p: [q for q in peaks[k + 1 : k + 6] if 0 < q[0] - p[0] <= media.REACH][: media.FAN] for k, p in enumerate(peaks)}
+        want = sorted((p[0], p[1], q[1], q[0] - p[0]) for p, qs in ahead.items() for q in qs)
+        got = sorted((int(t), int(a), int(b), int(g)) for t, a, b, g in zip(times, first, second, gap, strict=True))
+        if want:
+            assert len(set(want) & set(got)) >= 0.97 * len(want) and len(got) <= 1.03 * len(want) + 1
+
+
+def test_pieces_of_frames_change_nothing(monkeypatch):
+    text = np.random.default_rng(4).integers(32, 127, 100_001).astype(np.uint8).tobytes()
+    whole = media.peak_pairs(text)
+    for held in (1, 7, 64):
+        monkeypatch.setattr(media, "FRAMES_HELD", held)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, media.peak_pairs(text), strict=True))
+
+
+def test_very_long_texts_cost_a_few_times_their_size():
+    import tracemalloc
+
+    text = b"some words of a very long text. " * 250_000
+    tracemalloc.start()
+    media.peak_pairs(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(text)
+
+
 def test_every_text_with_a_peak_has_a_fingerprint():
     words = ["line", "song", "the tree", "our river", "letters of", "water in", "paths"]
     short = [" ".join(p).encode() for p in [*itertools.permutations(words, 5)][::100]]

@@ -241,6 +241,13 @@ def test_cover_brings_all_pairs_together():
             assert any((i + s) % p in d and (j + s) % p in d for s in range(p))
 
 
+def test_routes_follow_the_bytes():
+    assert substring.deal(0, 8) == (24, 8) and substring.deal(10**9, 8)[0] >= 60
+    for size in (10**6, 10**9, 10**14):
+        routes, parts = substring.deal(size, 200)
+        assert size / routes <= substring.ROUTE_BYTES and routes <= 3 * parts
+
+
 def test_removal_equals_a_plain_scan(spark, monkeypatch):
     monkeypatch.setattr(substring, "FLUSH_WORDS", 300)
     rng = random.Random(7)
