@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import cut_lineage, read_table
+from tallyweave.llm.common import cut_lineage, quoted, read_table
 from tallyweave.llm.langid import fit_language_model, identify_language
 from tallyweave.llm.mixing import mixed_texts
 from tallyweave.llm.packing import pack_documents
@@ -24,12 +24,14 @@ ORACLE_SQL = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified; those that the calibrated model rejects go. A null lang is filled in."""
-    found = identify_language(docs, fit_language_model(docs)).where(~F.col("lang_rejected"))
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    whole = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("document"), "text")
+    found = identify_language(whole, fit_language_model(docs)).where(~F.col("lang_rejected"))
+    filled = {"lang": F.coalesce("document.lang", "lang_pred")}
+    return found.select(*[filled.get(c, F.col("document").getField(c)).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group stays: copies, and texts whose sets of five-word shingles are similar to 0.8 or more."""
     return keep_representatives(docs)
 
 
@@ -39,12 +41,12 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes: a row for each document and round."""
+    """The mix: for each slot of its output shards, a row for each document in the block, in the mix's order."""
     return mixed_texts(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 tokens."""
+    """Pieces of documents in sequences of at most 2048 tokens; row_key tells the mix's rows of one document apart."""
     return pack_documents(docs, tokenizer_path())
 
 
