@@ -76,9 +76,31 @@ def test_each_stage_works_on_what_is_left(spark, tmp_path):
     whole = Tokenizer.from_file(queries.tokenizer_path())
     ids = [whole.encode(r["text"], add_special_tokens=False).ids + [1] for r in mixed]
     assert sum(p["length"] for p in packed) == sum(map(len, ids))
-    crcs = sorted(zlib.crc32(np.array(x, "<u4").tobytes()) for x in ids)
-    whole_pieces = [p["ids_crc32"] for p in packed if p["length"] == p["doc_tokens"]]
-    assert set(whole_pieces) <= set(crcs)
+    # each row of the mix is packed whole, and its pieces are told apart from those of other rows of the document
+    by_row = {}
+    for p in packed:
+        by_row.setdefault(p["row_key"], []).append(p)
+    want = sorted((r["doc_id"], zlib.crc32(np.array(x, "<u4").tobytes())) for r, x in zip(mixed, ids, strict=True))
+    assert len(by_row) == len(mixed)
+    by_doc = {}
+    for r, x in zip(mixed, ids, strict=True):
+        by_doc.setdefault(r["doc_id"], []).append(x)
+    for own in by_row.values():
+        own.sort(key=lambda p: p["start"])
+        assert len({p["doc_id"] for p in own}) == 1 and sum(p["length"] for p in own) == own[0]["doc_tokens"]
+        fits = [x for x in by_doc[own[0]["doc_id"]] if all(zlib.crc32(np.array(x[p["start"] : p["start"] + p["length"]], "<u4").tobytes()) == p["ids_crc32"] for p in own) and len(x) == own[0]["doc_tokens"]]
+        assert fits
+        by_doc[own[0]["doc_id"]].remove(fits[0])
+    assert len(want) == len(mixed) and not any(by_doc.values())
+
+
+def test_other_columns_pass_through(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(40)
+    docs = docs.selectExpr("*", "1 as lang_pred", "2 as score", "3 as _row", "4 as `a.b`", "5 as spans", "6 as row")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, DATA)
+        assert out.columns == docs.columns, name
+        assert {tuple(r)[5:] for r in out.collect()} == {(1, 2, 3, 4, 5, 6)}, name
 
 
 def test_run_and_empty_documents(spark, tmp_path):
