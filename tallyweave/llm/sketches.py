@@ -1,6 +1,6 @@
 """Document fingerprints by invertible Bloom lookup tables (IBLT).
 
-A text's paragraphs (lines, cut further at the ends of sentences and clauses) are digested to 64 bits. A
+A text's paragraphs (lines, cut further at the ends of sentences) are digested to 64 bits. A
 digest is in 3 cells of a sketch; a cell holds the count, the XOR of its digests and the XOR of their checks. The sketches
 of two versions subtract cell by cell, which leaves the digests that differ; cells with one digest are peeled until
 none is left, which recovers the differing digests. Where that fails, the digests are dealt by a hash into 4 sketches of
@@ -24,8 +24,8 @@ PART, PARTS = 8, 3
 CELLS = PART * PARTS
 #: Rounds of peeling, and sketches that a pair is dealt into at each try.
 ROUNDS, TRIES = 12, (1, 4, 16, 64, 256, 1024, 4096)
-#: A line end, or white space after the end of a sentence or clause.
-PARAGRAPH_END = r"\n+|(?<=[.!?,;:])[ \t]+"
+#: A line end, or white space after the end of a sentence.
+PARAGRAPH_END = r"\n+|(?<=[.!?])[ \t]+"
 COARSE_RANGES, RANGE_ROWS = 256, 20_000
 #: Ranges up to which their first ids are broadcast.
 MOST_BROADCAST = 10_000

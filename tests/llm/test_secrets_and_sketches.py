@@ -110,7 +110,7 @@ def test_secret_query(spark):
 
 
 def paragraphs(text):
-    return {p for p in re.split(r"\n+|(?<=[.!?,;:])[ \t]+", text) if p}
+    return {p for p in re.split(r"\n+|(?<=[.!?])[ \t]+", text) if p}
 
 
 def like(a, b):
