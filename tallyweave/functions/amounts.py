@@ -35,6 +35,11 @@ def token_cost(input_tokens: Column, output_tokens: Column, input_price: str, ou
     return ((input_tokens * price(input_price) + output_tokens * price(output_price)) / F.lit(1_000_000)).cast("decimal(18,9)")
 
 
+def token_ceiling(prompt: Column, most_output: int, input_price: str, output_price: str) -> Column:
+    """The most that a call can cost: a prompt has at most a token for each character, an answer its limit."""
+    return token_cost(F.length(prompt), F.lit(most_output), input_price, output_price)
+
+
 def half_up(value: Column) -> Column:
     """Rounding half up towards infinity."""
     return F.floor(value + 0.5)

@@ -37,3 +37,29 @@ def _canonical_digest(values: pa.Array) -> pa.Array:
 def object_digest(json_text: Column) -> Column:
     """SHA-256 of a JSON text's canonical form: sorted keys, no spaces. Python's number texts: an Arrow UDF."""
     return _canonical_digest(json_text)
+
+
+def _texts(values: list) -> Column:
+    """Values as an array of texts, unknown ones as a mark of their own (no text begins with U+0000)."""
+    return F.array(*[F.coalesce(v.cast("string"), F.lit("\u0000null")) for v in values])
+
+
+def policy_key(versions: dict[str, str]) -> Column:
+    """A key of policy versions alone: what upstream files hold does not change it."""
+    return list_digest(F.lit("policy-1"), *[F.lit(x) for k in sorted(versions) for x in (k, versions[k])])
+
+
+def decision_key(policy: Column, record: list, lookup: Column, confirmation: Column, restoration: Column) -> Column:
+    """A key of all that a decision rests on: the policy, the record's fields used, its lookup, confirmation and restoration (JSON texts or null)."""
+    return F.sha2(F.to_json(F.concat(F.array(F.lit("decision-1")), _texts([policy, *record, lookup, confirmation, restoration]))), 256)
+
+
+def request_key(service: Column, *asked: Column) -> Column:
+    """A key of a question to a service (a provider and query; a model, designation and prompt; an answer's table)."""
+    return F.sha2(F.to_json(F.concat(F.array(F.lit("request-1")), _texts([service, *asked]))), 256)
+
+
+def header_key(rows: Column) -> Column:
+    """A key of header rows (array of arrays of cells) that white space does not change."""
+    tight = F.transform(rows, lambda r: F.transform(r, lambda c: F.regexp_replace(c, r"(?U)\s+", "")))
+    return F.sha2(F.to_json(tight), 256)

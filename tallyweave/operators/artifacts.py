@@ -100,10 +100,29 @@ def prompt_text(parts: DataFrame, keys: list[str], order: str, text: str) -> Dat
 
 
 def sheet_preview(rows: DataFrame, most_rows: int = 12, most_characters: int = 40) -> DataFrame:
-    """source, sheet, preview: the first rows that are not blank, with their own numbers, cells cut short."""
-    filled = rows.where(F.exists("cells", lambda c: c != "")).groupBy("source", "sheet").agg(F.array_sort(F.collect_list(F.struct("row", F.transform("cells", lambda c: F.left(c, F.lit(most_characters))).alias("cells")))).alias("r"))
-    line = lambda r: F.concat(r["row"].cast("string"), F.lit(": "), F.array_join(r["cells"], " | "))
-    return filled.select("source", "sheet", F.array_join(F.transform(F.slice("r", 1, most_rows), line), "\n").alias("preview"))
+    """source, sheet, preview: the first rows that are not blank, with their own numbers, cells cut short.
+
+    Only the rows shown are gathered.
+    """
+    filled = rows.where(F.exists("cells", lambda c: c != "")).withColumn("_turn", F.row_number().over(Window.partitionBy("source", "sheet").orderBy("row"))).where(F.col("_turn") <= most_rows)
+    cut = F.transform("cells", lambda c: F.left(c, F.lit(most_characters)))
+    line = F.concat(F.col("row").cast("string"), F.lit(": "), F.array_join(cut, " | "))
+    shown = filled.groupBy("source", "sheet").agg(F.array_sort(F.collect_list(F.struct("row", line.alias("line")))).alias("r"))
+    return shown.select("source", "sheet", F.array_join(F.transform("r", lambda r: r["line"]), "\n").alias("preview"))
+
+
+def top_with_rest(problems: DataFrame, key: str, order: list, text: str, most: int = 20) -> DataFrame:
+    """key, number, line: the first `most` problems of each key in order, and one line for how many more there are."""
+    w = Window.partitionBy(key)
+    first = problems.withColumn("number", F.row_number().over(w.orderBy(*order))).where(F.col("number") <= most).select(key, "number", F.col(text).alias("line"))
+    more = problems.groupBy(key).agg((F.count("*") - most).alias("rest")).where("rest > 0")
+    return first.union(more.select(key, F.lit(most + 1).alias("number"), F.concat(F.lit("and "), F.col("rest").cast("string"), F.lit(" more")).alias("line")))
+
+
+def scope_sentence(counts: list[tuple[str, Column]]) -> Column:
+    """The sentences of `count_sentence` for each count above zero, joined by commas; null if all are zero."""
+    said = F.array_compact(F.array(*[count_sentence(label, n) for label, n in counts]))
+    return F.when(F.size(said) > 0, F.array_join(said, ", "))
 
 
 def first_failures(reports: DataFrame) -> DataFrame:

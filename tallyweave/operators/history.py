@@ -32,6 +32,24 @@ def append_entries(entries: DataFrame, new: DataFrame, value: str = "value") ->
     return fresh, met.where(F.col("_there") & ~F.col(value).eqNullSafe(F.col("_held"))).drop("_held", "_there")
 
 
+def append_ledger(ledger: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entries to append, refused): an entry_id has one entry of each kind, so one that is there, or comes twice, is refused."""
+    keys = ["entry_id", "kind"]
+    once = new.groupBy(*keys).count().where("count = 1").select(*keys)
+    fresh = new.join(once, keys, "left_semi").join(ledger.select(*keys).distinct(), keys, "left_anti")
+    refused = new.select(*keys).distinct().join(fresh.select(*keys), keys, "left_anti")
+    return fresh, refused
+
+
+def remembered_headers(found: DataFrame, entries: DataFrame) -> DataFrame:
+    """Header mappings to append to a history: only verified ones (no problem) that begin below their headers and differ from the latest value.
+
+    found: key, value, problem, header_rows, data_start. entries: key, revision, valid, value.
+    """
+    sound = found.where(F.col("problem").isNull() & (F.col("data_start") > F.coalesce(F.array_max("header_rows"), F.lit(0))))
+    return changed_entries(sound.select("key", "value"), entries)
+
+
 def committed(ledger: DataFrame) -> DataFrame:
     """One row `committed`: prior usage, settlements, and reservations without a settlement; null without prior usage.
 

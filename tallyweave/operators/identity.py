@@ -107,6 +107,42 @@ def comparable(results: DataFrame) -> DataFrame:
     return results.where((F.col("outcome") == "failed") & F.col("reason").isin("unconfirmed_name", "no_match") & F.col("restoration").isNull() & F.col("confirmation").isNull())
 
 
+def display_names(records: DataFrame, restorations: DataFrame) -> DataFrame:
+    """record, name: the restored name where there is one, else the merchant as recorded. restorations: record (once each), restored."""
+    rows = records.select("record", "merchant").join(restorations.select("record", "restored"), "record", "left")
+    return rows.select("record", F.coalesce("restored", "merchant").alias("name"))
+
+
+def pending_names(names: DataFrame, cached: DataFrame) -> DataFrame:
+    """Names (key) without a cached verdict."""
+    return names.join(cached.select("key").distinct(), "key", "left_anti")
+
+
+def geocode_inputs(records: DataFrame, lookups: DataFrame, confirmations: DataFrame, restorations: DataFrame, previous: DataFrame) -> DataFrame:
+    """Every record with all that its place is decided from: lookup (status `error` where none was supplied), confirmed place, restored name, and the previous decision under the same key.
+
+    records: record, merchant, lookup_key. lookups: record, status, candidates. confirmations: record, confirmed_place.
+    restorations: record, restored. previous: lookup_key (once each), decision.
+    """
+    rows = with_default_lookup(records, lookups).join(confirmations, "record", "left").join(restorations, "record", "left").join(previous, "lookup_key", "left")
+    return rows.withColumn("name", F.coalesce("restored", "merchant"))
+
+
+def comparison_candidates(designations: DataFrame, records: DataFrame, results: DataFrame, lookups: DataFrame) -> DataFrame:
+    """Designated records that can be compared: recorded, failed in a way that a restored name could mend, with a lookup that gave candidates.
+
+    A designation that lacks any of these is skipped. All by record; results as in `comparable`.
+    """
+    met = designations.select("record").distinct().join(records, "record").join(comparable(results).select("record", "reason"), "record")
+    return met.join(lookups.where("status = 'ok' and size(candidates) > 0").select("record", "candidates"), "record")
+
+
+def confirmed_places(matches: DataFrame) -> DataFrame:
+    """record, place, conflict: confirmations that apply to a record (as of `rules.rule_matches`, rule_place, a text); null and a conflict if they name different places."""
+    found = matches.groupBy("record").agg(F.min("rule_place").alias("low"), F.max("rule_place").alias("high"))
+    return found.select("record", F.when(F.col("low") == F.col("high"), F.col("low")).alias("place"), (F.col("low") != F.col("high")).alias("conflict"))
+
+
 def first_spellings(names: DataFrame) -> DataFrame:
     """key, name, position: the first spelling of each normalized key, by position."""
     return names.groupBy("key").agg(F.min_by("name", "position").alias("name"), F.min("position").alias("position"))

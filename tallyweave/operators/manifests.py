@@ -47,12 +47,25 @@ def oversized(files: DataFrame, most: int) -> DataFrame:
     return files.where(F.col("bytes") > most)
 
 
-def key_coverage(actual: DataFrame, expected: DataFrame, key: str) -> DataFrame:
-    """key, problem: duplicate, missing or unexpected keys; no rows if the keys are exactly the expected ones."""
-    counts = actual.groupBy(key).agg(F.count("*").alias("n"))
-    met = counts.join(expected.select(key).distinct().withColumn("_wanted", F.lit(True)), key, "full")
+def file_totals(files: DataFrame, most: int) -> DataFrame:
+    """One row: files, bytes, oversized (how many are above the limit), largest."""
+    size = F.coalesce("bytes", F.lit(0))
+    return files.agg(F.count("*").alias("files"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"), F.count_if(size > most).alias("oversized"), F.coalesce(F.max(size), F.lit(0)).alias("largest"))
+
+
+def not_stored(wanted: DataFrame, stored: DataFrame) -> DataFrame:
+    """What is still to be stored: the first of each path that is not there yet; what is stored is never written again."""
+    first = wanted.groupBy("path").agg(F.min(F.struct(*[c for c in wanted.columns if c != "path"])).alias("row")).select("path", "row.*")
+    return first.join(stored.select("path").distinct(), "path", "left_anti")
+
+
+def key_coverage(actual: DataFrame, expected: DataFrame, key: str | list[str]) -> DataFrame:
+    """key, problem: duplicate, missing or unexpected keys (one column or several); no rows if the keys are exactly the expected ones."""
+    keys = [key] if isinstance(key, str) else key
+    counts = actual.groupBy(*keys).agg(F.count("*").alias("n"))
+    met = counts.join(expected.select(*keys).distinct().withColumn("_wanted", F.lit(True)), keys, "full")
     problem = F.when(F.col("n").isNull(), "missing").when(F.col("_wanted").isNull(), "unexpected").when(F.col("n") > 1, "duplicate")
-    return met.select(key, problem.alias("problem")).where("problem is not null")
+    return met.select(*keys, problem.alias("problem")).where("problem is not null")
 
 
 def disjoint_cover(parts: list[DataFrame], whole: DataFrame, key: str) -> DataFrame:
@@ -102,3 +115,8 @@ def public_paths(cities: DataFrame, files: list[str], shell: list[str]) -> DataF
     spark = cities.sparkSession
     own = cities.select(F.explode(F.array(*[F.concat(F.col("slug"), F.lit("/" + f)) for f in files])).alias("path"))
     return own.union(spark.createDataFrame([(s,) for s in shell], "path string")).distinct()
+
+
+def built_cities(cities: DataFrame, directories: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cities that have a directory, directories that are no city's). Both: slug."""
+    return cities.join(directories.select("slug").distinct(), "slug", "left_semi"), directories.select("slug").distinct().join(cities, "slug", "left_anti")

@@ -174,6 +174,13 @@ def merge_repeats(records: DataFrame, sources: DataFrame, confirmations: DataFra
     return kept, each.agg(*sums)
 
 
+def repeated_counts(records: DataFrame, kept: DataFrame) -> DataFrame:
+    """source, candidates, kept, repeated: how many of a source's records were dropped as repeats."""
+    before, after = records.groupBy("source").agg(F.count("*").alias("candidates")), kept.groupBy("source").agg(F.count("*").alias("kept"))
+    rows = before.join(after, "source", "left").withColumn("kept", F.coalesce("kept", F.lit(0).cast("long")))
+    return rows.withColumn("repeated", F.col("candidates") - F.col("kept"))
+
+
 def contradictions(components: DataFrame, confirmations: DataFrame) -> DataFrame:
     """Expenses whose components join two sources that a confirmation keeps apart."""
     apart = confirmations.where("decision = 'separate_expenses'").select("expense", F.explode("sources").alias("source"))

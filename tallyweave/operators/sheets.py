@@ -158,3 +158,20 @@ def unresolved_denominators(sheets: DataFrame) -> DataFrame:
     """
     known = F.bool_and(F.coalesce(F.col("candidates") > 0, F.lit(False)))
     return sheets.groupBy("source").agg(F.when(known, F.sum("candidates")).alias("candidates"))
+
+
+def resolve_headers(rows: DataFrame, tables: DataFrame, variants: DataFrame, start: dt.date = PERIOD_START, end: dt.date = PERIOD_END) -> DataFrame:
+    """source, sheet, revision, verified: the newest known mapping of a table's header under which its extraction has no problem.
+
+    Where none has, the newest one (not verified), which still tells how many rows there are to account for. Tables without a
+    known mapping are left out. tables: source, sheet, signature. variants: signature, revision, layout, header_rows,
+    data_start, columns, multiplier. Each table is extracted under each variant of its signature, as a sheet of its own.
+    """
+    met = tables.join(variants, "signature").withColumn("_trial", F.concat_ws("#", "sheet", "revision"))
+    trial = met.select("source", F.col("_trial").alias("sheet"), "layout", "header_rows", "data_start", "columns", "multiplier")
+    copies = rows.join(met.select("source", "sheet", "_trial"), ["source", "sheet"]).select("source", F.col("_trial").alias("sheet"), "row", "cells")
+    _, found = extract_sheets(copies, trial, start, end)
+    tried = met.select("source", "sheet", "revision", "_trial").join(found.select("source", F.col("sheet").alias("_trial"), "problem", "candidates"), ["source", "_trial"])
+    sound = F.col("problem").isNull() & (F.col("candidates") > 0)
+    best = F.max(F.struct(sound.alias("verified"), F.col("revision")))
+    return tried.groupBy("source", "sheet").agg(best.alias("b")).select("source", "sheet", F.col("b.revision").alias("revision"), F.col("b.verified").alias("verified"))

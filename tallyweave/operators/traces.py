@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,31 +50,27 @@ def frame_stats(intervals: DataFrame) -> DataFrame:
     return sums.join(upper_median(intervals, ["trace"], "gap"), "trace").select("trace", "n", "median", "longest", "dropped")
 
 
+def is_long_task(name: Column) -> Column:
+    """Whether an event's name is that of a task of the main thread."""
+    return F.coalesce(name.rlike(LONG_TASK), F.lit(False))
+
+
 def pair_events(events: DataFrame, keys: list[str]) -> DataFrame:
     """keys, began, ended: each end with the last open begin of its key; unmatched ends are ignored, unmatched begins dropped.
 
-    events: keys, phase (`b` or `e`), ts, seq. A stack walks each key's events in order; it keeps open begins only, so
-    batches of a sorted partition suffice and no key is gathered whole.
+    events: keys, phase (`b` or `e`), ts, seq. The number of open begins is the running sum of +1 and -1 less its least
+    value so far; a begin and the end that closes it are neighbours among the events of their key and level.
     """
-    kinds = ", ".join(f"{k} {events.schema[k].dataType.simpleString()}" for k in keys)
-    stamp = events.schema["ts"].dataType.simpleString()
-
-    def walk(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, stack = None, []
-        for part in parts:
-            out = []
-            for row in part.itertuples(index=False):
-                key = tuple(row[: len(keys)])
-                if key != current:
-                    current, stack = key, []
-                if row.phase == "b":
-                    stack.append(row.ts)
-                elif row.phase == "e" and stack:
-                    out.append((*key, stack.pop(), row.ts))
-            yield pd.DataFrame(out, columns=[*keys, "began", "ended"])
-
-    dealt = events.select(*keys, "phase", "ts", "seq").repartition(*keys).sortWithinPartitions(*keys, "ts", "seq")
-    return dealt.mapInPandas(walk, f"{kinds}, began {stamp}, ended {stamp}")
+    order = Window.partitionBy(*keys).orderBy("ts", "seq")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = events.where(F.col("phase").isin("b", "e")).select(*keys, "phase", "ts", "seq", F.when(F.col("phase") == "b", 1).otherwise(-1).alias("_step"))
+    rows = rows.withColumn("_sum", F.sum("_step").over(upto)).withColumn("_open", F.col("_sum") - F.least(F.lit(0), F.min("_sum").over(upto)))
+    # a begin's level is the number open after it, an end's that before it; an end that nothing is open for has none
+    before = F.coalesce(F.lag("_open").over(order), F.lit(0))
+    level = F.when(F.col("phase") == "b", F.col("_open")).otherwise(before)
+    rows = rows.withColumn("_level", level).where("_level > 0")
+    began = F.lag("ts").over(Window.partitionBy(*keys, "_level").orderBy("ts", "seq"))
+    return rows.withColumn("began", began).where("phase = 'e'").select(*keys, "began", F.col("ts").alias("ended"))
 
 
 def contained(children: DataFrame, parents: DataFrame, keys: list[str], width: float) -> DataFrame:
@@ -151,7 +144,8 @@ def merge_blocks(blocks: DataFrame, keys: list[str], same: list[str], value: str
 def busy_percent(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row busy_percent: 100 less the idle share of what counters (core, idle, total) gained."""
     met = after.alias("y").join(before.alias("x"), "core")
-    idle, total = F.sum(F.col("y.idle") - F.col("x.idle")), F.sum(F.col("y.total") - F.col("x.total"))
+    gained = lambda c: F.sum(F.col(f"y.{c}") - F.col(f"x.{c}")).cast("double")
+    idle, total = gained("idle"), gained("total")
     return met.agg(F.when(total > 0, 100.0 * (1 - idle / total)).alias("busy_percent"))
 
 

@@ -142,14 +142,14 @@ def denominator_unknown(spark, sf_dir):
     return sheets.unresolved_denominators(s.select((F.col("l_orderkey") % 500).alias("source"), F.when(F.col("l_orderkey") % 97 != 0, F.col("c")).alias("candidates")))
 
 
-_PLAIN_EMAIL = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9_-]+(\.[A-Za-z0-9_-]+)+"
-_PLAIN_PHONE = r"0[0-9]{1,2}-[0-9]{3,4}-[0-9]{4}"
+#: The scrubbing of purposes, for texts without Hangul (which alone names personal events and masked names).
+_SCRUBBED = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[0-9]{6}\s*-\s*[1-4][0-9]{6}', ' ', 'g'), '(^|[^0-9])0[0-9]{1,2}[-. )][0-9]{3,4}[-. ][0-9]{4}($|[^0-9])', '\1 \2', 'g'), '[\pL\pM\pN_.+-]+@[\pL\pM\pN_-]+(\.[\pL\pM\pN_-]+)+', ' ', 'g'), '\s+', ' ', 'g'))"""
 
 
-@query(f"SELECT doc_id, md5(regexp_replace(regexp_replace(text, '{_PLAIN_EMAIL}', ' ', 'g'), '{_PLAIN_PHONE}', ' ', 'g')) AS scrubbed FROM documents")
+@query(f"SELECT doc_id, md5({_SCRUBBED}) AS scrubbed FROM documents")
 def pii_scrub(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.md5(F.regexp_replace(F.regexp_replace("text", _PLAIN_EMAIL, " "), _PLAIN_PHONE, " ").cast("binary")).alias("scrubbed"))
+    return d.select("doc_id", F.md5(text.scrub_purpose(F.col("text")).cast("binary")).alias("scrubbed"))
 
 
 @query()
@@ -213,7 +213,14 @@ def _sources(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.lpad(F.col("doc_id").cast("string"), 19, "0").alias("source"), F.lit(None).cast("date").alias("posted"))
 
 
-@query()
+_CONFIRMED = """said AS (SELECT expense, min(source) AS a, max(source) AS b, substr(expense, 1, 1) AS d FROM lines GROUP BY expense HAVING count(*) = 2 AND substr(expense, 1, 1) IN ('0', '1')),
+fair AS (SELECT x.expense, x.source AS a, y.source AS b, least(x.n, y.n) AS n FROM lines x JOIN lines y ON x.expense = y.expense AND x.source < y.source WHERE (x.expense, x.source, y.source) NOT IN (SELECT (expense, a, b) FROM said WHERE d = '1')),
+rule AS (SELECT a, b FROM fair GROUP BY 1, 2 HAVING sum(n) >= 2), links AS (SELECT f.expense, f.a, f.b FROM fair f JOIN rule r ON f.a = r.a AND f.b = r.b UNION SELECT expense, a, b FROM said WHERE d = '0')"""
+
+
+@query(f"""WITH RECURSIVE {_LINES.split(chr(10))[0].rstrip(",")}, {_CONFIRMED}, {_CLOSED.split(chr(10), 1)[1]}{_KEPT},
+r AS (SELECT doc_id AS source, i - 1 AS location, md5(trim(lines[i])) AS expense FROM (SELECT doc_id, string_split(text, chr(10)) AS lines, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents) WHERE trim(lines[i]) <> '')
+SELECT CAST(r.source AS VARCHAR) || ':' || CAST(location AS VARCHAR) AS record, lpad(CAST(r.source AS VARCHAR), 19, '0') AS source, r.expense, CAST(total - kept AS INT) AS n_repeats FROM r JOIN best b ON b.expense = r.expense AND b.keeper = r.source""")
 def repost_with_confirmations(spark, sf_dir):
     """Of the expenses of several sources, those whose digest begins with 0 are declared the same, those with 1 separate, in their two least sources."""
     records, sources = _records(spark, sf_dir), _sources(spark, sf_dir)

@@ -64,7 +64,10 @@ def source_attribution(spark, sf_dir):
     return traces.source_attribution(tasks)[1]
 
 
-@query()
+@query("""WITH e AS (SELECT user_id, ts, event_id, CASE WHEN event_type = 'signup' THEN 1 ELSE -1 END AS step, event_type FROM events WHERE event_type IN ('signup', 'error')),
+s AS (SELECT *, CAST(sum(step) OVER w AS BIGINT) AS s FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), o AS (SELECT *, s - least(0, min(s) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS d FROM s),
+l AS (SELECT *, CASE WHEN step = 1 THEN d ELSE coalesce(lag(d) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0) END AS level FROM o), p AS (SELECT *, lag(ts) OVER (PARTITION BY user_id, level ORDER BY ts, event_id) AS began FROM l WHERE level > 0)
+SELECT user_id, epoch_us(began) AS began, epoch_us(ts) AS ended FROM p WHERE step = -1""")
 def pair_begin_end(spark, sf_dir):
     phase = F.when(F.col("event_type") == "signup", "b").when(F.col("event_type") == "error", "e")
     e = table(spark, sf_dir, "events").select("user_id", phase.alias("phase"), F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"), F.col("event_id").alias("seq")).where("phase is not null")

@@ -13,6 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 LISTING = "post_id STRING, page INT, position INT, title STRING, posted DATE, has_file BOOLEAN"
 
 
+def visited_posts(collected: DataFrame, gone: DataFrame) -> DataFrame:
+    """post_id of all posts that need no visit: those collected, and those whose files are gone."""
+    return collected.select("post_id").union(gone.select("post_id")).distinct()
+
+
 def new_posts(batch: DataFrame, known: DataFrame) -> DataFrame:
     """The first row of each post that is not known; then only those with a file."""
     columns = [c for c in batch.columns if c != "post_id"]
