@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -82,6 +83,100 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     return rows.select(*pages.columns, "_parsed.*")
 
 
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+
+
+class _Blocks(HTMLParser):
+    """Rows that are blocks: elements of a tag, or (`.name`) of a class. A row's cells are its child elements."""
+
+    def __init__(self, row: str, blind: str | None):
+        super().__init__(convert_charrefs=True)
+        self.row, self.blind = row, blind
+        #: open elements within the row, each with whether it hides its text
+        self.open: list[tuple[str, bool]] = []
+        self.rows: list[dict] = []
+        self.links: list[dict] = []
+        self.problem: str | None = None
+        self.link: dict | None = None
+
+    def _is_row(self, tag: str, classes: list[str]) -> bool:
+        return self.row[1:] in classes if self.row.startswith(".") else tag == self.row
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        said = dict(attrs)
+        classes = (said.get("class") or "").split()
+        if self._is_row(tag, classes):
+            if self.open:
+                self.problem = self.problem or "a row begins before the one before it ends"
+            self.open, self.link = [(tag, False)], None
+            self.rows.append({"cells": [], "links": []})
+            return
+        if not self.open or tag in _VOID:
+            return
+        if len(self.open) == 1:
+            self.rows[-1]["cells"].append("")
+        self.open.append((tag, tag in _SILENT or self.blind in classes))
+        if tag == "a" and said.get("href") is not None:
+            self.link = {"href": said["href"], "text": ""}
+            self.rows[-1]["links"].append(self.link)
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == "a":
+            self.link = None
+        at = next((k for k in range(len(self.open) - 1, -1, -1) if self.open[k][0] == tag), None)
+        if at is not None:  # elements that are left open end with the one around them
+            del self.open[at:]
+
+    def handle_data(self, data: str) -> None:
+        if len(self.open) > 1 and not any(hidden for _, hidden in self.open):
+            self.rows[-1]["cells"][-1] += data
+            if self.link is not None:
+                self.link["text"] += data
+
+    def close(self) -> None:
+        super().close()
+        if self.open:
+            self.problem = self.problem or "a row does not end"
+
+
+def _blocks(html: str | None, row: str, blind: str | None) -> _Blocks:
+    reader = _Blocks(row, blind)
+    reader.feed(html or "")
+    reader.close()
+    tight = lambda t: " ".join(t.split())
+    for r in reader.rows:
+        r["cells"] = [tight(c) for c in r["cells"]]
+        r["links"] = [{"href": x["href"], "text": tight(x["text"])} for x in r["links"]]
+    return reader
+
+
+def block_rows(pages: DataFrame, row: str, blind: str | None = None, html: str = "html") -> DataFrame:
+    """position, cells and links (href, text) of the rows of listings that are made of blocks, beside the pages' other columns.
+
+    row: a tag (`li`) or a class (`.body_row`). Texts in elements of class `blind` are left out. A row within a row, or one that
+    does not end, would swallow the rows after it: an error. A page without rows gives none.
+    """
+    kind = "array<struct<cells:array<string>,links:array<struct<href:string,text:string>>>>"
+    schema = pa.struct([("rows", pa.list_(pa.struct([("cells", pa.list_(pa.string())), ("links", pa.list_(pa.struct([("href", pa.string()), ("text", pa.string())])))]))), ("problem", pa.string())])
+
+    @F.arrow_udf(f"struct<rows:{kind},problem:string>")
+    def parsed(values: pa.Array) -> pa.Array:
+        found = [_blocks(v, row, blind) for v in values.to_pylist()]
+        return pa.array([{"rows": f.rows, "problem": f.problem} for f in found], schema)
+
+    rows = pages.withColumn("_found", parsed(html))
+    sound = F.when(F.col("_found.problem").isNull(), F.col("_found.rows")).otherwise(F.raise_error(F.col("_found.problem")).cast(kind))
+    kept = [c for c in pages.columns if c != html]
+    return rows.select(*kept, F.posexplode(sound).alias("position", "_row")).select(*kept, "position", "_row.cells", "_row.links")
+
+
+def inline_attachments(rows: DataFrame, mark: str = "download") -> DataFrame:
+    """The rows' own download links, one row each (href, filename): listings that link their files without a page for each post."""
+    kept = [c for c in rows.columns if c != "links"]
+    each = rows.select(*kept, F.explode(F.filter("links", lambda x: x["href"].contains(mark))).alias("_link"))
+    return each.select(*kept, F.col("_link.href").alias("href"), F.col("_link.text").alias("filename"))
+
+
 def href_column(html: Column | str) -> Column:
     """Array of href attributes in double quotes: the native form, for well-formed pages."""
     return F.regexp_extract_all(html, F.lit(r"<a href=\"([^\"]*)\""), F.lit(1))
@@ -104,9 +199,27 @@ def listing_rows(pages: DataFrame, columns: list[str], key: str) -> DataFrame:
     return first.select(key, "row.*")
 
 
+# Where pages declare their number, and sessions their token.
+PAGES = r"(?:전체페이지\s*:\s*|/\s*)(\d+)"
+TOKEN = r"name=\"_?csrf[^\"]*\"\s+(?:value|content)=\"([^\"]*)\""
+# End of fixed values.
+
+
+def declared_pages(html: str) -> int:
+    found = re.search(PAGES, html)
+    if found is None:
+        raise ValueError("a listing page declares no page count")
+    return int(found[1])
+
+
+def token_of(html: str) -> str | None:
+    found = re.search(TOKEN, html)
+    return found[1] if found else None
+
+
 def page_count(html: Column) -> Column:
     """The declared number of pages (`전체페이지 : N`, or `N / M`); an error if a page declares none."""
-    found = F.regexp_extract(html, r"(?:전체페이지\s*:\s*|/\s*)(\d+)", 1)
+    found = F.regexp_extract(html, PAGES, 1)
     return F.when(found != "", found.cast("int")).otherwise(F.raise_error(F.lit("a listing page declares no page count")))
 
 

@@ -9,3 +9,17 @@ PAGES = {
 
 def get(url: str) -> bytes:
     return PAGES[url].encode()
+
+
+#: Requests so far, and a session that ends once.
+SEEN: list[str] = []
+PAGES["mem://c/1"] = "<p>전체게시글 : 3 / 전체페이지 : 2</p><ul><li><span class='blind'>no</span><span><label class='blind'>title</label> Third <b>one</b></span><div>dept<div>x</div></div><span>2026.01.02</span></li><li><span>2</span></li></ul>"
+PAGES["mem://c/2"] = "<ul><li><span>1</span><a href='/download?f=1'>a.xlsx</a></li></ul>"
+PAGES["mem://s/enter"] = '<meta name="_csrf" content="t1">'
+
+
+def ended_once(url: str) -> bytes:
+    SEEN.append(url)
+    if url.startswith("mem://s/list"):
+        return b"<html>log in</html>" if SEEN.count(url) == 1 else b'[{"no": 1, "title": "in"}]'
+    return get(url)
