@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -89,24 +90,43 @@ def merchant_of(name: Column) -> Column:
     return F.when(without != "", without).otherwise(name)
 
 
+#: A character that all names of personal events and masked names have: texts without it need no further look.
+_HANGUL = "[가-힣]"
+
+
 def mentions_personal_event(value: Column) -> Column:
-    return value.rlike(_UNICODE + PERSONAL_EVENT)
+    return value.rlike(_HANGUL) & value.rlike(_UNICODE + PERSONAL_EVENT)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _blanked(text: Column, pattern: str, sign: str) -> Column:
+    """Matches of the pattern as spaces; only texts with the sign that all matches have are searched."""
+    return F.when(F.contains(text, F.lit(sign)), F.regexp_replace(text, _UNICODE + pattern, " ")).otherwise(text)
 
 
 def scrub_purpose(purpose: Column) -> Column:
     """A purpose without resident numbers, phones, e-mails and masked names; without brackets if of a personal event."""
+
+    def names(text: Column) -> Column:
+        bare = F.when(text.rlike(_UNICODE + PERSONAL_EVENT), F.regexp_replace(text, r"\([^)]*\)", " ")).otherwise(text)
+        return F.when(text.rlike(_HANGUL), F.regexp_replace(bare, _UNICODE + MASKED_NAME, " ")).otherwise(text)
+
+    steps = [lambda t: _blanked(t, RESIDENT_NUMBER, "-"), lambda t: _blanked(t, PHONE, "0"), lambda t: _blanked(t, EMAIL, "@"), names]
     text = purpose
-    for pattern in (RESIDENT_NUMBER, PHONE, EMAIL):
-        text = F.regexp_replace(text, _UNICODE + pattern, " ")
-    text = F.when(mentions_personal_event(text), F.regexp_replace(text, r"\([^)]*\)", " ")).otherwise(text)
-    return collapse(F.regexp_replace(text, _UNICODE + MASKED_NAME, " "))
+    for step in steps:
+        text = _let(text, step)
+    return collapse(text)
 
 
 def scrub_merchant(merchant: Column, purpose: Column) -> Column:
     """A fixed mark for masked names, and for person names if the purpose is a personal event."""
     tight = F.regexp_replace(merchant, _UNICODE + r"\s+", "")
     masked = f"{_UNICODE}^(?:{MASKED_NAME})$"
-    named = mentions_personal_event(purpose) & tight.rlike(f"^{PERSON_NAME}$") & ~tight.isin(*GENERIC_PAYEES)
+    named = tight.rlike(f"^{PERSON_NAME}$") & ~tight.isin(*GENERIC_PAYEES) & mentions_personal_event(purpose)
     return F.when(strip(merchant).rlike(masked) | tight.rlike(masked) | named, REDACTED_PAYEE).otherwise(merchant)
 
 

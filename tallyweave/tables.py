@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get()
-    if not spark.sparkContext.master.startswith("local["):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     folder = tempfile.mkdtemp(prefix=_PREFIX)
     spark.sparkContext.setCheckpointDir(folder)
