@@ -67,16 +67,16 @@ def classify_rows(rows: DataFrame, mappings: DataFrame) -> DataFrame:
     Rows above data_start are of section 0; an expense there fails its sheet (kind `early_candidate`).
     """
     base = rows.join(mappings.where("layout = 'table'"), ["source", "sheet"])
-    signature = F.array_join(tight_cells(F.col("cells")), "\u0001")
-    heads = base.where(F.array_contains("header_rows", F.col("row"))).groupBy("source", "sheet").agg(F.collect_set(signature).alias("headers"))
-    base = base.join(heads, ["source", "sheet"], "left").withColumn("headers", F.coalesce("headers", F.array().cast("array<string>")))
-    base = base.where(F.col("row") > F.coalesce(F.array_max("header_rows"), F.lit(0)))
     base = base.withColumn("_tight", tight_cells(F.col("cells"))).withColumn("_joined", F.array_join("_tight", ""))
+    # rows meet their mapping by (source, sheet); both windows keep that dealing and one sort
+    sheet = Window.partitionBy("source", "sheet").orderBy("row")
+    whole = sheet.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own = F.when(F.array_contains("header_rows", F.col("row")), F.array_join("_tight", "\u0001"))
+    base = base.withColumn("headers", F.collect_set(own).over(whole)).where(F.col("row") > F.coalesce(F.array_max("header_rows"), F.lit(0)))
     kind = row_kind(F.col("cells"), F.col("columns"), F.col("headers"), F.col("_tight"), F.col("_joined"))
     base = base.withColumn("kind", kind).withColumn("kind", F.when((F.col("row") < F.col("data_start")) & (F.col("kind") == "candidate"), "early_candidate").otherwise(F.col("kind")))
-    order = Window.partitionBy("source", "sheet").orderBy("row")
     starts = ((F.col("kind") == "header") & (F.col("row") >= F.col("data_start"))).cast("int")
-    return base.withColumn("section", F.sum(starts).over(order)).drop("headers", "_tight", "_joined")
+    return base.withColumn("section", F.sum(starts).over(sheet)).drop("headers", "_tight", "_joined")
 
 
 def typed_rows(classified: DataFrame) -> DataFrame:
