@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import string
@@ -197,3 +198,77 @@ def test_sketch_query(spark):
         assert abs(r["near_edited"] - like(paragraphs(text), paragraphs(edited))) < 1e-12
         assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"]
         assert prints.setdefault(edited, r["edited_fingerprint"]) == r["edited_fingerprint"]
+
+
+def plain_tail(z):
+    t = 1 / (1 + abs(z) * 0.2316419)
+    q = math.exp(-z * z / 2) * 0.3989422804014327 * sum(c * t ** (k + 1) for k, c in enumerate((0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429)))
+    return q if z >= 0 else 1 - q
+
+
+def plain_chi(x, df):
+    spread = 2 / (df * 9)
+    return plain_tail((math.copysign(abs(x / df) ** (1 / 3), x) - (1 - spread)) / math.sqrt(spread))
+
+
+def plain_encoding(token):
+    body = token.rstrip("=")
+    if not re.search("[0-9]", body) or not re.search("[A-Za-z]", body):
+        return None
+    for name, pattern in (("hex", "[0-9a-f]+|[0-9A-F]+"), ("lower", "[0-9a-z]+"), ("upper", "[0-9A-Z]+"), ("mixed", "[0-9A-Za-z]+")):
+        if re.fullmatch(pattern, body):
+            return name
+    return "base64"
+
+
+def plain_randomness(token, encoding):
+    """Fisher's combination of three tests, written out one symbol at a time."""
+    alphabet = secrets_scan.ALPHABETS[encoding]
+    body = token.rstrip("=")
+    s = [alphabet.index(c) for c in (body.lower() if encoding == "hex" else body)]
+    n, size = len(s), len(alphabet)
+    groups = min(size, max(2, n // 5))
+    chi = 0.0
+    for b in range(groups):
+        share = (math.ceil((b + 1) * size / groups) - math.ceil(b * size / groups)) / size
+        chi += (sum(x * groups // size == b for x in s) - n * share) ** 2 / (n * share)
+    high = [2 * x >= size for x in s]
+    share = math.ceil(size / 2) / size
+    c = 2 * share * (1 - share)
+    changes = sum(a != b for a, b in zip(high, high[1:], strict=False))
+    runs = 2 * plain_tail(abs((changes - (n - 1) * c) / math.sqrt((n - 1) * c * (1 - c))))
+    mean = sum(s) / n
+    var = sum((x - mean) ** 2 for x in s)
+    cov = sum((a - mean) * (b - mean) for a, b in zip(s, s[1:], strict=False))
+    serial = 2 * plain_tail(abs((cov / var + 1 / n) * math.sqrt(n) if var > 0 else 9.0))
+    logs = [math.log(min(1, max(1e-12, p))) for p in (plain_chi(chi, groups - 1), runs, serial)]
+    return plain_chi(max(-2 * sum(logs), 1e-9), 6)
+
+
+def test_all_spans_by_hand(spark, tmp_path):
+    """Fixed and random spans of every row of the query: tokens, encodings, tests and corpus-wide cuts in plain Python."""
+    rng, texts = random.Random(4), [t or "" for t in secret_texts()]
+    for alphabet in secrets_scan.ALPHABETS.values():
+        texts += [f"see {made(rng, alphabet, rng.randint(20, 140))}= ok" for _ in range(12)]
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    tokens, counts = {}, {}
+    for doc, text in rows:
+        for m in re.finditer(secrets_scan.TOKEN, text):
+            if encoding := plain_encoding(m[0]):
+                p = plain_randomness(m[0], encoding)
+                name = f"{encoding}/{sum(len(m[0]) > n for n in secrets_scan.LENGTHS)}"
+                tokens.setdefault(doc, []).append((m.start(), m.end(), p, name))
+                key = name, min(secrets_scan.BINS - 1, int(p * secrets_scan.BINS))
+                counts[key] = counts.get(key, 0) + 1
+    cuts = secrets_scan.false_discovery_cuts([(*k, n) for k, n in counts.items()])
+    found = {r["doc_id"]: r["spans"] for r in queries.op9_secret_scan(spark, str(tmp_path)).collect()}
+    seen = 0
+    for doc, text in rows:
+        base = plain_base(text)
+        order = {"assign": 0, "access": 1, "hex": 2, "random": 3}
+        more = [("random", a, b) for a, b, p, name in tokens.get(doc, []) if p >= cuts[name] and not any(x < b and y > a for _, x, y in base)]
+        seen += len(more)
+        want = sorted([*base, *more], key=lambda s: (s[1], order[s[0]], s[2]))
+        assert found[doc] == ",".join(f"{k}:{a}:{b}" for k, a, b in want), doc
+    assert seen > 60
