@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweave.tables import cut_lineage
+
 
 def publish_ranks(sources: DataFrame) -> DataFrame:
     """source, rank: order of publication (unknown dates last), then source. sources: source, posted.
@@ -55,19 +57,46 @@ def repost_pairs(counts: DataFrame, separated: DataFrame | None = None) -> DataF
     return _overlaps(pairs, several.select("source", "expense", "n"), separated).where("shared >= 2")
 
 
+def shared_pair_links(counts: DataFrame) -> DataFrame:
+    """a, b: links with the same components as repost_pairs within every expense, from stars in place of pairs.
+
+    Of all sources that share the same two expenses (or one of which each has two), each is linked with the least. So a line
+    that very many sources share makes a row for each of them and not for each pair; a source of m shared lines makes m^2 / 2.
+    """
+    spread = counts.groupBy("expense").agg(F.count("*").alias("m")).where("m > 1").select("expense")
+    several = counts.join(spread, "expense")
+    x, y = several.alias("x"), several.alias("y")
+    both = x.join(y, (F.col("x.source") == F.col("y.source")) & ((F.col("x.expense") < F.col("y.expense")) | ((F.col("x.expense") == F.col("y.expense")) & (F.col("x.n") > 1))))
+    both = both.select(F.col("x.expense").alias("e"), F.col("y.expense").alias("f"), F.col("x.source").alias("b"))
+    heads = both.groupBy("e", "f").agg(F.min("b").alias("a"), F.count("*").alias("k")).where("k > 1")
+    return both.join(heads, ["e", "f"]).where("a <> b").select("a", "b").distinct()
+
+
+def _rows_of_ways(counts: DataFrame) -> tuple[int, int]:
+    """How many rows repost_pairs and shared_pair_links would make at most: by lines' sources, and by sources' lines."""
+    spread = counts.groupBy("expense").agg(F.count("*").alias("m")).where("m > 1")
+    several = counts.join(spread, "expense")
+    pairs = spread.agg(F.sum(F.col("m") * (F.col("m") - 1) / 2)).first()[0] or 0
+    stars = several.groupBy("source").agg(F.count("*").alias("k")).agg(F.sum(F.col("k") * (F.col("k") + 1) / 2)).first()[0] or 0
+    return int(pairs), int(stars)
+
+
 def repost_links(counts: DataFrame) -> DataFrame:
     """a, b: links with the same components as repost_pairs within every expense.
 
-    Sources with the same multiset are one class; pairs are sought between the least sources of classes, and the others of a
-    class hang on its least one, so a large group of copies makes no pairs.
+    Sources with the same multiset are one class; links are sought between the least sources of classes, and the others of a
+    class hang on its least one, so a large group of copies makes no pairs. Of the two ways to find links, which give the same
+    components, the one that makes fewer rows is taken.
     """
     signature = F.sha2(F.array_join(F.array_sort(F.transform(F.collect_list(F.struct("expense", "n")), lambda e: F.concat_ws("\u0001", e["expense"].cast("string"), e["n"].cast("string")))), "\u0002"), 256)
     classes = counts.groupBy("source").agg(signature.alias("class"), F.sum("n").alias("size"))
     least = classes.groupBy("class").agg(F.min("source").alias("head"))
-    members = classes.join(least, "class").select("source", "head", "size")
-    heads = counts.join(members.where("source = head").select("source"), "source", "left_semi")
+    members = cut_lineage(classes.join(least, "class").select("source", "head", "size"))
+    heads = cut_lineage(counts.join(members.where("source = head").select("source"), "source", "left_semi"))
     stars = members.where("source <> head and size >= 2").select(F.col("head").alias("a"), F.col("source").alias("b"))
-    return repost_pairs(heads).select("a", "b").union(stars)
+    pairs, shared = _rows_of_ways(heads)
+    links = repost_pairs(heads).select("a", "b") if pairs <= shared else shared_pair_links(heads)
+    return links.union(stars)
 
 
 def _closed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -117,6 +117,18 @@ def test_links_and_pairs_have_the_same_components(spark):
     assert got(by_pairs, "expense", "source", "component") == got(reposts.expense_components(counts, reposts.repost_links(counts)), "expense", "source", "component")
 
 
+@pytest.mark.parametrize("seed", [1, 4, 9])
+def test_both_ways_of_links_have_the_same_components(spark, seed):
+    records, _ = made_records(seed)
+    # two lines that every source has, and one that some have twice
+    records += [(f"b{s}{k}", s, f"boiler {k}", str(k)) for s in {r[1] for r in records} for k in range(2)]
+    records += [(f"t{s}{k}", s, "twice", str(k)) for s in sorted({r[1] for r in records})[::2] for k in range(2)]
+    counts = reposts.expense_counts(spark.createDataFrame(records, "record string, source string, expense string, location string"))
+    want = got(reposts.expense_components(counts, reposts.repost_pairs(counts).select("a", "b")), "expense", "source", "component")
+    assert want == got(reposts.expense_components(counts, reposts.shared_pair_links(counts)), "expense", "source", "component")
+    assert want == got(reposts.expense_components(counts, reposts.repost_links(counts)), "expense", "source", "component")
+
+
 def test_contradictions(spark):
     c = spark.createDataFrame([("e", "a", "a"), ("e", "b", "a"), ("f", "a", "a"), ("f", "b", "b")], "expense string, source string, component string")
     said = spark.createDataFrame([(e, "separate_expenses", ["a", "b"]) for e in "ef"], "expense string, decision string, sources array<string>")
