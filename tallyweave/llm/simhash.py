@@ -22,7 +22,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -371,16 +371,7 @@ def hamming_radius(similarity: float) -> int:
     return math.ceil(64 * share + 2 * math.sqrt(64 * share * (1 - share)))
 
 
-def near_copies(docs: DataFrame, row: str, text_column: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """row, component: the groups of documents that links of similar sets of word shingles connect.
-
-    docs: a column `row` (long, distinct, not null) and the text. Texts with the same words (ASCII case aside) are one class
-    at once. Two classes are linked if they share a band of least hashes, their fingerprints lie within the radius that
-    the similarity implies, and their estimated similarity is at least `similarity` less SLACK. Null texts and texts without
-    words form one class, linked to no other. component is the row of a member. Repeated rows share their component. An
-    empty table gives no rows.
-    """
-
+def _described(text: Column, shingle: int) -> Column:
     @F.arrow_udf(_PRINT)
     def described(texts: pa.Array) -> pa.Array:
         rows = [_describe(t.as_py(), shingle) for t in texts]
@@ -388,25 +379,46 @@ def near_copies(docs: DataFrame, row: str, text_column: str = "text", shingle: i
         columns = [pa.array([int(r[1]) - (1 << 64) if r[1] >> 63 else int(r[1]) for r in rows] if k == 1 else [r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
         return pa.StructArray.from_arrays(columns, ["key", "fp", "sig", "bands"])
 
-    prints = cut_lineage(docs.select(quoted(row).alias("row"), described(quoted(text_column).cast("string").cast("binary")).alias("p")))
+    return described(text.cast("string").cast("binary"))
+
+
+def _grouped(prints: DataFrame, similarity: float) -> DataFrame:
+    """Adds component to prints (row, p: what _described gives, ...), less p."""
+    # rows of a key have the same values
     classes = prints.groupBy("p.key").agg(F.min("row").alias("rep"), *[F.first(f"p.{c}").alias(c) for c in ("fp", "sig", "bands")])
     classes = cut_lineage(classes)
     rows = classes.select("fp", "rep", "sig", F.explode("bands").alias("shard"))
     found = components(_shard_links(rows, hamming_radius(similarity), math.ceil(LEAST_HASHES * (similarity - SLACK))))
     named = classes.select("key", "rep").join(found, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component"))
-    return prints.select("row", F.col("p.key").alias("key")).join(named, "key").select("row", "component")
+    rest = [c for c in prints.columns if c != "p"]
+    return prints.select(*rest, F.col("p.key").alias("key")).join(named, "key").select(*rest, "component")
+
+
+def near_copies(docs: DataFrame, row: str, text_column: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """row, component: the groups of documents that links of similar sets of word shingles connect.
+
+    docs: a column `row` (long, distinct, not null) and the text. Texts with the same words (ASCII case aside) are one class
+    at once. Two classes are linked if they share a band of least hashes, their fingerprints lie within the radius that
+    the similarity implies, and their estimated similarity is at least `similarity` less SLACK. Null texts and texts without
+    words form one class, linked to no other. component is the row of a member. Repeated rows share their component. An
+    empty table gives no rows.
+    """
+    return _grouped(cut_lineage(docs.select(quoted(row).alias("row"), _described(quoted(text_column), shingle).alias("p"))), similarity)
 
 
 def keep_representatives(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group of `near_copies` stays, with all its columns: that with the smallest doc_id (null last).
 
-    docs: doc_id and text at least; other columns, whatever their names, are kept. Of identical repeated rows one stays.
-    Null texts and empty tables: as in near_copies.
+    docs: doc_id and text at least; other columns, whatever their names, are kept. Of repeated rows with one id and text one
+    stays. Null texts and empty tables: as in near_copies. Texts are dealt once, by id and text hash, and not stored again.
     """
-    (row,) = spare_names(docs.columns, "_row")
-    kept = cut_lineage(docs.select(*[quoted(c) for c in docs.columns], F.monotonically_increasing_id().alias(row)))
-    ids = kept.select(quoted(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
-    groups = near_copies(kept, row, "text", shingle, similarity).join(ids, "row").groupBy("component")
-    # the least of (is null, id, row)
-    stay = groups.agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("m")).select(F.col("m.row").alias(row))
-    return kept.join(stay, row, "left_semi").select(*[quoted(c) for c in docs.columns])
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    # the same three columns join and number the rows, so the texts are dealt once
+    marks = [F.coalesce(doc_id, F.lit(0)), doc_id.isNull(), F.xxhash64(F.coalesce(text, F.lit("")))]
+    own = spare_names(docs.columns, "_id", "_none", "_hash", "_turn")
+    facts = docs.select(F.monotonically_increasing_id().alias("row"), *[m.alias(n) for m, n in zip(marks, ("id", "none", "hash"), strict=True)], _described(text, shingle).alias("p"))
+    groups = _grouped(cut_lineage(facts), similarity).groupBy("component")
+    stay = groups.agg(F.min(F.struct("none", "id", "hash", "row")).alias("m")).select(*[F.col(f"m.{c}").alias(n) for c, n in zip(("id", "none", "hash"), own, strict=False)])
+    rows = docs.select(*[quoted(c) for c in docs.columns], *[m.alias(n) for m, n in zip(marks, own, strict=False)]).join(stay, own[:3], "left_semi")
+    turn = F.row_number().over(Window.partitionBy(*own[:3]).orderBy(F.lit(0)))
+    return rows.withColumn(own[3], turn).where(F.col(own[3]) == 1).select(*[quoted(c) for c in docs.columns])
