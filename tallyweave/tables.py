@@ -103,3 +103,26 @@ def in_ranges(df: DataFrame, order: list, part: str) -> DataFrame:
     """`df` with column `part`: its range of the order, from 0. The ranges are written, so all uses see the same ones."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cut_lineage(df.repartitionByRange(parts, *order).withColumn(part, F.spark_partition_id()))
+
+
+#: A key with more than one in so many of all rows is hot.
+HOT_SHARE = 1000
+
+
+def with_facts(rows: DataFrame, facts: DataFrame, key: str, n: str) -> DataFrame:
+    """`rows` with the columns of `facts`, one row for each key (null among them), of which column `n` counts the rows.
+
+    A key with more than a thousandth of all rows is hot: there are fewer than HOT_SHARE of these, so their facts are
+    broadcast, and no task gets all rows of one. All other rows are dealt by their key. Rows without facts go. Both inputs
+    are read twice, so they should be written tables.
+    """
+    held, ours = spare_names([*rows.columns, *facts.columns], "_key", "_own")
+    total = facts.agg(F.sum(n)).first()[0] or 0
+    hot = F.col(n) * HOT_SHARE > total
+    asked = facts.withColumnRenamed(key, held)
+    same = F.col(held).eqNullSafe(F.col(ours))
+    mine = rows.withColumn(ours, quoted(key))
+    many = asked.where(hot)
+    first = mine.join(F.broadcast(many), same)
+    rest = mine.join(F.broadcast(many.select(held)), same, "left_anti").join(asked.where(~hot), same)
+    return first.unionByName(rest).drop(held, ours)
