@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.tables import Successive, cut_lineage, quoted, shared_folder, spare_names
+from tallyweave.tables import Successive, cut_lineage, quoted, shared_folder, spare_names, with_facts
 
-__all__ = ["Successive", "cut_lineage", "quoted", "shared_folder", "spare_names"]
+__all__ = ["Successive", "cut_lineage", "quoted", "shared_folder", "spare_names", "with_facts"]
 
 #: What `bytes.split()` splits at: space and the control characters 9 to 13.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"

@@ -105,6 +105,12 @@ def op10_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), *prints, "near_edited", "near_next")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.codes import compress_vectors
+
+    return compress_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
