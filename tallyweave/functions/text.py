@@ -90,12 +90,14 @@ def merchant_of(name: Column) -> Column:
     return F.when(without != "", without).otherwise(name)
 
 
-#: A character that all names of personal events and masked names have: texts without it need no further look.
+#: A character that all masked names have, and one that all names of personal events have (故 is no Hangul): texts
+#: without it need no further look.
 _HANGUL = "[가-힣]"
+_EVENT_SIGN = "[가-힣故]"
 
 
 def mentions_personal_event(value: Column) -> Column:
-    return value.rlike(_HANGUL) & value.rlike(_UNICODE + PERSONAL_EVENT)
+    return value.rlike(_EVENT_SIGN) & value.rlike(_UNICODE + PERSONAL_EVENT)
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -111,11 +113,13 @@ def _blanked(text: Column, pattern: str, sign: str) -> Column:
 def scrub_purpose(purpose: Column) -> Column:
     """A purpose without resident numbers, phones, e-mails and masked names; without brackets if of a personal event."""
 
+    def bare(text: Column) -> Column:
+        return F.when(mentions_personal_event(text), F.regexp_replace(text, r"\([^)]*\)", " ")).otherwise(text)
+
     def names(text: Column) -> Column:
-        bare = F.when(text.rlike(_UNICODE + PERSONAL_EVENT), F.regexp_replace(text, r"\([^)]*\)", " ")).otherwise(text)
-        return F.when(text.rlike(_HANGUL), F.regexp_replace(bare, _UNICODE + MASKED_NAME, " ")).otherwise(text)
+        return F.when(text.rlike(_HANGUL), F.regexp_replace(text, _UNICODE + MASKED_NAME, " ")).otherwise(text)
 
-    steps = [lambda t: _blanked(t, RESIDENT_NUMBER, "-"), lambda t: _blanked(t, PHONE, "0"), lambda t: _blanked(t, EMAIL, "@"), names]
+    steps = [lambda t: _blanked(t, RESIDENT_NUMBER, "-"), lambda t: _blanked(t, PHONE, "0"), lambda t: _blanked(t, EMAIL, "@"), bare, names]
     text = purpose
     for step in steps:
         text = _let(text, step)

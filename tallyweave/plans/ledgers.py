@@ -152,12 +152,43 @@ def pii_scrub(spark, sf_dir):
     return d.select("doc_id", F.md5(text.scrub_purpose(F.col("text")).cast("binary")).alias("scrubbed"))
 
 
-@query()
+_CONTACTS = r"""regexp_replace(regexp_replace(regexp_replace({0}, '[0-9]{{6}}\s*-\s*[1-4][0-9]{{6}}', ' ', 'g'), '(^|[^0-9])0[0-9]{{1,2}}[-. )][0-9]{{3,4}}[-. ][0-9]{{4}}($|[^0-9])', '\1 \2', 'g'), '[\pL\pM\pN_.+-]+@[\pL\pM\pN_-]+(\.[\pL\pM\pN_-]+)+', ' ', 'g')"""
+#: An event's name stands at the start of a word, or after four other words; 故 stands anywhere.
+_EVENT = "(^|[^가-힣]|직원|경사|애사|소속)(축의|부의|조의|축부의|경조사|애경사|별세|빙모|빙부|모친상|부친상|장인상|장모상|장례|근조|순직)|故"
+_MASK = r"[가-힣](\s*[*＊○◯ㅇ]){1,2}"
+
+
+def _scrub_sql(rows: str) -> str:
+    """doc_id, purpose and merchant of a relation of the same columns, with all patterns; white space is of ASCII or U+3000."""
+    tight = r"regexp_replace(merchant, '[\s\x{3000}]+', '', 'g')"
+    return rf"""WITH r AS ({rows}), c AS (SELECT doc_id, merchant, purpose AS said, {_CONTACTS.format("purpose")} AS purpose FROM r),
+b AS (SELECT doc_id, merchant, said, CASE WHEN regexp_matches(purpose, '{_EVENT}') THEN regexp_replace(purpose, '\([^)]*\)', ' ', 'g') ELSE purpose END AS purpose FROM c)
+SELECT doc_id, trim(regexp_replace(regexp_replace(purpose, '{_MASK}(\s*[가-힣]($|[^가-힣]))?', ' \3', 'g'), '[\s\x{{3000}}]+', ' ', 'g')) AS purpose,
+CASE WHEN regexp_matches(trim(merchant), '^{_MASK}(\s*[가-힣])?$') OR regexp_matches({tight}, '^{_MASK}[가-힣]?$')
+  OR (regexp_matches({tight}, '^[가-힣]{{2,4}}$') AND {tight} NOT IN ({", ".join(f"'{w}'" for w in text.GENERIC_PAYEES)}) AND regexp_matches(said, '{_EVENT}')) THEN '{text.REDACTED_PAYEE}' ELSE merchant END AS merchant FROM b"""
+
+
+@query(_scrub_sql("SELECT doc_id, text AS purpose, source AS merchant FROM documents"))
 def pii_scrub_full(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id", text.scrub_purpose(F.col("text")).alias("purpose"), text.scrub_merchant(F.col("source"), F.col("text")).alias("merchant"))
 
 
+#: What stands before a document's text, and who was paid: by doc_id modulo their number.
+_LEADS = ["故(Kim 3) ", "직원 부의금(홍길동 부친) ", "정부의 행사(점심) ", "김ㅇㅇ 면담 허 * * ", "축의(가) 박○수 ", "（故）　(전각) ", "환경조성(개인) 한*지", "소속근조(x) 010-1234-5678 ", ""]
+_PAYEES = ["홍길동", "박○수", "직원", "김 * 민", "김밥 천국", "홍　길동", "src"]
+
+
+def _chosen(words: list[str]) -> str:
+    return "CASE " + " ".join(f"WHEN doc_id % {len(words)} = {k} THEN '{w}'" for k, w in enumerate(words)) + " END"
+
+
+@query(_scrub_sql(f"SELECT doc_id, {_chosen(_LEADS)} || text AS purpose, {_chosen(_PAYEES)} AS merchant FROM documents"))
+def pii_scrub_events(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{_chosen(_LEADS)} || text as purpose", f"{_chosen(_PAYEES)} as merchant")
+    return d.select("doc_id", text.scrub_purpose(F.col("purpose")).alias("purpose"), text.scrub_merchant(F.col("merchant"), F.col("purpose")).alias("merchant"))
+
+
 # Reposts: a document's trimmed lines that are not empty are its expenses.
 _LINES = """lines AS (SELECT doc_id AS source, md5(trim(line)) AS expense, CAST(count(*) AS BIGINT) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE trim(line) <> '' GROUP BY 1, 2),
 pairs AS (SELECT x.source AS a, y.source AS b, CAST(sum(least(x.n, y.n)) AS BIGINT) AS shared FROM lines x JOIN lines y ON x.expense = y.expense AND x.source < y.source GROUP BY 1, 2 HAVING sum(least(x.n, y.n)) >= 2)"""

@@ -1,6 +1,7 @@
 """Scalar functions on the values that define them."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,31 @@ def test_personal_data(spark):
     assert [r[0] for r in rows.select(text.scrub_merchant(F.col("m"), F.col("p"))).collect()] == [text.REDACTED_PAYEE, text.REDACTED_PAYEE, "직원", "홍길동", text.REDACTED_PAYEE]
 
 
+def plain_scrub(purpose):
+    for pattern in (text.RESIDENT_NUMBER, text.PHONE, text.EMAIL):
+        purpose = re.sub(pattern, " ", purpose)
+    if re.search(text.PERSONAL_EVENT, purpose):
+        purpose = re.sub(r"\([^)]*\)", " ", purpose)
+    return " ".join(re.sub(text.MASKED_NAME, " ", purpose).split())
+
+
+def plain_merchant(merchant, purpose):
+    tight = "".join(merchant.split())
+    masked = re.fullmatch(text.MASKED_NAME, merchant.strip()) or re.fullmatch(text.MASKED_NAME, tight)
+    event = re.search(text.PERSONAL_EVENT, purpose)
+    return text.REDACTED_PAYEE if masked or event and re.fullmatch(text.PERSON_NAME, tight) and tight not in text.GENERIC_PAYEES else merchant
+
+
+def test_personal_events_without_hangul(spark):
+    """The sign of a death is no Hangul syllable; brackets and names go with it alone, mixed, and beside full-width signs."""
+    purposes = ["故(Kim 3) 2026", "故", "x (a) 故 (b) y", "（故）　(전각)", "故 홍길동(부친) 김ㅇㅇ", "(a) only", "근조(화환)", "소속근조(화환)", "環境(a)", "김ㅇㅇ가나 (b)", "박○ 수(a)", "(unclosed 故", ""]
+    assert each(spark, purposes, text.scrub_purpose) == [plain_scrub(p) for p in purposes]
+    pairs = [(m, p) for m in ("홍길동", "홍 길동", "박○수", "직원", "kim", "") for p in purposes]
+    found = spark.createDataFrame(pairs, "m string, p string").select(text.scrub_merchant(F.col("m"), F.col("p"))).collect()
+    assert [r[0] for r in found] == [plain_merchant(m, p) for m, p in pairs]
+    assert text.REDACTED_PAYEE == plain_merchant("홍길동", "故(Kim 3) 2026") and plain_scrub("故(Kim 3) 2026") == "故 2026"
+
+
 def test_names(spark):
     assert each(spark, ["  Á \t Straße ", None], text.normalized) == ["á strasse", None]
     assert each(spark, ["ＡＢＣ 카페 "], text.searchable) == ["abc 카페"]
