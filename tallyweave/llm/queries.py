@@ -105,6 +105,12 @@ def op10_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), *prints, "near_edited", "near_next")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.divergence import source_divergence
+
+    return source_divergence(read_table(spark, sf_dir, "documents"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyweave.llm.codes import compress_vectors
 
@@ -149,5 +155,20 @@ h3 AS (SELECT host, good + m * mean AS a, n - good + m * (1 - mean) AS b FROM h2
 SELECT page_id, p.host AS host, path, {rule.replace("host ", "p.host ")} AS rule, coalesce({said.replace("host ", "p.host ")}, CASE WHEN bound >= 0.5e0 THEN 'allow' ELSE 'block' END) AS verdict FROM p LEFT JOIN j ON j.host = p.host"""
 
 
+#: p and q of every kept term and group, in 128 bits where a product needs them.
+_OP12_SQL = r"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c0 AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM w GROUP BY 1, 2, 3),
+kept AS (SELECT lang, term, sum(n) AS ln FROM c0 GROUP BY 1, 2 HAVING sum(docs) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+grid AS (SELECT g.lang, g.source, k.term, coalesce(c0.n, 0) AS n, k.ln FROM g JOIN kept k ON k.lang = g.lang LEFT JOIN c0 ON c0.lang = g.lang AND c0.source = g.source AND c0.term = k.term),
+p AS (SELECT lang, source, term, n, CAST(1 + (CAST(1000000000 AS HUGEINT) * (n + 2)) // (sum(n) OVER s + 2 * count(*) OVER s) AS BIGINT) AS p, CAST(1 + (CAST(1000000000 AS HUGEINT) * (ln + 2)) // (sum(ln) OVER s + 2 * count(*) OVER s) AS BIGINT) AS q FROM grid WINDOW s AS (PARTITION BY lang, source)),
+sums AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3),
+both_parts AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM both_parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_substring_dedup": _OP6_SQL, "op7_host_reputation": _op7_sql()}
+    return {"op6_substring_dedup": _OP6_SQL, "op7_host_reputation": _op7_sql(), "op12_source_divergence": _OP12_SQL}
