@@ -167,7 +167,7 @@ _PAIRS = "lang string, source string, item string, value long"
 
 
 def _compared(table: pa.Table) -> pa.Table:
-    """A unit (a chunk and two blocks of sources) -> its share of each pair's sum.
+    """A unit (a chunk and two blocks of sources) -> its share of each pair's sum; a pair in one order only.
 
     Its rows: one without a source, that holds both blocks' sources and totals, and one for each source that the chunk has.
     """
@@ -188,7 +188,7 @@ def _compared(table: pa.Table) -> pa.Table:
             out[i, others] += gaps(p[i][None, :], p[others]).sum(1)
     i, j = np.nonzero(np.triu(np.ones_like(out), 1)) if same else (x.ravel() for x in np.meshgrid(np.arange(low), np.arange(low, len(names)), indexing="ij"))
     named = np.array(names, object)
-    return pa.table({"lang": pa.array([head["lang"]] * (2 * len(i)), pa.string()), "source": pa.array(np.r_[named[i], named[j]], pa.string()), "item": pa.array(np.r_[named[j], named[i]], pa.string()), "value": np.r_[out[i, j], out[i, j]]})
+    return pa.table({"lang": pa.array([head["lang"]] * len(i), pa.string()), "source": pa.array(named[i], pa.string()), "item": pa.array(named[j], pa.string()), "value": out[i, j]})
 
 
 def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +225,9 @@ def _pair_sums(encoded: DataFrame, groups: DataFrame) -> DataFrame:
     rows = rows.select("lang", "chunk", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "source", "ids", "ns")
     units = heads.unionByName(rows, allowMissingColumns=True)
     found = units.groupBy("lang", "chunk", "a", "b").applyInArrow(_compared, _PAIRS)
-    return found.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    sums = found.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    ways = F.array(*[F.struct(F.col(a).alias("source"), F.col(b).alias("item")) for a, b in (("source", "item"), ("item", "source"))])
+    return sums.select("lang", "value", F.inline(ways)).select("lang", "source", "item", "value")
 
 
 def source_divergence(docs: DataFrame, least_docs: int = LEAST_DOCS, lang_column: str = "lang", source_column: str = "source", text_column: str = "text") -> DataFrame:
