@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweave.tables import cut_lineage
+from tallyweave.operators.graphs import components
+from tallyweave.tables import cut_lineage, with_facts
 
 
 def publish_ranks(sources: DataFrame) -> DataFrame:
@@ -99,45 +99,27 @@ def repost_links(counts: DataFrame) -> DataFrame:
     return links.union(stars)
 
 
-def _closed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links (expense, a, b) sorted by expense -> (expense, source, component): a union-find of one expense at a time."""
-    current, head = None, {}
+def _links_of_expenses(counts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """expense, a, b: the expenses that both sources of a pair carry. pairs: (a, b), or (expense, a, b) for one expense only.
 
-    def find(x):
-        while head.setdefault(x, x) != x:
-            head[x] = head[head[x]]
-            x = head[x]
-        return x
-
-    def closed() -> list[tuple]:
-        return [(current, x, find(x)) for x in list(head)]
-
-    for part in parts:
-        out = []
-        for expense, a, b in part.itertuples(index=False):
-            if expense != current:
-                out += closed()
-                current, head = expense, {}
-            x, y = find(a), find(b)
-            if x != y:
-                head[max(x, y)] = min(x, y)
-        yield pd.DataFrame(out, columns=["expense", "source", "component"])
-    yield pd.DataFrame(closed(), columns=["expense", "source", "component"])
+    The sources b are looked up first, as a may be the head of very many pairs; a head's expenses are then facts.
+    """
+    keyed = ["expense"] if "expense" in pairs.columns else []
+    carried = pairs.join(counts.select(F.col("source").alias("b"), "expense"), ["b", *keyed]).select("expense", "a", "b", F.struct("a", "expense").alias("head"))
+    heads = carried.groupBy("head").agg(F.count("*").alias("n"))
+    known = counts.select(F.struct(F.col("source").alias("a"), "expense").alias("head"))
+    return with_facts(carried, heads.join(known, "head", "left_semi"), "head", "n").select("expense", "a", "b")
 
 
 def expense_components(counts: DataFrame, pairs: DataFrame) -> DataFrame:
     """expense, source, component (its least source): components of the pairs among the sources of each expense.
 
-    pairs: (a, b), or (expense, a, b) for pairs of one expense only. Links of an expense stream through a union-find, whose
-    state is the expense's sources; links themselves are not held.
+    pairs: (a, b), or (expense, a, b) for pairs of one expense only. Nodes are (expense, source), so the star steps close all
+    expenses at once, and the sources of one are spread over all tasks.
     """
-    keyed = "expense" in pairs.columns
-    x, y = counts.alias("x"), counts.alias("y")
-    on = (F.col("x.source") == F.col("p.a")) & (F.col("x.expense") == F.col("p.expense")) if keyed else F.col("x.source") == F.col("p.a")
-    links = pairs.alias("p").join(x, on).join(y, (F.col("y.source") == F.col("p.b")) & (F.col("y.expense") == F.col("x.expense"))).select(F.col("x.expense").alias("expense"), "p.a", "p.b")
-    expense_type, source_type = counts.schema["expense"].dataType.simpleString(), counts.schema["source"].dataType.simpleString()
-    dealt = links.repartition("expense").sortWithinPartitions("expense")
-    linked = dealt.mapInPandas(_closed, f"expense {expense_type}, source {source_type}, component {source_type}")
+    node = lambda c: F.struct(F.col("expense").alias("expense"), F.col(c).alias("source"))
+    found = components(_links_of_expenses(counts, pairs).select(node("a").alias("a"), node("b").alias("b")))
+    linked = found.select("node.expense", "node.source", F.col("component.source").alias("component"))
     return counts.select("expense", "source").join(linked, ["expense", "source"], "left").withColumn("component", F.coalesce("component", "source"))
 
 
@@ -178,8 +160,7 @@ def merge_repeats(records: DataFrame, sources: DataFrame, confirmations: DataFra
     else:
         rule = repost_pairs(counts, apart).select("a", "b")
         automatic = expense_components(counts, rule)
-        x, y = counts.alias("x"), counts.alias("y")
-        by_expense = rule.alias("p").join(x, F.col("x.source") == F.col("p.a")).join(y, (F.col("y.source") == F.col("p.b")) & (F.col("y.expense") == F.col("x.expense"))).select(F.col("x.expense").alias("expense"), "p.a", "p.b")
+        by_expense = _links_of_expenses(counts, rule)
         same = declared.where("decision = 'same_expense'").select("expense", "a", "b")
         final = expense_components(counts, by_expense.join(apart, ["expense", "a", "b"], "left_anti").union(same).distinct())
     best = keepers(counts, final, ranks)

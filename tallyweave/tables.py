@@ -105,24 +105,26 @@ def in_ranges(df: DataFrame, order: list, part: str) -> DataFrame:
     return cut_lineage(df.repartitionByRange(parts, *order).withColumn(part, F.spark_partition_id()))
 
 
-#: A key with more than one in so many of all rows is hot.
-HOT_SHARE = 1000
+#: A key is hot if it has more than one in HOT_SHARE of all rows, and more than HOT_ROWS.
+HOT_SHARE, HOT_ROWS = 1000, 10_000
 
 
 def with_facts(rows: DataFrame, facts: DataFrame, key: str, n: str) -> DataFrame:
     """`rows` with the columns of `facts`, one row for each key (null among them), of which column `n` counts the rows.
 
-    A key with more than a thousandth of all rows is hot: there are fewer than HOT_SHARE of these, so their facts are
-    broadcast, and no task gets all rows of one. All other rows are dealt by their key. Rows without facts go. Both inputs
-    are read twice, so they should be written tables.
+    There are fewer than HOT_SHARE hot keys, so their facts are broadcast, and no task gets all rows of one. All other rows
+    are dealt by their key. Rows without facts go. Where a key is hot both inputs are read twice, so they should be cheap
+    to compute, as written tables are.
     """
     held, ours = spare_names([*rows.columns, *facts.columns], "_key", "_own")
-    total = facts.agg(F.sum(n)).first()[0] or 0
-    hot = F.col(n) * HOT_SHARE > total
+    total, most = facts.agg(F.sum(n), F.max(n)).first()
     asked = facts.withColumnRenamed(key, held)
     same = F.col(held).eqNullSafe(F.col(ours))
     mine = rows.withColumn(ours, quoted(key))
-    many = asked.where(hot)
-    first = mine.join(F.broadcast(many), same)
-    rest = mine.join(F.broadcast(many.select(held)), same, "left_anti").join(asked.where(~hot), same)
+    bound = max((total or 0) // HOT_SHARE, HOT_ROWS)
+    if (most or 0) <= bound:
+        return mine.join(asked, same).drop(held, ours)
+    hot = asked.where(F.col(n) > bound)
+    first = mine.join(F.broadcast(hot), same)
+    rest = mine.join(F.broadcast(hot.select(held)), same, "left_anti").join(asked.where(F.col(n) <= bound), same)
     return first.unionByName(rest).drop(held, ours)
