@@ -105,6 +105,12 @@ def op10_iblt_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), *prints, "near_edited", "near_next")
 
 
+def op11_pivot_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyweave.llm.pivots import near_vectors
+
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyweave.llm.divergence import source_divergence
 
