@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.functions.amounts import half_up
+from tallyweave.tables import spare_names
 
 # Milliseconds of a frame, of a stutter, of a freeze, and of a long task.
 FRAME_MS, STUTTER_MS, FREEZE_MS, LONG_MS = 16.67, 33.3, 100.0, 50.0
@@ -73,23 +74,63 @@ def pair_events(events: DataFrame, keys: list[str]) -> DataFrame:
     return rows.withColumn("began", began).where("phase = 'e'").select(*keys, "began", F.col("ts").alias("ended"))
 
 
-def contained(children: DataFrame, parents: DataFrame, keys: list[str], width: float) -> DataFrame:
+#: Leaves that the longest interval is cut into where bounds are no whole numbers; whole numbers are leaves themselves.
+LEAVES = 1 << 32
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _shifted(value: Column, level: Column) -> Column:
+    return F.call_function("shiftright", value, level)
+
+
+def dyadic_nodes(low: Column, high: Column) -> Column:
+    """Array of (level, node): the fewest nodes of a binary tree over whole numbers that cover those from low to high, each once.
+
+    Node n of level k covers the 2^k numbers from n * 2^k on. An interval has at most two nodes of a level, and none of a
+    level above the logarithm of its length.
+    """
+    size = high - low + 1
+
+    def of_level(k: Column) -> Column:
+        # nodes of the level that lie whole within the interval: from first to behind; those whose parent does not are taken
+        first = -_shifted(-low, k)
+        behind = _shifted(high + 1, k)
+        node = lambda n, taken: F.when(taken & (first < behind), F.struct(k.alias("level"), n.alias("node")))
+        return F.array(node(first, first.bitwiseAND(1) == 1), node(behind - 1, behind.bitwiseAND(1) == 1))
+
+    levels = F.sequence(F.lit(0), F.length(F.bin(size)) - 1)
+    return F.when(size > 0, F.filter(F.flatten(F.transform(levels, of_level)), lambda x: x.isNotNull()))
+
+
+def contained(children: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:
     """Child-parent pairs of a key where the parent's interval contains the child's (both have start and stop, and an id).
 
-    Parents are dealt into every bucket of `width` that they touch, children into the bucket of their start: an equi-join.
+    Starts do not lie behind stops; rows with a null bound have no pairs. A parent stands at the nodes of a binary tree that
+    cover its interval, a child looks at all nodes above its start: an equi-join in which a pair meets once. Both sides make
+    at most a row or two for each level, whatever the intervals' lengths.
     """
+    names = ["parent", "parent_start", "parent_stop"]
+    low_leaf, high_leaf, level, node, at = spare_names([*children.columns, *names, *[f"_{k}" for k in keys]], "_low", "_high", "_level", "_node", "_at")
+    whole = all(t in _WHOLE for df in (children, parents) for c, t in df.dtypes if c in ("start", "stop"))
+    length = F.col("stop") - F.col("start")
+    finite = F.coalesce(length.cast("double") < float("inf"), F.lit(False))
+    longest, endless = parents.agg(F.max(F.when(finite, length)), F.max(~finite & length.isNotNull())).first()
+    unit = float(longest or 0) / LEAVES or 1.0
+    broken = lambda c: F.floor(F.greatest(F.lit(-(2.0**61)), F.least(F.lit(2.0**61), F.col(c).cast("double") / unit)))
+    leaf = lambda c: F.col(c).cast("long") if whole else F.when(F.col(c).isNotNull(), broken(c))
     p = parents.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("id").alias("parent"), F.col("start").alias("parent_start"), F.col("stop").alias("parent_stop"))
-    p = p.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("parent_start") / width), F.floor(F.col("parent_stop") / width))))
-    c = children.withColumn("_at", F.floor(F.col("start") / width))
-    on = (F.col("_at") == F.col("_bucket")) & (F.col("start") >= F.col("parent_start")) & (F.col("stop") <= F.col("parent_stop"))
+    p = p.withColumn(at, F.explode(dyadic_nodes(leaf("parent_start"), leaf("parent_stop")))).select("*", F.col(f"{at}.level").alias(level), F.col(f"{at}.node").alias(node)).drop(at)
+    top = 63 if endless else (int(longest or 0) if whole else LEAVES).bit_length()
+    c = children.withColumn(low_leaf, leaf("start")).withColumn(high_leaf, F.explode(F.sequence(F.lit(0), F.lit(top))))
+    on = (F.col(high_leaf) == F.col(level)) & (_shifted(F.col(low_leaf), F.col(high_leaf)) == F.col(node)) & (F.col("start") >= F.col("parent_start")) & (F.col("stop") <= F.col("parent_stop"))
     for k in keys:
         on = on & (F.col(k) == F.col(f"_{k}"))
-    return c.join(p, on).drop("_bucket", "_at", *[f"_{k}" for k in keys])
+    return c.join(p, on).select(*children.columns, *names)
 
 
-def not_contained(children: DataFrame, parents: DataFrame, keys: list[str], width: float) -> DataFrame:
+def not_contained(children: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:
     """Children that no parent contains."""
-    return children.join(contained(children, parents, keys, width).select("id").distinct(), "id", "left_anti")
+    return children.join(contained(children, parents, keys).select("id").distinct(), "id", "left_anti")
 
 
 def between_markers(events: DataFrame, markers: DataFrame, keys: list[str]) -> DataFrame:
@@ -156,10 +197,10 @@ def presented_frames(events: DataFrame) -> DataFrame:
     return rows.where((F.col("kind") == "presented") | F.col("_has").isNull()).select("trace", "ts").distinct()
 
 
-def summarize_traces(frames: DataFrame, tasks: DataFrame, width: float) -> DataFrame:
+def summarize_traces(frames: DataFrame, tasks: DataFrame) -> DataFrame:
     """trace, longest gap, stutters, freezes, outer long tasks: tasks inside another long task are not counted twice."""
     gaps = frame_intervals(frames).groupBy("trace").agg(F.max("gap").alias("longest"), F.count_if(F.col("gap") >= STUTTER_MS).alias("stutters"), F.count_if(F.col("gap") >= FREEZE_MS).alias("freezes"))
     long_ = tasks.where(F.col("stop") - F.col("start") >= LONG_MS)
-    pairs = contained(long_, long_, ["trace"], width).where(F.col("id") != F.col("parent")).where("not (start = parent_start and stop = parent_stop and id < parent)")
+    pairs = contained(long_, long_, ["trace"]).where(F.col("id") != F.col("parent")).where("not (start = parent_start and stop = parent_stop and id < parent)")
     outer = long_.join(pairs.select("id").distinct(), "id", "left_anti").groupBy("trace").agg(F.count("*").alias("long_tasks"))
     return gaps.join(outer, "trace", "left").withColumn("long_tasks", F.coalesce("long_tasks", F.lit(0)))

@@ -647,4 +647,4 @@ def trace_summaries(spark, sf_dir):
     minute = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 60_000_000)
     e = table(spark, sf_dir, "events")
     tasks = e.where("value is not null").select(F.col("user_id").alias("trace"), F.col("event_id").alias("id"), minute.alias("start"), (minute + F.floor(F.abs("value"))).alias("stop"))
-    return traces.summarize_traces(e.select(F.col("user_id").alias("trace"), minute.alias("ts")), tasks, 200.0)
+    return traces.summarize_traces(e.select(F.col("user_id").alias("trace"), minute.alias("ts")), tasks)

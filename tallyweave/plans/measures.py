@@ -86,12 +86,12 @@ def _spans(spark, sf_dir, kind: str) -> DataFrame:
 
 @query(f"WITH {_SPANS} SELECT c.id AS child, p.id AS parent FROM x c JOIN x p ON c.user_id = p.user_id AND c.event_type = 'error' AND p.event_type = 'purchase' AND c.start >= p.start AND c.stop <= p.stop")
 def nested_intervals(spark, sf_dir):
-    return traces.contained(_spans(spark, sf_dir, "error"), _spans(spark, sf_dir, "purchase"), ["user_id"], 2000.0).select(F.col("id").alias("child"), "parent")
+    return traces.contained(_spans(spark, sf_dir, "error"), _spans(spark, sf_dir, "purchase"), ["user_id"]).select(F.col("id").alias("child"), "parent")
 
 
 @query(f"WITH {_SPANS} SELECT c.id AS child FROM x c WHERE c.event_type = 'error' AND NOT EXISTS (SELECT 1 FROM x p WHERE c.user_id = p.user_id AND p.event_type = 'purchase' AND c.start >= p.start AND c.stop <= p.stop)")
 def outside_intervals(spark, sf_dir):
-    return traces.not_contained(_spans(spark, sf_dir, "error"), _spans(spark, sf_dir, "purchase"), ["user_id"], 2000.0).select(F.col("id").alias("child"))
+    return traces.not_contained(_spans(spark, sf_dir, "error"), _spans(spark, sf_dir, "purchase"), ["user_id"]).select(F.col("id").alias("child"))
 
 
 @query("""WITH m AS (SELECT user_id, min(CASE WHEN event_type = 'signup' THEN ts END) AS low, max(CASE WHEN event_type = 'purchase' THEN ts END) AS high FROM events GROUP BY 1)

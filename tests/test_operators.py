@@ -284,7 +284,7 @@ def test_event_pairs(spark):
 def test_trace_summary(spark):
     frames = spark.createDataFrame([("t", 0.0), ("t", 16.667), ("t", 66.667), ("t", 180.0), ("u", 0.0)], "trace string, ts double")
     tasks = spark.createDataFrame([("t", 1, 0.0, 120.0), ("t", 2, 10.0, 70.0), ("t", 3, 10.0, 20.0), ("t", 4, 500.0, 560.0), ("t", 5, 500.0, 560.0)], "trace string, id int, start double, stop double")
-    found = traces.summarize_traces(frames, tasks, 50.0).first()
+    found = traces.summarize_traces(frames, tasks).first()
     assert (found["stutters"], found["freezes"], found["long_tasks"]) == (2, 1, 2) and found["longest"] == pytest.approx(113.333)
     events = spark.createDataFrame([("t", 1, "drawn"), ("t", 2, "presented"), ("t", 2, "presented"), ("u", 3, "drawn")], "trace string, ts int, kind string")
     assert got(traces.presented_frames(events), "trace", "ts") == [("t", 2), ("u", 3)]
