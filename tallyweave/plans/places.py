@@ -5,11 +5,13 @@ A place is a customer with made-up coordinates; a visit is an order; a marker su
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweave.functions import geo, keys, text
-from tallyweave.operators import identity, manifests, rules, serving
+from tallyweave.operators import identity, indexes, manifests, rules, serving
 from tallyweave.plans.ledgers import table
 from tallyweave.sources import html
 
@@ -57,7 +59,7 @@ def _markers(spark, sf_dir) -> DataFrame:
 def flagship_serving(spark, sf_dir):
     """Search screen: markers of a visit band, ranked, first page."""
     band = _markers(spark, sf_dir).where(serving.visit_band(F.col("visit_count")) == "10-19")
-    return serving.page(serving.ranked(band), 0).select("business", "merchant", "visit_count", "total_amount", "rank", "place")
+    return indexes.first_page(band, serving.MARKER_PAGE).select("business", "merchant", "visit_count", "total_amount", "rank", "place")
 
 
 @query(f"WITH {_VISITS} SELECT business, min(merchant) AS merchant, string_agg(CAST(record AS VARCHAR), ',' ORDER BY record) AS records, min(latitude) AS latitude, min(longitude) AS longitude, false AS conflict FROM v GROUP BY business")
@@ -107,6 +109,35 @@ def initial_viewport(spark, sf_dir):
     return serving.initial_view(_markers(spark, sf_dir), VIEW)
 
 
+#: Searches as a user types them; some shorter than a gram, one with all names, one with none.
+SEARCHES = [" 00012 ", "7", "R#", "＃0000004", "customer#000000001", "no such name", "e"]
+
+
+@query(f"WITH {_MARKERS}, q AS (SELECT unnest([{', '.join(repr(text.searchable_form(s)) for s in SEARCHES)}]) AS query) SELECT query, business, merchant FROM q JOIN m ON contains(lower(merchant), query)")
+def searches_by_index(spark, sf_dir):
+    """Searches over the n-gram index of all markers."""
+    m = _markers(spark, sf_dir).withColumn("searchable", text.searchable(F.col("merchant")))
+    index = indexes.write_search_index(m, "business", "searchable")
+    found = [indexes.indexed_search(spark, index, s).select(F.lit(text.searchable_form(s)).alias("query"), "business", "merchant") for s in SEARCHES]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+#: box, south, west, north, east: all, one side, a point, outside, thin, and below the pyramid's cells.
+BOXES = [(0, -90.0, -180.0, 90.0, 180.0), (1, *VIEW), (2, 36.5, 127.25, 36.5, 127.25), (3, 0.0, 0.0, 1.0, 1.0), (4, 33.0, 125.0, 39.99, 125.05), (5, 35.001, 126.003, 35.009, 126.3), (6, 34.5, 125.0, 50.0, 127.0)]
+
+
+@query(f"WITH {_MARKERS}, b(box, south, west, north, east) AS (VALUES {', '.join('(' + ', '.join(f'{v}e0' if k else str(v) for k, v in enumerate(b)) + ')' for b in BOXES)}) SELECT CAST(box AS BIGINT) AS box, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (latitude BETWEEN south AND north AND longitude BETWEEN west AND east) AS BIGINT) AS in_view FROM b, m GROUP BY box")
+def viewports_by_pyramid(spark, sf_dir):
+    """Counts in boxes from the tile pyramid of all markers."""
+    return indexes.counts_in_boxes(spark, indexes.write_pyramid(_markers(spark, sf_dir)), BOXES)
+
+
+@query(f"SELECT * FROM ({_RANKED}) WHERE place BETWEEN 101 AND 150")
+def ranked_page_by_index(spark, sf_dir):
+    """The third page of all markers, from the stored order."""
+    return indexes.indexed_page(spark, indexes.write_order(_markers(spark, sf_dir), "ko"), 2, 50).select("business", "merchant", "visit_count", "rank", "place")
+
+
 @query("""SELECT c_custkey, lower(trim(regexp_replace(nfc_normalize(c_name), '\\s+', ' ', 'g'))) AS name FROM customer""")
 def normalize_name(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", text.normalized(F.col("c_name")).alias("name"))

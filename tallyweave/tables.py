@@ -40,10 +40,15 @@ def _delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A path of this application's own in the shared folder, not used before."""
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     """`df` as Parquet in the shared folder: survives lost executors and is computed once."""
     spark = df.sparkSession
-    path = path or f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+    path = path or fresh_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -56,7 +61,7 @@ class Successive:
 
     def __call__(self, df: DataFrame) -> DataFrame:
         spark, old = df.sparkSession, self.path
-        self.path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
+        self.path = fresh_path(spark)
         out = cut_lineage(df, self.path)
         if old:
             _delete(spark, old)
