@@ -245,8 +245,13 @@ def _verifying(limit: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
 def _links(described: DataFrame, limit: float) -> DataFrame:
     """k1, k2, links, h1, h2 of the units of all lists. described: label, k1, k2, many, v, lists."""
     listed = described.withColumn("list", F.explode("lists")).withColumn("whole", F.xxhash64("label", F.size("v"), "list"))
-    sizes = listed.groupBy("whole").count().where(F.col("count") > PART_ROWS).select("whole", F.ceil(F.col("count") / PART_ROWS).alias("parts"))
-    rows = listed.join(sizes, "whole", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    large = listed.groupBy("whole").agg(F.count("*").alias("n")).where(F.col("n") > PART_ROWS)
+    large = cut_lineage(large.withColumn("parts", F.ceil(F.col("n") / PART_ROWS)))
+    if large.isEmpty():
+        rows = listed.withColumn("parts", F.lit(1).cast("long"))
+    else:
+        rows = listed.join(large.select("whole"), "whole", "left_anti").withColumn("parts", F.lit(1).cast("long"))
+        rows = rows.unionByName(with_facts(listed, large, "whole", "n").drop("n").select(*rows.columns))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("k1", "k2"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     side = F.when(F.col("part") == F.col("other"), 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
     rows = rows.select(F.xxhash64("whole", F.least("part", "other"), F.greatest("part", "other")).alias("unit"), side.alias("side"), "list", "k1", "k2", "many", "lists", "v")
