@@ -11,6 +11,8 @@ costs a lookup for each of its words.
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,9 +26,9 @@ from tallyweave.llm.common import columns_without, quoted, spare_names, worker_c
 
 UNKNOWN = "und"
 BUCKETS, DIMENSIONS = 1 << 13, 16
-#: The bound of the training sample: about so many labelled rows for each language.
-ROWS_PER_LABEL = 500
-MOST_LABELS = 1000
+#: The bounds of the training sample: about so many labelled rows for each language, and so many in all, of which only
+#: n-gram shares reach the driver (at most 6 bytes a bucket for each row, however long its text). Languages that are learned.
+ROWS_PER_LABEL, SAMPLE_ROWS, MOST_LABELS = 500, 20_000, 1000
 CACHED_WORDS = 250_000
 
 
@@ -74,36 +76,63 @@ def _normal(word: str) -> str:
     return "".join(c for c in word.lower() if c.isalpha())
 
 
+def _words(text: bytes) -> list[bytes]:
+    """A text's words, as training and prediction both take them: split at ASCII white space, without ASCII marks and digits."""
+    return text.translate(_LOWER, _NO_LETTERS).split()
+
+
 def _counts(words: list[str], cache: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
     found: list[int] = []
     for w in words:
         if w not in cache:
-            cache[w] = ngrams(w) if w else []
+            if len(cache) > CACHED_WORDS:
+                cache.clear()
+            cache[w] = ngrams(w)
         found += cache[w]
     at, n = np.unique(np.asarray(found, np.int64), return_counts=True)
-    return at, (n / max(1, n.sum())).astype(np.float32)
+    return at.astype(np.int16), (n / max(1, n.sum())).astype(np.float32)
+
+
+#: What training needs of a text: shares of n-grams of the text and of spans of it.
+Spans = list[tuple[np.ndarray, np.ndarray]]
+
+
+def training_spans(text: bytes, cache: dict[str, list[int]]) -> Spans:
+    """The n-gram shares of a text, and of two short spans of its words, drawn by its hash; none for texts without letters."""
+    words = [w for w in (_normal(w.decode("utf-8", "replace")) for w in _words(text)) if w]
+    if not words:
+        return []
+    rng, spans = np.random.default_rng(zlib.crc32(text)), [words]
+    for _ in range(2):
+        n = int(rng.integers(1, 10))
+        at = int(rng.integers(0, max(1, len(words) - n + 1)))
+        spans.append(words[at : at + n])
+    return [_counts(s, cache) for s in spans]
 
 
-def train(texts: list[str], labels: list[str], seed: int = 5, epochs: int = 12, batch: int = 32, rate: float = 20.0, least_steps: int = 1500) -> LanguageModel:
-    """About a fifth of the texts, chosen by their hash (so that copies stay together), is kept for calibration.
+def _is_held(text: bytes) -> bool:
+    return zlib.crc32(b"held " + text) % 5 == 0
 
-    Each text also trains as two short spans of its words. Texts without letters say nothing: labels that have no others
-    are not learned, and without any label the model is empty.
+
+def train(texts: list[str], labels: list[str], **more) -> LanguageModel:
+    """`train_spans` of texts that are at hand."""
+    cache: dict[str, list[int]] = {}
+    return train_spans([(training_spans(t.encode(), cache), label, _is_held(t.encode())) for t, label in zip(texts, labels, strict=True)], **more)
+
+
+def train_spans(found: list[tuple[Spans, str, bool]], seed: int = 5, epochs: int = 12, batch: int = 32, rate: float = 20.0, least_steps: int = 1500) -> LanguageModel:
+    """found: spans, label, and whether a text is kept for calibration: about a fifth, by hash, so that copies stay together.
+
+    Texts without letters say nothing: labels that have no others are not learned, and without any label the model is empty.
     """
-    worded = [(text, [w for w in map(_normal, text.split()) if w], label) for text, label in zip(texts, labels, strict=True)]
-    worded = [x for x in worded if x[1]]
-    names = sorted({x[2] for x in worded})
+    found = [x for x in found if x[0]]
+    names = sorted({x[1] for x in found})
     if not names:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
-    rng, cache = np.random.default_rng(seed), {}
+    rng = np.random.default_rng(seed)
     rows: list[list] = [[], []]
-    for text, words, label in worded:
-        spans = [words]
-        for _ in range(2):
-            n = int(rng.integers(1, 10))
-            at = int(rng.integers(0, max(1, len(words) - n + 1)))
-            spans.append(words[at : at + n])
-        rows[zlib.crc32(b"held " + text.encode()) % 5 == 0] += [(_counts(s, cache), names.index(label)) for s in spans if s]
+    for spans, label, held in found:
+        rows[held] += [(s, names.index(label)) for s in spans]
     fit, held = rows if rows[0] and rows[1] else (rows[0] + rows[1],) * 2
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
     weight, bias = np.zeros((DIMENSIONS, len(names)), np.float32), np.zeros(len(names), np.float32)
@@ -114,7 +143,7 @@ def train(texts: list[str], labels: list[str], seed: int = 5, epochs: int = 12,
         order = rng.permutation(len(fit))
         for i in range(0, len(order), batch):
             own = [fit[j] for j in order[i : i + batch]]
-            at = np.concatenate([x[0][0] for x in own])
+            at = np.concatenate([x[0][0] for x in own]).astype(np.int64)
             share = np.concatenate([x[0][1] for x in own])[:, None]
             first = np.cumsum([0, *(len(x[0][0]) for x in own)])[:-1]
             mean = np.add.reduceat(embed[at] * share, first, axis=0)
@@ -143,23 +172,42 @@ def train(texts: list[str], labels: list[str], seed: int = 5, epochs: int = 12,
     return LanguageModel(names, table, bias, float(temperature), threshold)
 
 
-def fit_language_model(docs: DataFrame, text_column: str = "text", label_column: str = "lang", id_column: str = "doc_id", rows_per_label: int = ROWS_PER_LABEL) -> LanguageModel:
+def fit_language_model(docs: DataFrame, text_column: str = "text", label_column: str = "lang", id_column: str = "doc_id", rows_per_label: int = ROWS_PER_LABEL, most_labels: int = MOST_LABELS) -> LanguageModel:
     """Trains on rows with a label and a text. The sample is by a hash of id and text, a fraction for each label.
 
-    At most about `rows_per_label` rows a label reach the driver (twice as many in all, where rows are repeated), and a
-    count for each label, of which there may be MOST_LABELS. No usable labelled rows: a model without labels.
+    About `rows_per_label` rows a label, at most SAMPLE_ROWS in all, are described in their tasks; their n-gram shares reach the
+    driver, never their texts, however long. The `most_labels` labels with most rows are learned (of equals the first by code point): a
+    softmax holds a row for each. No usable labelled rows: a model without labels.
     """
     rows = docs.select(quoted(id_column).cast("string").alias("i"), quoted(text_column).cast("string").alias("t"), quoted(label_column).cast("string").alias("l")).where("t is not null and l is not null")
-    counts = {r[0]: r[1] for r in rows.groupBy("l").count().limit(MOST_LABELS + 1).collect()}
-    if len(counts) > MOST_LABELS:
-        raise ValueError(f"more than {MOST_LABELS} languages")
+    counts = {r[0]: r[1] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(most_labels).collect()}
     if not counts:
         return train([], [])
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, rows_per_label / n))])
+    each = min(rows_per_label, max(1, SAMPLE_ROWS // len(counts)))
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, each / n))])
     rows = rows.withColumn("d", F.pmod(F.xxhash64("i", F.lit("langid")), F.lit(1 << 30)) / (1 << 30))
-    drawn = rows.where(F.col("d") < F.element_at(share, F.col("l"))).orderBy("d", "i", F.xxhash64("t"), "l").limit(2 * rows_per_label * len(counts))
-    found = sorted(drawn.select("t", "l").collect(), key=lambda r: (zlib.crc32(r["t"].encode()), r["t"], r["l"]))
-    return train([r["t"] for r in found], [r["l"] for r in found])
+
+    @F.arrow_udf("struct<held boolean, sizes array<int>, grams binary, shares binary, tie binary>")
+    def described(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        cache: dict[str, list[int]] = {}
+        for part in texts:
+            out = []
+            for t in part:
+                text = t.as_py()
+                spans = training_spans(text, cache)
+                joined = [b"".join(s[k].tobytes() for s in spans) for k in (0, 1)]
+                out.append({"held": _is_held(text), "sizes": [len(s[0]) for s in spans], "grams": joined[0], "shares": joined[1], "tie": hashlib.sha256(text).digest()})
+            yield pa.array(out, pa.struct([("held", pa.bool_()), ("sizes", pa.list_(pa.int32())), ("grams", pa.binary()), ("shares", pa.binary()), ("tie", pa.binary())]))
+
+    # the order carries what is sent, and not texts
+    picked = rows.where(F.col("d") < F.element_at(share, F.col("l"))).select("d", "l", described.asNondeterministic()(F.col("t").cast("binary")).alias("x"))
+    order = ["d", "x.tie", "l"]
+    sample = picked.orderBy(*order).limit(min(2 * each * len(counts), 2 * SAMPLE_ROWS)).select("l", "x.*").toArrow().to_pylist()
+    found = []
+    for r in sorted(sample, key=lambda r: (r["tie"], r["l"])):
+        grams, shares, cuts = np.frombuffer(r["grams"], np.int16), np.frombuffer(r["shares"], np.float32), np.cumsum([0, *r["sizes"]])
+        found.append(([(grams[a:b], shares[a:b]) for a, b in itertools.pairwise(cuts)], r["l"], r["held"]))
+    return train_spans(found)
 
 
 class _Words(dict):
@@ -190,7 +238,7 @@ def predict(model: LanguageModel, texts: list[bytes | None], words: _Words | Non
     """Label, calibrated probability and whether it is rejected, of each text."""
     words = _Words(model) if words is None else words
     for text in texts:
-        own = (text or b"").translate(_LOWER, _NO_LETTERS).split()
+        own = _words(text or b"")
         total = np.zeros(len(model.labels) + 1)
         for i in range(0, len(own), 1 << 16):
             part = own[i : i + (1 << 16)]
@@ -212,7 +260,8 @@ def predict(model: LanguageModel, texts: list[bytes | None], words: _Words | Non
 def identify_language(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
     """Adds lang_pred, score (0 to 1) and lang_rejected, from the whole text alone.
 
-    A text that is null or has no letter gets `und`, 0 and is rejected; others get a learned label. Empty tables, repeated
+    A text that is null or has no letter gets `und`, 0 and is rejected; others get a learned label. Very long texts are read
+    whole, 65,536 words at a time. Empty tables, repeated
     rows and other columns, whatever their names, pass through; columns with an added column's name are replaced (a text
     column of such a name is read first).
     """
