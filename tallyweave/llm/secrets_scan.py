@@ -42,27 +42,63 @@ FALSE_SHARE, BINS, LENGTHS = 0.05, 50, (24, 32, 48, 64, 128)
 POOLED, FIXED_LOW = 20, 5
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once: columns are trees, in which each use would compute it again."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+_SPAN = "array<struct<start:int,end:int,kind:string,token:string>>"
+#: Elements of a block of a running value: an array of n costs about n x BLOCK / 2 + (n / BLOCK)^2 / 2 steps.
+BLOCK = 256
+
+
+def _blocks(n: Column) -> Column:
+    """Numbers of the blocks of n elements; none for none."""
+    return F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
+def _within(block: Column, n: Column) -> Column:
+    """Numbers of the elements of a block."""
+    return F.sequence(block * BLOCK, F.least((block + 1) * BLOCK, n) - 1)
+
+
+def running(values: Column, join: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """For each int of an array, all before it joined; `zero` for the first.
+
+    Arrays can only be lengthened by a copy, so blocks are run through on their own, and then their totals.
+    """
+
+    def steps(items: Column, value: Callable[[Column], Column]) -> Column:
+        start = F.struct(zero.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(items, start, lambda s, i: F.struct(join(s["at"], value(i)).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+    def by_blocks(v: Column) -> Column:
+        n = F.size(v)
+        totals = F.transform(_blocks(n), lambda b: F.aggregate(_within(b, n), zero, lambda a, i: join(a, F.get(v, i))))
+        return _let(steps(totals, lambda x: x), lambda before: F.flatten(F.transform(_blocks(n), lambda b: F.transform(steps(_within(b, n), lambda i: F.get(v, i)), lambda x: join(F.get(before, b), x)))))
+
+    return _let(values, by_blocks)
+
+
 def _spans(text: Column, pattern: str, guard: str, kind: str, group: int = 0, least: int = 0) -> Column:
     """Array of (start, end, kind, text) of a pattern's leftmost matches whose group has at least so many characters."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     tested = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
     # the piece after the last match has no match and is left out
     zipped = F.filter(F.arrays_zip(whole.alias("m"), tested.alias("g"), F.split(text, pattern, -1).alias("before")), lambda x: x["m"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,kind:string,token:string>>").alias("out"))
 
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + F.length(x["before"])
-        end = begin + F.length(x["m"])
-        item = F.array(F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["m"].alias("token")))
-        return F.struct(end.alias("at"), F.when(F.length(x["g"]) >= least, F.concat(state["out"], item)).otherwise(state["out"]).alias("out"))
+    def placed(found: Column) -> Column:
+        sizes = F.transform(found, lambda x: F.length(x["before"]) + F.length(x["m"]))
+        ends = running(sizes, lambda a, x: a + x, F.lit(0))
 
-    found = F.aggregate(zipped, start, step, lambda s: s["out"])
-    return F.when(text.rlike(guard), found).otherwise(F.array().cast("array<struct<start:int,end:int,kind:string,token:string>>"))
+        def span(x: Column, at: Column) -> Column:
+            begin = at + F.length(x["before"])
+            item = F.struct(begin.alias("start"), (begin + F.length(x["m"])).alias("end"), F.lit(kind).alias("kind"), x["m"].alias("token"))
+            return F.when(F.length(x["g"]) >= least, item)
 
+        return F.filter(F.zip_with(found, ends, span), lambda x: x.isNotNull())
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value), with value computed once: columns are trees, in which each use would compute it again."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    return F.when(text.rlike(guard), _let(zipped, placed)).otherwise(F.array().cast(_SPAN))
 
 
 def _normal_tail(z: Column) -> Column:
@@ -182,7 +218,8 @@ def scan_secrets(docs: DataFrame, text_column: str = "text") -> DataFrame:
     Positions are code points, end exclusive; arrays are sorted by start, then kind in the order assign, access, hex, random.
     Null and empty texts have no spans. Empty tables, repeated rows and other columns, whatever their names, pass through;
     columns with an added column's name are replaced. The tests' cuts are counted over the whole input: two passes over the
-    texts.
+    texts. Work grows with a text's length and its number of matches, up to some million
+    matches of one text; then blocks of matches grow with the square.
     """
     return _scanned(docs, text_column, "base_spans", "spans")
 
@@ -222,34 +259,64 @@ def _with_spans(docs: DataFrame, text: Column, cuts: dict[str, float], base_name
     rows = docs.select(*kept, text.alias(text_name)).withColumn(held, base)
     every = F.col(held)
     if cuts:
-        passed = F.filter(_candidates(F.col(text_name)), lambda t: (t["p"] >= _lookup(cuts, t["class"])) & ~F.exists(held, lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
-        every = F.array_sort(F.concat(held, short(passed)))
+        passed = F.filter(_candidates(F.col(text_name)), lambda t: t["p"] >= _lookup(cuts, t["class"]))
+        every = _let(short(passed), lambda found: F.when(F.size(found) == 0, F.col(held)).when(F.size(held) == 0, F.array_sort(found)).otherwise(_joined(F.array_sort(F.concat(held, found)), order["random"])))
     return rows.withColumns({base_name: plain(F.col(held)), spans_name: plain(every)}).drop(held, text_name)
 
 
+def _joined(spans: Column, random: int) -> Column:
+    """Sorted spans (start, place, end, kind) without those of place `random` that overlap another one."""
+
+    def told(all_: Column) -> Column:
+        fixed = lambda x, value, none: F.when(x["place"] < random, x[value]).otherwise(F.lit(none))
+        reach = running(F.transform(all_, lambda x: fixed(x, "end", 0)), lambda a, b: F.greatest(a, b), F.lit(0))
+        last = 2**31 - 1
+        next_ = F.reverse(running(F.transform(F.reverse(all_), lambda x: fixed(x, "start", last)), lambda a, b: F.least(a, b), F.lit(last)))
+        alone = F.zip_with(F.zip_with(all_, reach, lambda x, r: F.when((x["place"] < random) | (r <= x["start"]), x)), next_, lambda x, n: F.when((x["place"] < random) | (n >= x["end"]), x))
+        return F.filter(alone, lambda x: x.isNotNull())
+
+    return _let(spans, told)
+
+
 def spans_text(spans: str | Column) -> Column:
     """kind:start:end of each span, joined by commas."""
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _fresh(spans: Column) -> Column:
+    """Of sorted spans those that overlap none before: (at: the end of the spans before, start)."""
+    before = running(F.transform(spans, lambda x: x["end"]), lambda a, b: F.greatest(a, b), F.lit(0))
+    return F.filter(F.zip_with(spans, before, lambda x, at: F.when(x["start"] >= at, F.struct(at.alias("at"), x["start"].alias("start")))), lambda x: x.isNotNull())
+
+
+def _marked(text: Column, fresh: Column, end: Column, mark: str) -> Column:
+    """A text with `mark` in place of its spans. end: of the last one.
+
+    A substring is found by counting characters from the start of its text, so texts are first cut into stretches of BLOCK spans.
+    """
+    n = F.size(fresh)
+
+    def stretch(block: Column) -> Column:
+        first, after = block * BLOCK, F.least((block + 1) * BLOCK, n)
+        at = F.get(fresh, first)["at"]
+        own = F.substring(text, at + 1, F.get(fresh, after - 1)["start"] - at)
+        clear = lambda part: F.transform(F.slice(fresh, first + 1, after - first), lambda x: F.substring(part, x["at"] - at + 1, x["start"] - x["at"]))
+        return F.array_join(_let(own, clear), mark)
+
+    return F.concat(F.array_join(F.transform(_blocks(n), stretch), mark), F.lit(mark), F.substring(text, end + 1, F.length(text)))
+
+
 def redact(docs: DataFrame, text_column: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The documents, with every span of their texts replaced by `mark` (overlapping spans by one), and n_chars, if there, set anew.
 
-    Null texts stay null. All rows and columns, whatever their names, are kept.
+    Null texts stay null. All rows and columns, whatever their names, are kept. Very long texts: as in scan_secrets.
     """
     base_name, spans_name = spare_names(docs.columns, "base_spans", "spans")
     rows = _scanned(docs, text_column, base_name, spans_name)
     text = quoted(text_column).cast("string")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(s: Column, x: Column) -> Column:
-        clear = F.substring(text, s["at"] + 1, F.greatest(x["start"] - s["at"], F.lit(0)))
-        fresh = x["start"] >= s["at"]
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), F.when(fresh, F.concat(s["out"], clear, F.lit(mark))).otherwise(s["out"]).alias("out"))
-
-    end = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
-    cleaned = F.when(F.size(spans_name) > 0, F.aggregate(spans_name, start, step, end)).otherwise(text)
-    (clean_name,) = spare_names(rows.columns, "_clean")
-    rows = rows.withColumn(clean_name, cleaned)
+    fresh_name, clean_name = spare_names(rows.columns, "_fresh", "_clean")
+    rows = rows.withColumn(fresh_name, F.when(F.size(spans_name) > 0, _fresh(F.col(spans_name))))
+    end = F.array_max(F.transform(spans_name, lambda x: x["end"]))
+    rows = rows.withColumn(clean_name, F.when(F.size(spans_name) > 0, _marked(text, F.col(fresh_name), end, mark)).otherwise(text))
     new = {text_column: F.col(clean_name), "n_chars": F.length(clean_name).cast("long")}
     return rows.select(*[new.get(c, quoted(c)).alias(c) for c in docs.columns])
