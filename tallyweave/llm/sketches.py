@@ -26,9 +26,9 @@ CELLS = PART * PARTS
 ROUNDS, TRIES = 12, (1, 4, 16, 64, 256, 1024, 4096)
 #: A line end, or white space after the end of a sentence.
 PARAGRAPH_END = r"\n+|(?<=[.!?])[ \t]+"
-COARSE_RANGES, RANGE_ROWS = 256, 20_000
-#: Ranges up to which their first ids are broadcast.
-MOST_BROADCAST = 10_000
+COARSE_RANGES, FINE_RANGES, RANGE_ROWS = 256, 64, 20_000
+#: Ranges up to which their first ids are broadcast (about 60 bytes each).
+MOST_BROADCAST = 200_000
 _CELL = "array<struct<c:bigint,k:bigint,x:bigint>>"
 _FOUND = "array<struct<k:bigint,c:bigint>>"
 
@@ -145,26 +145,43 @@ def with_next_text(docs: DataFrame) -> DataFrame:
 
     Rows with equal ids are in the order of their text's hash, descending; null ids come last. Rows are dealt into id
     ranges, which are sorted each on its own; each range also gets the first row of the next one. The bounds of the ranges
-    are percentiles of the ids, held by the driver. An id that is a bound has a range of its own, and if it holds several
-    percentiles of the rows, as many as its rows need, by ranges of the hash; so have null ids.
+    are percentiles of the ids, and percentiles of the ids between two of these, held by the driver; only between bounds so
+    near is a stretch cut by equal widths, so clustered ids spread, too. An id that is a bound has a range of its own, and if
+    it holds several percentiles of the rows, as many as its rows need, by ranges of the hash; so have null ids.
     """
-    stats = docs.agg(F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls"), F.percentile_approx("doc_id", [k / COARSE_RANGES for k in range(COARSE_RANGES + 1)]).alias("cuts")).first()
+    doc_id = F.col("doc_id")
+    stats = docs.agg(F.count("*").alias("n"), F.count_if(doc_id.isNull()).alias("nulls"), F.percentile_approx("doc_id", [k / COARSE_RANGES for k in range(COARSE_RANGES + 1)]).alias("cuts")).first()
     every = sorted(stats["cuts"] or [])
     cuts = sorted(set(every))
     several = [c for c in cuts if every.count(c) > 2]
     subs = stats["n"] // RANGE_ROWS + 1
-    finer = -(-max(stats["n"] // RANGE_ROWS, 8 * shuffle_partitions(docs)) // COARSE_RANGES)
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    doc_id = F.col("doc_id")
+    wanted = max(stats["n"] // RANGE_ROWS, 8 * shuffle_partitions(docs))
+    fine = min(FINE_RANGES, -(-wanted // COARSE_RANGES))
+    finer = -(-wanted // (COARSE_RANGES * fine))
+    literal = lambda ids: F.array(*[F.lit(c).cast("long") for c in ids])
+    bounds = literal(cuts) if cuts else F.array().cast("array<bigint>")
+    coarse = F.greatest(F.lit(1), F.size(F.filter(bounds, lambda c: c <= doc_id)))
+    inner = {k: [c] for k, c in enumerate(cuts, 1)}
+    if fine > 1 and cuts:
+        between = docs.where(doc_id.isNotNull()).groupBy(coarse.alias("k")).agg(F.percentile_approx("doc_id", [j / fine for j in range(1, fine)]).alias("ids"))
+        for r in between.collect():  # at most COARSE_RANGES + 1 rows of FINE_RANGES ids
+            inner[r["k"]] = sorted({*inner[r["k"]], *r["ids"]})
+            if stats["n"] > COARSE_RANGES * fine * RANGE_ROWS:
+                several += [c for c in set(r["ids"]) if r["ids"].count(c) > 2 and c not in several]
 
     def within(k: Column) -> Column:
-        """The place of an id at or after the k-th bound and before the next: the bound alone, or one of `finer` stretches."""
-        low, high = F.element_at(bounds, k), F.element_at(bounds, F.least(k + 1, F.lit(len(cuts))))
+        """The place of an id at or after the k-th bound and before the next."""
+        after = F.element_at(bounds, F.least(k + 1, F.lit(len(cuts))))
+        return _let(F.element_at(F.array(*[literal(inner[j]) for j in range(1, len(cuts) + 1)]), k), lambda own: _let(F.greatest(F.lit(1), F.size(F.filter(own, lambda c: c <= doc_id))), lambda j: stretch(k, own, j, after)))
+
+    def stretch(k: Column, own: Column, j: Column, after: Column) -> Column:
+        """At or after the j-th of its inner bounds: the bound alone, or one of `finer` stretches."""
+        low, high = F.element_at(own, j), F.when(j < F.size(own), F.element_at(own, F.least(j + 1, F.size(own)))).otherwise(after)
         width = F.greatest(high.cast("double") - low.cast("double"), F.lit(1.0))
         at = F.floor((doc_id.cast("double") - low.cast("double")) * finer / width)
-        return k.cast("long") * (finer + 1) + F.when(doc_id == low, F.lit(0)).otherwise(1 + F.least(F.lit(finer - 1), F.greatest(F.lit(0), at)))
+        return (k.cast("long") * (fine + 2) + j) * (finer + 1) + F.when(doc_id == low, F.lit(0)).otherwise(1 + F.least(F.lit(finer - 1), F.greatest(F.lit(0), at)))
 
-    place = _let(F.greatest(F.lit(1), F.size(F.filter(bounds, lambda c: c <= doc_id))), within).cast("long") if cuts else F.lit(0).cast("long")
+    place = _let(coarse, within).cast("long") if cuts else F.lit(0).cast("long")
     # hash ranges ascend with the hash
     hashed = F.least(F.lit(subs - 1), F.floor((F.col("_hash").cast("double") / 2.0**64 + 0.5) * subs)).cast("long")
     split = doc_id.isNull() | (doc_id.isin(several) if several else F.lit(False))
@@ -175,7 +192,7 @@ def with_next_text(docs: DataFrame) -> DataFrame:
     here = F.struct("_range", "_sub")
     tops = rows.groupBy("_range", "_sub").agg(F.max(F.struct("doc_id", "_hash")).alias("_top"))
     heads = tops.select("_top", here.alias("_of"), F.coalesce(F.lead(here).over(in_order), F.first(here).over(in_order)).alias("_to"))
-    if len(cuts) * (finer + 1) + (len(several) + 1) * subs <= MOST_BROADCAST:  # the number of ranges at most
+    if len(cuts) * (fine + 1) * (finer + 1) + (len(several) + 1) * subs <= MOST_BROADCAST:  # the number of ranges at most
         heads = F.broadcast(heads)
     first = rows.join(heads, doc_id.eqNullSafe(F.col("_top.doc_id")) & (F.col("_hash") == F.col("_top._hash")) & (F.col("_range") == F.col("_of._range")) & (F.col("_sub") == F.col("_of._sub")))
     first = first.select("doc_id", "text", "_hash", F.col("_to._range").alias("_range"), F.col("_to._sub").alias("_sub"), F.lit(1).alias("_copy"))

@@ -3,6 +3,7 @@ import math
 import random
 import re
 import string
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -101,6 +102,54 @@ def test_redaction(spark):
     assert {r["_text"] for r in scanned.collect()} == {0}
 
 
+def plain_redacted(text, spans):
+    out, at = "", 0
+    for a, b, *_ in sorted(spans):
+        if a >= at:
+            out += text[at:a] + "[SECRET]"
+        at = max(at, b)
+    return out + text[at:]
+
+
+def test_running_values(spark):
+    rng = random.Random(8)
+    rows = [(k, [rng.randrange(-9, 99) for _ in range(n)]) for k, n in enumerate((0, 1, 2, 63, 64, 65, 4096, 4097, 9000))]
+    table = spark.createDataFrame(rows, "k int, v array<int>")
+    sums = secrets_scan.running(F.col("v"), lambda a, b: a + b, F.lit(0))
+    tops = secrets_scan.running(F.col("v"), lambda a, b: F.greatest(a, b), F.lit(0))
+    for r in table.select("k", sums.alias("s"), tops.alias("t")).collect():
+        v = rows[r["k"]][1]
+        assert r["s"] == [sum(v[:k]) for k in range(len(v))]
+        assert r["t"] == [max([0, *v[:k]]) for k in range(len(v))]
+
+
+def test_many_matches_in_one_text(spark):
+    """Blocks of spans at all levels, overlapping spans, and characters of several bytes."""
+    rng = random.Random(9)
+    text = "".join(rng.choice(["é password=", "token: ", " AKIA", "漢", "🙂 ", "secret='"]) + made(rng, "0123456789abcdef", rng.choice([5, 9, 33, 40])) + rng.choice([" ", "\n", ""]) for _ in range(9000))
+    text += made(rng, string.ascii_letters + string.digits, 40) + " " + "AKIA" + "Z" * 20 + "x"
+    docs = spark.createDataFrame([(1, text), (2, "token " + text)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in secrets_scan.scan_secrets(docs).collect()}
+    cleaned = {r["doc_id"]: r["text"] for r in secrets_scan.redact(docs).collect()}
+    for k, r in found.items():
+        assert [tuple((s["kind"], s["start"], s["end"])) for s in r["base_spans"]] == plain_base(r["text"])
+        own = [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == "random"]
+        fixed = {(b, c) for _, b, c in plain_base(r["text"])}
+        assert not any(a < d and b > c for a, b in own[:50] for c, d in fixed)
+        assert cleaned[k] == plain_redacted(r["text"], [(s["start"], s["end"]) for s in r["spans"]])
+
+
+def test_a_text_of_very_many_keys(spark):
+    """100,000 keys in one text take seconds, as work grows with their number and not its square."""
+    rng = random.Random(10)
+    text = "\n".join(f"password={made(rng, 'abcdef0123456789', 12)}" for _ in range(100_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.perf_counter()
+    cleaned = secrets_scan.redact(docs).collect()[0]["text"]
+    assert time.perf_counter() - began < 30
+    assert cleaned == "\n".join(["[SECRET]"] * 100_000)
+
+
 def test_secret_query(spark):
     for r in spark.read.parquet(f"{DATA}/documents.parquet").join(queries.op9_secret_scan(spark, DATA), "doc_id").collect():
         base = plain_base(r["text"])
@@ -142,6 +191,24 @@ def test_sketches_recover_differences_of_all_sizes(spark):
     assert sketches.fingerprint_documents(docs.limit(0)).count() == 0
 
 
+def test_clustered_ids_spread_over_ranges(spark, monkeypatch):
+    """Ids of a few narrow clusters and far strays: bounds are percentiles, so no range has many rows."""
+    monkeypatch.setattr(sketches, "RANGE_ROWS", 40)
+    monkeypatch.setattr(sketches, "COARSE_RANGES", 8)
+    rng = random.Random(12)
+    ids = [c + rng.randrange(900) for c in (0, 10**6, 10**12) for _ in range(900)] + [-(10**17), 10**17, None, None]
+    docs = spark.createDataFrame([(k, f"t{n}.") for n, k in enumerate(ids)], "doc_id long, text string")
+    found = sketches.with_next_text(docs)
+    texts = {r["text"]: r["next_text"] for r in found.collect()}
+    order, at = [], "t0."
+    for _ in ids:
+        order.append(at)
+        at = texts[at]
+    start = next(k for k, t in enumerate(order) if ids[int(t[1:-1])] == 10**17)
+    back = [ids[int(t[1:-1])] for t in order[start:] + order[:start]]
+    assert len(set(order)) == len(ids) and back == [*sorted((k for k in ids if k is not None), reverse=True), None, None]
+
+
 def test_parts_that_no_try_solves_are_compared(spark, monkeypatch):
     monkeypatch.setattr(sketches, "TRIES", (1, 4))
     rows = [(2, "\n".join(f"a{k}" for k in range(900))), (1, "\n".join(f"a{k}" for k in range(450, 1300)))]
