@@ -132,6 +132,12 @@ def _routes(x: np.ndarray, n: int) -> np.ndarray:
         return ((h ^ (h >> np.uint64(35))) % np.uint64(n)).astype(np.int64)
 
 
+def _document_routes(doc: np.ndarray, tag: np.ndarray, n: int) -> np.ndarray:
+    """The route of each document, told by its id and, where ids have several texts (as null ids have), by its text."""
+    with np.errstate(over="ignore"):
+        return _routes(doc.astype(np.uint64) ^ tag.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), n)
+
+
 def _sent(kind: int, route: np.ndarray, key: np.ndarray, *more: np.ndarray, width: int = 8) -> Iterator[tuple]:
     """Rows with key and more, dealt by the route; within a route in the order they have."""
     if not len(key):
@@ -150,7 +156,7 @@ def _places(routes: int, h: np.ndarray, *more: np.ndarray, width: int = 8) -> It
 
 def _marks(routes: int, doc: np.ndarray, at: np.ndarray, tag: np.ndarray) -> Iterator[tuple]:
     """Places in documents, to the document's route."""
-    return _sent(MARKS, _routes(doc, routes), at, doc, tag, width=4)
+    return _sent(MARKS, _document_routes(doc, tag, routes), at, doc, tag, width=4)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -343,7 +349,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     same document. Rows with the same doc_id count as one document in this order, so a window at the same place of
     two of them spares both. A null
     doc_id comes after all others. Null and empty texts have no words. An empty table gives no rows. Windows are compared
-    by 64-bit hashes. Other columns, whatever their names, are ignored.
+    by 64-bit hashes. Documents are dealt by id and text, so many rows without an id are no single task's (rows with one id
+    and one text are); a task holds a very long text and its word hashes. Other columns, whatever their names, are ignored.
     """
     kept = docs.select(F.coalesce(quoted(id_column).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(quoted(text_column).cast("string"), F.lit("")).cast("binary").alias("text"))
 
@@ -368,8 +375,9 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
             ids, n = batch.column(0).to_numpy(), batch.num_rows
             if n:
                 texts = batch.column(1).to_pylist()
-                blobs = pa.array([tag(t).to_bytes(8, "little") + press(t) for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(_routes(ids, routes)), pa.array(np.full(n, TEXT, np.int32)), pa.array(ids), blobs], schema=_SCHEMA)
+                tags = np.array([tag(t) for t in texts], np.int64)
+                blobs = pa.array([k.tobytes() + press(t) for k, t in zip(tags, texts, strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(_document_routes(ids, tags, routes)), pa.array(np.full(n, TEXT, np.int32)), pa.array(ids), blobs], schema=_SCHEMA)
 
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.repartition(parts, "route").sortWithinPartitions("route", "kind")
