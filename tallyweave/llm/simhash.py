@@ -6,9 +6,10 @@ fingerprints form one class at once. Two fingerprints that differ in at most 3 b
 shards stay small. Each shard builds a BK-tree: a node's children are keyed by their Hamming distance to it, and a search
 follows only the edges within the radius of the distance at hand, and no edge to a subtree that is linked with the query
 already, so a tight group of any size costs one step. Trees are built and searched level by level over arrays, for all
-shards of a task at once. A shard above a bound is split into tree parts and query parts, each pair of parts a unit of its
-own. A unit gives a spanning forest of its links, not its pairs. Components over these links come from alternating
-large-star and small-star steps.
+shards of a task at once. A unit gives a spanning forest of its links, not its pairs. In a shard above a bound, rows that share
+a further key are first linked with the least of them; then it is split into tree parts and query parts, each pair of
+parts a unit of its own, but for parts of one component, which have nothing left to find. Components over all links
+come from alternating large-star and small-star steps.
 
 `near_copies` finds documents whose shingle sets are similar: the same trees with a wider radius, in shards of documents
 that share some least hashes of their shingles, each hit verified by the share of equal least hashes.
@@ -26,7 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tallyweave.llm.common import Successive, cut_lineage, quoted, shuffle_partitions, spare_names
+from tallyweave.llm.common import cut_lineage, quoted, shuffle_partitions, spare_names, with_facts
+from tallyweave.operators.graphs import components
 
 RADIUS = 3
 #: Rows of a tree part; shards above it are split.
@@ -231,20 +233,80 @@ def _linker(radius: int, least_equal: int = 0) -> Callable[[Iterator[pa.RecordBa
     return solved
 
 
+def _verified(radius: int, least_equal: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows and heads (rep, fp, sig, and the head's) -> links (a, b) of those that are within the radius and have equal bytes enough."""
+
+    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep, fp, head, head_fp = (batch.column(c).to_numpy() for c in ("rep", "fp", "head", "head_fp"))
+            hit = (np.bitwise_count((fp ^ head_fp).view(np.uint64)) <= radius) & (rep != head)
+            if least_equal and hit.any():
+                at = pa.array(np.flatnonzero(hit))
+                own, other = (np.frombuffer(b"".join(batch.column(c).take(at).to_pylist()), np.uint8).reshape(len(at), -1) for c in ("sig", "head_sig"))
+                hit[hit] = (own == other).sum(1) >= least_equal
+            yield pa.RecordBatch.from_arrays([pa.array(head[hit]), pa.array(rep[hit])], ["a", "b"])
+
+    return checked
+
+
+def _near_heads(hot: DataFrame, radius: int, least_equal: int) -> DataFrame:
+    """Links (a, b) of rows of a shard with the least of those that share a further key: eight bytes of their sigs, or all bits
+    of their fingerprints but a byte. Rows of a group of near copies mostly share some, so these links make no pairs.
+    """
+    if least_equal:
+        keys = [F.xxhash64(F.lit(k), F.substring("sig", k + 1, 8)) for k in range(0, LEAST_HASHES, 8)]
+    else:
+        keys = [F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(~(255 << 8 * k) if k < 7 else (1 << 56) - 1))) for k in range(8)]
+    more = ["sig"] if least_equal else []
+    keyed = hot.select("rep", "fp", *more, F.explode(F.transform(F.array(*keys), lambda k: F.xxhash64("shard", k))).alias("key"))
+    least = F.min(F.struct("rep", "fp", *more)).alias("head")
+    heads = keyed.groupBy("key").agg(least, F.count("*").alias("n")).where("n > 1")
+    heads = cut_lineage(heads.select("key", "n", F.col("head.rep").alias("head"), F.col("head.fp").alias("head_fp"), *[F.col("head.sig").alias("head_sig") for _ in more]))
+    return with_facts(keyed, heads, "key", "n").mapInArrow(_verified(radius, least_equal), "a long, b long").distinct()
+
+
+def _hot_units(hot: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows with unit, is_query and is_tree, of shards above PART_ROWS.
+
+    hot: shard, rep and more. links: those found already. Rows of a component that has more than PART_ROWS in a shard make parts
+    of their own, others share parts; parts are paired, but not those of one component. So a shard of near copies makes
+    no pairs of parts, whatever its size, and each row that is not linked meets all others.
+    """
+    named = hot.join(components(links), F.col("rep") == F.col("node"), "left").withColumn("group", F.coalesce("component", "rep")).drop("node", "component")
+    named = cut_lineage(named)
+    sizes = named.groupBy("shard", "group").agg(F.count("*").alias("n"))
+    # groups below the bound are one mixed group: null
+    groups = sizes.groupBy("shard", F.when(F.col("n") > PART_ROWS, F.col("group")).alias("group")).agg(F.sum("n").alias("n")).withColumn("parts", F.ceil(F.col("n") / PART_ROWS))
+    by_shard = Window.partitionBy("shard").orderBy("group")
+    groups = groups.withColumn("first", F.sum("parts").over(by_shard) - F.col("parts")).withColumn("all", F.sum("parts").over(Window.partitionBy("shard")))
+    large = sizes.where(F.col("n") > PART_ROWS)
+    keyed = named.withColumn("of", F.struct("shard", "group"))
+    mine = with_facts(keyed, cut_lineage(sizes.select(F.struct("shard", "group").alias("of"), F.col("n").alias("size"))), "of", "size") if not large.isEmpty() else keyed.withColumn("size", F.lit(0).cast("long"))
+    mine = mine.withColumn("of", F.struct("shard", F.when(F.col("size") > PART_ROWS, F.col("group")).alias("group"))).drop("size", "group")
+    placed = with_facts(mine, cut_lineage(groups.select(F.struct("shard", "group").alias("of"), F.col("group").isNull().alias("mixed"), "n", "parts", "first", "all")), "of", "n")
+    placed = placed.withColumn("part", F.col("first") + F.pmod(F.xxhash64("rep"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1)))
+    met = placed.where("mixed or other < first or other >= first + parts")
+    same = F.col("part") == F.col("other")
+    # the tree of the lower part is asked by both; within a part it is asked by itself
+    unit = F.xxhash64("shard", F.least("part", "other"), F.greatest("part", "other"))
+    return met.select(unit.alias("unit"), (same | (F.col("part") > F.col("other"))).alias("is_query"), (same | (F.col("part") < F.col("other"))).alias("is_tree"), *[c for c in hot.columns if c != "shard"])
+
+
 def _shard_links(rows: DataFrame, radius: int, least_equal: int = 0) -> DataFrame:
     """Links (a, b) of rep that connect all rows of a shard within the radius. rows: fp, rep, shard, and sig if least_equal."""
     more = ["sig"] if least_equal else []
-    sizes = rows.groupBy("shard").count().where(F.col("count") > PART_ROWS).select("shard", F.ceil(F.col("count") / PART_ROWS).alias("parts"))
-    rows = rows.join(sizes, "shard", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
-    part = F.pmod(F.xxhash64("rep"), F.col("parts"))
-    rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    low, high = F.least("part", "other"), F.greatest("part", "other")
-    # the tree of the lower part is asked by both; within a part it is asked by itself
-    unit = F.xxhash64("shard", low, high)
-    same = F.col("part") == F.col("other")
-    rows = rows.select(unit.alias("unit"), (same | (F.col("part") > F.col("other"))).alias("is_query"), (same | (F.col("part") < F.col("other"))).alias("is_tree"), "fp", "rep", *more)
-    dealt = rows.repartition(shuffle_partitions(rows), "unit").sortWithinPartitions("unit")
-    return dealt.mapInArrow(_linker(radius, least_equal), "a long, b long")
+    rows = rows.select("shard", "fp", "rep", *more)
+    large = cut_lineage(rows.groupBy("shard").count().where(F.col("count") > PART_ROWS).select("shard"))
+    whole = rows if large.isEmpty() else rows.join(large, "shard", "left_anti")
+    units = whole.select(F.col("shard").alias("unit"), F.lit(True).alias("is_query"), F.lit(True).alias("is_tree"), "fp", "rep", *more)
+    found = None
+    if not large.isEmpty():
+        hot = cut_lineage(rows.join(large, "shard", "left_semi"))
+        found = cut_lineage(_near_heads(hot, radius, least_equal))
+        units = units.unionByName(_hot_units(hot, found))
+    dealt = units.repartition(shuffle_partitions(rows), "unit").sortWithinPartitions("unit")
+    links = dealt.mapInArrow(_linker(radius, least_equal), "a long, b long")
+    return links if found is None else links.union(found)
 
 
 def block_count(classes: int, radius: int = RADIUS) -> int:
@@ -269,29 +331,6 @@ def similar_links(classes: DataFrame, blocks: int = RADIUS + 1) -> DataFrame:
     return _shard_links(classes.select("fp", "rep", F.explode(F.array(*keys)).alias("shard")), RADIUS)
 
 
-def _stars(edges: DataFrame) -> bool:
-    """Whether no node hangs from two others, and none from one that hangs itself."""
-    heads = edges.groupBy("a").agg(F.count("*").alias("n"), F.min("b").alias("b"))
-    hanging = heads.select(F.col("a").alias("b"))
-    return heads.where("n > 1").limit(1).count() == 0 and heads.join(hanging, "b", "left_semi").limit(1).count() == 0
-
-
-def components(links: DataFrame) -> DataFrame:
-    """(node, component): the smallest node that each linked node can reach. links: (a, b)."""
-    written = Successive()
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    while not _stars(edges):
-        # large star: larger neighbours of a node go to its smallest neighbour
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        # small star: smaller neighbours of a node, and the node, go to its smallest neighbour
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        edges = written(small.where("a <> b").distinct())
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-
-
 def _classed(prints: DataFrame) -> DataFrame:
     """Adds component_id to prints (doc_id, fp, ...): the smallest doc_id of all fingerprints that its own can reach."""
     classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))

@@ -281,3 +281,41 @@ def test_null_ids_come_last(spark):
     text = " ".join(f"w{i}" for i in range(25))
     docs = spark.createDataFrame([(None, text), (7, text)], "doc_id long, text string")
     assert {r["doc_id"]: r["n_removed"] for r in substring.remove_repeats(docs).collect()} == {None: 25, 7: 0}
+
+
+def test_rows_without_ids_are_dealt_over_routes():
+    """50,000 texts without an id: routes follow the texts."""
+    ids = np.full(50_000, substring.NO_ID)
+    tags = np.array([substring._tag(b"text %d" % k) for k in range(50_000)], np.int64)
+    met = np.bincount(substring._document_routes(ids, tags, 24), minlength=24)
+    assert met.min() > 1800 and met.max() < 2400
+
+
+def test_a_hot_band_of_template_texts(spark, monkeypatch):
+    """200,000 near copies in one shard are linked by stars; only rows that are not linked meet all parts."""
+    n = 200_000
+    part = F.pmod(F.xxhash64("id"), F.lit(128)).cast("int")
+    sig = F.unhex(F.concat(F.substring(F.lit("ab" * 128), F.lit(1), part * 2), F.lpad(F.hex(F.col("id") % 251), 2, "0"), F.substring(F.lit("ab" * 128), F.lit(1), 254 - part * 2)))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64("id", F.lit(2)), F.lit(8)).cast("int"))
+    rows = spark.range(n).select(F.lit(7).cast("long").alias("shard"), F.lit(0x0F0F0F0F0F).bitwiseXOR(bit).alias("fp"), F.col("id").alias("rep"), sig.alias("sig"))
+    rows = rows.union(spark.createDataFrame([(7, -1 - k, n + k, bytes([k] * 128)) for k in range(3)], rows.schema)).repartition(8)
+    made = []
+    units = simhash._hot_units
+    monkeypatch.setattr(simhash, "_hot_units", lambda *a: made.append(units(*a)) or made[-1])
+    links = simhash.cut_lineage(simhash._shard_links(rows, 16, 97))
+    assert {r["component"] for r in simhash.components(links).where(f"node < {n}").collect()} == {0}
+    assert links.where(f"a >= {n} or b >= {n}").count() == 0
+    met = made[0].groupBy("unit").count().agg(F.sum("count"), F.max("count"), F.count("*")).first()
+    assert met[0] < 2 * n and met[1] < 2 * simhash.PART_ROWS and met[2] > n / simhash.PART_ROWS
+
+
+def test_large_shards_lose_no_links(spark, monkeypatch):
+    """Shards above the bound, with some large components and rows alone, have the same components as brute force."""
+    monkeypatch.setattr(simhash, "PART_ROWS", 20)
+    rng = np.random.default_rng(4)
+    centres = rng.integers(0, 1 << 40, 4)
+    prints = {int(c) ^ int(sum(1 << int(b) for b in rng.choice(20, rng.integers(0, 3), replace=False))) for c in centres for _ in range(90)} | {int(x) for x in rng.integers(0, 1 << 40, 60)}
+    rows = [(k, fp) for k, fp in enumerate(sorted(prints))]
+    table = spark.createDataFrame([(1, fp, k) for k, fp in rows], "shard long, fp long, rep long")
+    found = {r["node"]: r["component"] for r in simhash.components(simhash._shard_links(table, 3)).collect()}
+    assert {k: found.get(k, k) for k, _ in rows} == plain_components(rows)
