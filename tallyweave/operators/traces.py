@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweave.functions.amounts import half_up
+from tallyweave.operators.scans import paired, rows_before, upper_medians
 from tallyweave.tables import spare_names
 
 # Milliseconds of a frame, of a stutter, of a freeze, and of a long task.
@@ -30,8 +31,7 @@ def judge_attempts(attempts: DataFrame, target: float, required: int) -> DataFra
 
 def frame_intervals(frames: DataFrame) -> DataFrame:
     """trace, ts, gap: milliseconds since the trace's frame before. frames: trace, ts (ms)."""
-    before = F.lag("ts").over(Window.partitionBy("trace").orderBy("ts"))
-    return frames.withColumn("gap", F.col("ts") - before).where("gap is not null")
+    return rows_before(frames, ["trace"], ["ts"], "ts", "_before").withColumn("gap", F.col("ts") - F.col("_before")).where("gap is not null").drop("_before")
 
 
 def dropped_frames(gap: Column) -> Column:
@@ -40,9 +40,7 @@ def dropped_frames(gap: Column) -> Column:
 
 def upper_median(values: DataFrame, keys: list[str], column: str) -> DataFrame:
     """keys, median: the value at place floor(n / 2) of the sorted values."""
-    w = Window.partitionBy(*keys)
-    placed = values.withColumns({"_at": F.row_number().over(w.orderBy(column)) - 1, "_n": F.count("*").over(w)})
-    return placed.where(F.col("_at") == F.floor(F.col("_n") / 2)).select(*keys, F.col(column).alias("median"))
+    return upper_medians(values, keys, column)
 
 
 def frame_stats(intervals: DataFrame) -> DataFrame:
@@ -59,19 +57,10 @@ def is_long_task(name: Column) -> Column:
 def pair_events(events: DataFrame, keys: list[str]) -> DataFrame:
     """keys, began, ended: each end with the last open begin of its key; unmatched ends are ignored, unmatched begins dropped.
 
-    events: keys, phase (`b` or `e`), ts, seq. The number of open begins is the running sum of +1 and -1 less its least
-    value so far; a begin and the end that closes it are neighbours among the events of their key and level.
+    events: keys, phase (`b` or `e`), ts, seq.
     """
-    order = Window.partitionBy(*keys).orderBy("ts", "seq")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = events.where(F.col("phase").isin("b", "e")).select(*keys, "phase", "ts", "seq", F.when(F.col("phase") == "b", 1).otherwise(-1).alias("_step"))
-    rows = rows.withColumn("_sum", F.sum("_step").over(upto)).withColumn("_open", F.col("_sum") - F.least(F.lit(0), F.min("_sum").over(upto)))
-    # a begin's level is the number open after it, an end's that before it; an end that nothing is open for has none
-    before = F.coalesce(F.lag("_open").over(order), F.lit(0))
-    level = F.when(F.col("phase") == "b", F.col("_open")).otherwise(before)
-    rows = rows.withColumn("_level", level).where("_level > 0")
-    began = F.lag("ts").over(Window.partitionBy(*keys, "_level").orderBy("ts", "seq"))
-    return rows.withColumn("began", began).where("phase = 'e'").select(*keys, "began", F.col("ts").alias("ended"))
+    rows = events.where(F.col("phase").isin("b", "e")).select(*keys, "ts", "seq", F.when(F.col("phase") == "b", 1).otherwise(-1).alias("_step"))
+    return paired(rows, keys, ["ts", "seq"], "_step", "ts")
 
 
 #: Leaves that the longest interval is cut into where bounds are no whole numbers; whole numbers are leaves themselves.
