@@ -7,7 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyweave.tables import in_ranges
+from tallyweave.sources.parts import write_parts
+from tallyweave.tables import in_ranges, quoted
 
 
 class Stale(ValueError):
@@ -55,8 +56,8 @@ def load_artifact(spark: SparkSession, folder: str, stage: str, version: int, in
 
 
 def publish_json(df: DataFrame, path: str) -> None:
-    """A serving table as JSON lines in one file: for tables as small as a screen loads."""
-    df.coalesce(1).write.mode("overwrite").json(path, ignoreNullFields=False)
+    """A serving table as JSON lines, in parts below the size limit that all tasks write, moved into place at once."""
+    write_parts(df.select(F.to_json(F.struct(*[quoted(c) for c in df.columns]), {"ignoreNullFields": "false"}).alias("line")), path)
 
 
 def report_or_remove(incidents: DataFrame, path: str) -> int:

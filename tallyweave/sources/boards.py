@@ -11,6 +11,7 @@ url to bytes; the default one retries transient failures with growing waits and
 
 from __future__ import annotations
 
+import hashlib
 import importlib
 import json
 import time
@@ -21,7 +22,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from tallyweave.operators.manifests import container
 from tallyweave.sources.html import TOKEN, _blocks, _read, declared_pages, token_of
@@ -134,6 +135,9 @@ class BoardReader(DataSourceReader):
         return [BoardPage(b, p) for b in self.boards for p in range(1, self._pages(b) + 1)]
 
     def read(self, partition: BoardPage) -> Iterator[tuple]:
+        yield from self.rows_of(partition)
+
+    def rows_of(self, partition: BoardPage) -> Iterator[tuple]:
         get, board = self._get(), partition.board
         url, kind = board["url"].replace("{page}", str(partition.page)), board.get("kind", "html")
         if kind == "json":
@@ -150,6 +154,37 @@ class BoardReader(DataSourceReader):
             yield board["organization"], board["name"], partition.page, k, cells
 
 
+class BoardStream(DataSourceStreamReader):
+    """A board that is listed again and again, newest page first. An offset holds, for each board, how many pages it had and a
+    digest of its first one. Pages are counted from the oldest, as new posts move the others; so a batch reads the page that was
+    the newest, and all pages since, and nothing where neither has changed.
+    """
+
+    def __init__(self, options: dict):
+        self.reader = BoardReader(options)
+
+    def initialOffset(self) -> dict:
+        return {b["name"]: [0, ""] for b in self.reader.boards}
+
+    def latestOffset(self) -> dict:
+        get = self.reader._get()
+        return {b["name"]: [self.reader._pages(b), hashlib.sha256(get(b["url"].replace("{page}", "1"))).hexdigest()] for b in self.reader.boards}
+
+    def partitions(self, start: dict, end: dict) -> list[BoardPage]:
+        out = []
+        for board in self.reader.boards:
+            (before, old), (pages, new) = start.get(board["name"], [0, ""]), end[board["name"]]
+            if (before, old) != (pages, new):
+                out += [BoardPage(board, pages - at + 1) for at in range(max(1, min(before, pages)), pages + 1)]
+        return out
+
+    def read(self, partition: BoardPage) -> Iterator[tuple]:
+        return iter(list(self.reader.rows_of(partition)))
+
+    def commit(self, end: dict) -> None:
+        """Nothing is held for batches that are done."""
+
+
 class BoardSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -161,6 +196,9 @@ class BoardSource(DataSource):
     def reader(self, schema) -> BoardReader:
         return BoardReader(self.options)
 
+    def streamReader(self, schema) -> BoardStream:
+        return BoardStream(dict(self.options))
+
 
 def json_rows(payload: Column, item: str) -> Column:
     """Items of a JSON list; null if the payload is no such list."""

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from tallyweave.functions.geo import belt_to_degrees, is_believed, scaled_degrees
 from tallyweave.functions.text import branch_of, collapse, merchant_of, plain
+from tallyweave.sources.parts import LIMIT, write_parts
 
 # Fixed value: the columns of a ledger file, in order.
 LEDGER = "record_id STRING, spent_on STRING, organization STRING, department STRING, merchant STRING, purpose STRING, amount_krw STRING, source_hash STRING, source_location STRING, repeats STRING"
 
+#: Columns that a record must have.
+REQUIRED = ("record_id", "spent_on", "organization", "merchant", "amount_krw", "source_hash", "source_location")
+
 
 def load_repeats(text: Column) -> Column:
     """`hash:location` words as an array of (source_hash, location), cut at the first colon."""
@@ -32,12 +36,18 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns(blank | {"spent_on": day, "amount_krw": F.col("amount_krw").cast("decimal(38,6)"), "repeats": load_repeats(F.col("repeats"))})
 
 
-def write_ledger(records: DataFrame, path: str) -> None:
-    """A ledger as CSV parts; each part is moved into place only when whole."""
+def write_ledger(records: DataFrame, path: str, limit: int = LIMIT) -> None:
+    """A ledger as CSV parts of at most `limit` bytes, all moved into place at once. A record without one of its REQUIRED values, or
+    larger than a part, is an error, and then nothing changes.
+    """
     names = [c.split()[0] for c in LEDGER.split(", ")]
     plain_amount = F.regexp_replace(F.col("amount_krw").cast("string"), r"(\.\d*?)0+$", "$1")
     rows = records.withColumns({"repeats": dump_repeats(F.col("repeats")), "amount_krw": F.regexp_replace(plain_amount, r"\.$", "")})
-    rows.select(*[F.col(n).cast("string") for n in names]).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
+    texts = rows.select(*[F.col(n).cast("string") for n in names])
+    lacks = F.array_join(F.filter(F.array(*[F.when(F.coalesce(F.col(n), F.lit("")) == "", F.lit(n)) for n in REQUIRED]), lambda n: n.isNotNull()), ", ")
+    line = F.to_csv(F.struct(*names), {"escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    checked = F.when(lacks == "", line).otherwise(F.raise_error(F.concat(F.lit("no record, it lacks "), lacks)).cast("string"))
+    write_parts(texts.select(checked.alias("line")), path, ",".join(names), ".csv", limit)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
