@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyweave import tables
 from tallyweave.tables import Successive, with_facts
 
 
@@ -20,9 +21,10 @@ def _stars(edges: DataFrame) -> bool:
     return above.join(edges.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count() == 0
 
 
-def _pointed(edges: DataFrame, least: DataFrame) -> DataFrame:
-    """(a, m): the least node that is linked with each edge's other end. least: a, m, and n, how many edges a has."""
-    return with_facts(edges, least, "a", "n").select(F.col("b").alias("a"), F.col("m").alias("b"))
+def _pointed(edges: DataFrame, least: DataFrame, few: bool = False) -> DataFrame:
+    """(a, m): the least node that is linked with each edge's other end. least: a, m, and n, how many edges a has. few: no node can be a hub."""
+    met = edges.join(least, "a") if few else with_facts(edges, least, "a", "n")
+    return met.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -35,12 +37,15 @@ def components(links: DataFrame) -> DataFrame:
     written, starred = Successive(), Successive()
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while not _stars(edges):
+        few = 2 * edges.count() <= tables.HOT_ROWS
         # large star: larger neighbours of a node go to its least neighbour
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
-        large = starred(_pointed(both.where("b > a"), least).distinct())
+        large = _pointed(both.where("b > a"), least, few).distinct()
+        if not few:
+            large = starred(large)
         # small star: smaller neighbours of a node, and the node, go to its least neighbour
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-        small = _pointed(large, least).union(least.select("a", F.col("m").alias("b")))
+        small = _pointed(large, least, few).union(least.select("a", F.col("m").alias("b")))
         edges = written(small.where("a <> b").distinct())
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -5,14 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyweave.tables import spare_names
+
 
 def rule_matches(records: DataFrame, rules: DataFrame, key: str, wildcards: list[str]) -> DataFrame:
-    """Record-rule pairs: `key` is equal, and each wildcard column of the rule is null or equal. An equi-join on the key."""
-    r = rules.select(*[F.col(c).alias(f"rule_{c}") for c in rules.columns])
-    on = records[key] == r[f"rule_{key}"]
-    for c in wildcards:
-        on = on & (r[f"rule_{c}"].isNull() | (r[f"rule_{c}"] == records[c]))
-    return records.join(r, on)
+    """Record-rule pairs: `key` is equal, and each wildcard column of the rule is null or equal.
+
+    Rules are told apart by the set of columns that they declare; of the sets that occur (at most 2 to the power of the
+    wildcards) a record asks each for its own values: one equi-join, in which a record meets only rules that apply to it.
+    """
+    own = spare_names([*records.columns, *[f"rule_{c}" for c in rules.columns]], "_declares", "_asked")
+    declared = lambda row: F.concat(*[F.when(row(c).isNotNull(), "1").otherwise("0") for c in wildcards]) if wildcards else F.lit("")
+    sets = [r["s"] for r in rules.select(declared(F.col).alias("s")).distinct().collect()]
+    r = rules.select(*[F.col(c).alias(f"rule_{c}") for c in rules.columns]).withColumn(own[0], declared(lambda c: F.col(f"rule_{c}")))
+    asking = records.withColumn(own[1], F.explode(F.array(*[F.lit(s) for s in sets]) if sets else F.array().cast("array<string>")))
+    on = (asking[key] == r[f"rule_{key}"]) & (asking[own[1]] == r[own[0]])
+    for k, c in enumerate(wildcards, 1):
+        on = on & F.when(F.substring(asking[own[1]], k, 1) == "1", asking[c]).eqNullSafe(r[f"rule_{c}"])
+    return asking.join(r, on).drop(*own)
 
 
 def specificity(columns: list[str], weights: dict[str, int] | None = None) -> Column:

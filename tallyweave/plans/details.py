@@ -125,6 +125,14 @@ def won_texts(spark, sf_dir):
     return o.select("o_orderkey", amounts.format_won(F.col("a")).alias("shown"))
 
 
+@query("SELECT o_orderkey, format('{:,}', CAST(round_even(CAST(floor(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) + CASE o_orderkey % 3 WHEN 0 THEN 0.5e0 WHEN 1 THEN 0.25e0 ELSE 0.75e0 END, 0) AS BIGINT)) || '원' AS shown FROM orders")
+def won_ties(spark, sf_dir):
+    """Amounts halfway between two whole ones go to the even one."""
+    o = table(spark, sf_dir, "orders")
+    more = F.when(F.col("o_orderkey") % 3 == 0, "0.5").when(F.col("o_orderkey") % 3 == 1, "0.25").otherwise("0.75").cast("decimal(18,2)")
+    return o.select("o_orderkey", amounts.format_won(F.floor(F.col("o_totalprice").cast("decimal(18,2)")) + more).alias("shown"))
+
+
 @query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'open' END AS state FROM orders")
 def record_states(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", services.record_state(F.col("o_orderstatus"), {"F": "done", "O": "open"}).alias("state"))

@@ -254,11 +254,34 @@ r AS (SELECT doc_id AS source, i - 1 AS location, md5(trim(lines[i])) AS expense
 SELECT CAST(r.source AS VARCHAR) || ':' || CAST(location AS VARCHAR) AS record, lpad(CAST(r.source AS VARCHAR), 19, '0') AS source, r.expense, CAST(total - kept AS INT) AS n_repeats FROM r JOIN best b ON b.expense = r.expense AND b.keeper = r.source""")
 def repost_with_confirmations(spark, sf_dir):
     """Of the expenses of several sources, those whose digest begins with 0 are declared the same, those with 1 separate, in their two least sources."""
+    kept, _ = _confirmed_merge(spark, sf_dir)
+    return kept.select("record", "source", "expense", F.size("repeats").alias("n_repeats"))
+
+
+def _confirmed_merge(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     records, sources = _records(spark, sf_dir), _sources(spark, sf_dir)
     several = records.select("expense", "source").distinct().groupBy("expense").agg(F.array_sort(F.collect_set("source")).alias("s")).where("size(s) = 2 and substr(expense, 1, 1) in ('0', '1')")
     said = several.select("expense", F.when(F.substring("expense", 1, 1) == "0", "same_expense").otherwise("separate_expenses").alias("decision"), F.col("s").alias("sources"))
-    kept, _ = reposts.merge_repeats(records, sources, said)
-    return kept.select("record", "source", "expense", F.size("repeats").alias("n_repeats"))
+    return reposts.merge_repeats(records, sources, said)
+
+
+#: As _CLOSED and _KEPT, of the pairs of the rule alone.
+_BY_RULE = """, auto_links AS (SELECT x.expense, r.a, r.b FROM rule r JOIN lines x ON x.source = r.a JOIN lines y ON y.source = r.b AND y.expense = x.expense),
+auto_both AS (SELECT expense, a, b FROM auto_links UNION ALL SELECT expense, b, a FROM auto_links),
+auto_reach AS (SELECT expense, source, source AS other FROM lines UNION SELECT r.expense, r.source, l.b FROM auto_reach r JOIN auto_both l ON l.expense = r.expense AND l.a = r.other),
+auto_comp AS (SELECT expense, source, min(other) AS component FROM auto_reach GROUP BY 1, 2),
+auto_best AS (SELECT c.expense, c.component, max(n) AS kept, sum(n) AS total FROM auto_comp c JOIN lines l ON l.expense = c.expense AND l.source = c.source GROUP BY 1, 2)"""
+
+
+@query(f"""WITH RECURSIVE {_LINES.split(chr(10))[0].rstrip(",")}, {_CONFIRMED}, {_CLOSED.split(chr(10), 1)[1]}{_KEPT}{_BY_RULE},
+e AS (SELECT expense, sum(n) AS total, max(n) AS most FROM lines GROUP BY 1), d AS (SELECT expense, sum(total - kept) AS dropped FROM best GROUP BY 1), ad AS (SELECT expense, sum(total - kept) AS automatic FROM auto_best GROUP BY 1),
+p AS (SELECT s.expense, sum(kept) - max(kept) AS separated FROM said s JOIN best b ON s.d = '1' AND b.expense = s.expense AND b.keeper IN (s.a, s.b) GROUP BY 1),
+f0 AS (SELECT e.*, dropped, CASE WHEN s.expense IS NOT NULL THEN automatic ELSE dropped END AS merged, coalesce(separated, 0) AS separated FROM e JOIN d ON d.expense = e.expense JOIN ad ON ad.expense = e.expense LEFT JOIN said s ON s.expense = e.expense AND s.d = '0' LEFT JOIN p ON p.expense = e.expense),
+f AS (SELECT merged, dropped - merged AS confirmed, separated, total - dropped - most - separated AS unmerged FROM f0)
+SELECT {", ".join(f"CAST(count(*) FILTER ({c} > 0) AS BIGINT) AS {n}_expenses, CAST(coalesce(sum({c}), 0) AS BIGINT) AS {n}_records" for c, n in (("merged", "merged"), ("unmerged", "unmerged"), ("confirmed", "confirmed"), ("separated", "separate")))} FROM f""")
+def repost_tally_confirmed(spark, sf_dir):
+    """What was merged by the rule, left, merged by confirmations, and kept apart by them."""
+    return _confirmed_merge(spark, sf_dir)[1]
 
 
 @query(f"WITH {_LINES} SELECT source, expense, n FROM lines WHERE n > 1")

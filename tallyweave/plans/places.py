@@ -244,7 +244,11 @@ def html_links(spark, sf_dir):
     return p.select("page_id", F.explode(html.href_column("html")).alias("href")).groupBy("page_id", "href").agg(F.count("*").alias("n"))
 
 
-@query()
+#: Comments, scripts and styles go with what they hold; tags part words; the entities that pages use.
+_PAGE_TEXT = r"""trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g'))"""
+
+
+@query(rf"SELECT page_id, CAST(len(regexp_extract_all(html, '<a [^>]*href=')) AS INTEGER) AS links, {_PAGE_TEXT} AS text FROM pages")
 def html_text(spark, sf_dir):
     parsed = html.parse_pages(table(spark, sf_dir, "pages").select("page_id", "html"))
     return parsed.select("page_id", F.size("links").alias("links"), "text")

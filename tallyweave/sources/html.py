@@ -224,10 +224,12 @@ def page_count(html: Column) -> Column:
 
 
 def posted_on(text: Column) -> Column:
-    """Date of a listing's date cell (`2026-03-04`, `2026.03.04`, `26/03/04`); null if there is none."""
+    """Date of a listing's date cell (`2026-03-04`, `2026.03.04`, `26/03/04`); null if there is none, an error if it is an impossible one."""
     y, m, d = (F.regexp_extract(text, r"(\d{4}|\d{2})[-./](\d{1,2})[-./](\d{1,2})", k) for k in (1, 2, 3))
     year = F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y)
-    return F.when(y != "", F.try_to_date(F.concat_ws("-", year, F.lpad(m, 2, "0"), F.lpad(d, 2, "0"))))
+    day = F.try_to_date(F.concat_ws("-", year, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")))
+    impossible = F.raise_error(F.concat(F.lit("an impossible posting date: "), text)).cast("date")
+    return F.when(y != "", F.when(day.isNotNull(), day).otherwise(impossible))
 
 
 def url_parameter(url: Column, name: str) -> Column:

@@ -210,6 +210,14 @@ def test_listing_stream(spark, tmp_path):
     assert sorted(r["post_id"] for r in spark.read.parquet(ledger).collect()) == ["a", "c"]
 
 
+def test_impossible_posting_dates_are_errors(spark):
+    cells = lambda *v: spark.createDataFrame([(x,) for x in v], "v string").select(html.posted_on(F.col("v")).alias("d"))
+    assert [str(r["d"]) for r in cells("등록 2026-02-28", "26.3.4", "none", None).collect()] == ["2026-02-28", "2026-03-04", "None", "None"]
+    for bad in ("2026-02-30", "26/13/01", "2026.00.10"):
+        with pytest.raises(Exception, match="impossible posting date"):
+            cells(bad).collect()
+
+
 def test_event_windows_stream(spark, tmp_path):
     from tests.conftest import DATA
 
