@@ -8,6 +8,8 @@ from urllib.parse import unquote, urlsplit
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from tallyweave.tables import cut_lineage
 from pyspark.sql.types import StringType
 
 # The first bytes of containers, in the order of trial; a spreadsheet marker within the first 4096 bytes.
@@ -43,6 +45,40 @@ def manifest_difference(expected: DataFrame, present: DataFrame) -> DataFrame:
     return met.select("path", problem.alias("problem")).where("problem is not null")
 
 
+#: Paths that a leaf of a manifest's hash tree has, about; leaves of the coarse level.
+LEAF_PATHS, COARSE_LEAVES = 8, 4096
+
+
+def _leaf_digests(rows: DataFrame, leaf: str) -> DataFrame:
+    """One row for each leaf: sums and XORs of its rows' hashes, which partial aggregates meet without moving rows."""
+    h = F.xxhash64("path", "sha256")
+    return rows.groupBy(leaf).agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64("sha256", "path", F.lit(1))).alias("y"))
+
+
+def _differing(left: DataFrame, right: DataFrame, leaf: str) -> DataFrame:
+    """Leaves whose digests differ, or that one side lacks."""
+    x, y = (_leaf_digests(side, leaf) for side in (left, right))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ("n", "x", "y")]
+    met = x.alias("l").join(y.alias("r"), leaf, "full")
+    return met.where(~(same[0] & same[1] & same[2])).select(leaf)
+
+
+def manifest_difference_by_tree(expected: DataFrame, present: DataFrame) -> DataFrame:
+    """As manifest_difference, through a hash tree of two levels: only rows of leaves that differ meet in a join.
+
+    A path's leaf is given by its hash. A leaf holds about LEAF_PATHS paths, so where one path in a thousand differs, less than one
+    row in a hundred is joined; a coarse leaf that is equal on both sides is not looked into. Digests are two 64-bit XORs and a
+    count: leaves that differ and have equal digests are as unlikely as a collision of 128 bits. Both: path (distinct), sha256; read
+    three times, so they should be written tables.
+    """
+    hashed = [side.select("path", "sha256").withColumn("_h", F.xxhash64("path")).withColumn("_coarse", F.pmod("_h", F.lit(COARSE_LEAVES))) for side in (expected, present)]
+    coarse = _differing(*hashed, "_coarse")  # at most COARSE_LEAVES
+    leaves = max(1, expected.count() // LEAF_PATHS)
+    fine = [side.join(F.broadcast(coarse), "_coarse", "left_semi").withColumn("_leaf", F.pmod(F.xxhash64("_h"), F.lit(leaves))) for side in hashed]
+    open_ = cut_lineage(_differing(*fine, "_leaf"))
+    return manifest_difference(*[side.join(open_, "_leaf", "left_semi").select("path", "sha256") for side in fine])
+
+
 def oversized(files: DataFrame, most: int) -> DataFrame:
     return files.where(F.col("bytes") > most)
 

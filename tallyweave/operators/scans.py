@@ -38,11 +38,16 @@ def upper_medians(values: DataFrame, keys: list[str], column: str) -> DataFrame:
     return small.groupBy(*keys).agg(median.alias("median")).unionByName(placed.withColumnRenamed("value", "median"))
 
 
+def _magnitude(x: Column) -> Column:
+    """Ascends with a double, by its sign and logarithm: values of all sizes lie about evenly."""
+    return F.when(x > 0, 750 + F.log(x)).when(x < 0, -750 - F.log(-x)).otherwise(0.0)
+
+
 def at_places(values: DataFrame, keys: list[str], column: str, places: DataFrame) -> DataFrame:
     """keys, value: the value at `place` (from 0) of the sorted values of each key. places: keys, place. values: a written table.
 
     Each round counts the rows left by bin, in a single pass, and goes on with the rows of the bin that holds the place, between its
-    own least and greatest value; bins are of equal width and of equal ratio in turn, so few rounds do whatever the values are.
+    own least and greatest value; bins are of equal width and of equal ratio in turn, so a few rounds do for values of any size.
     """
     kind = values.schema[column].dataType
     value = quoted(column)
@@ -53,9 +58,9 @@ def at_places(values: DataFrame, keys: list[str], column: str, places: DataFrame
     turn = 0
     while not state.where("low < high").isEmpty():
         low, high, v = (F.col(c).cast("double") for c in ("low", "high", "v"))
-        share = (v - low) / (high - low)
         if turn % 2:
-            share = F.log1p(share * 2.0**40) / F.log1p(F.lit(2.0**40))
+            low, high, v = _magnitude(low), _magnitude(high), _magnitude(v)
+        share = (v - low) / F.greatest(high - low, F.lit(5e-324))
         inner = 1 + F.least(F.lit(BINS - 3), F.greatest(F.lit(0), F.floor(share * (BINS - 2))))
         bin_ = F.when(F.col("v") == F.col("low"), 0).when(F.col("v") == F.col("high"), BINS - 1).otherwise(inner).alias("bin")
         open_ = state.where("low < high")

@@ -289,11 +289,21 @@ def container_sniff(spark, sf_dir):
 @query("""WITH x AS (SELECT doc_id AS path, md5(text) AS h FROM documents WHERE doc_id % 10 <> 3), y AS (SELECT doc_id AS path, md5(CASE WHEN doc_id % 10 = 4 THEN text || '!' ELSE text END) AS h FROM documents WHERE doc_id % 10 <> 5)
 SELECT coalesce(x.path, y.path) AS path, CASE WHEN y.path IS NULL THEN 'missing' WHEN x.path IS NULL THEN 'unexpected' ELSE 'changed' END AS problem FROM x FULL JOIN y ON x.path = y.path WHERE x.path IS NULL OR y.path IS NULL OR x.h <> y.h""")
 def manifest_diff(spark, sf_dir):
+    return manifests.manifest_difference(*_manifests(spark, sf_dir))
+
+
+@query(SQL["manifest_diff"])
+def manifest_diff_by_tree(spark, sf_dir):
+    """The same through the hash tree of both manifests."""
+    return manifests.manifest_difference_by_tree(*_manifests(spark, sf_dir))
+
+
+def _manifests(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), "text")
     digest = lambda c: F.md5(c.cast("binary")).alias("sha256")
     wanted = d.where("path % 10 <> 3").select("path", digest(F.col("text")))
     found = d.where("path % 10 <> 5").select("path", digest(F.when(F.col("path") % 10 == 4, F.concat("text", F.lit("!"))).otherwise(F.col("text"))))
-    return manifests.manifest_difference(wanted, found)
+    return wanted, found
 
 
 @query("""SELECT conv_id, bool_or(role = 'system') AS any_system, bool_and(length(text) > 20) AS all_long, CAST(count(*) FILTER (role = 'user') AS BIGINT) AS user_turns, count(DISTINCT role) <> count(*) AS repeated_role FROM conversations GROUP BY conv_id""")

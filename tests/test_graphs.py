@@ -83,3 +83,23 @@ def test_facts_of_hot_keys(spark, monkeypatch):
     held = {r["k"]: r for r in facts.collect()}
     want = sorted(((r["k"], r["_key"], held[r["k"]]["n"], held[r["k"]]["_own"]) for r in rows.collect() if r["k"] in held), key=str)
     assert found == want and len(found) == 199
+
+
+def test_manifests_differ_by_tree(spark, monkeypatch):
+    """One path in a thousand differs: under a hundredth of the rows is joined; nulls and tables without a row."""
+    from tallyweave.operators import manifests
+
+    n = 40_000
+    wanted = spark.range(n).select(F.concat(F.lit("p/"), "id").alias("path"), F.md5(F.col("id").cast("string").cast("binary")).alias("sha256"))
+    k = F.substring("path", 3, 9).cast("int")
+    found = wanted.withColumn("sha256", F.when(k % 2000 == 7, "other").otherwise(F.col("sha256"))).where(k % 4000 != 3999).union(spark.createDataFrame([("new", "x"), ("new 2", None)], "path string, sha256 string"))
+    joined = []
+    plain = manifests.manifest_difference
+    monkeypatch.setattr(manifests, "manifest_difference", lambda x, y: joined.append((x, y)) or plain(x, y))
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(manifests.manifest_difference_by_tree(wanted, found)) == rows(plain(wanted, found))
+    assert sum(side.count() for side in joined[0]) < 0.01 * 2 * n
+    none = wanted.limit(0)
+    assert manifests.manifest_difference_by_tree(none, none).count() == 0
+    few = wanted.limit(3)
+    assert rows(manifests.manifest_difference_by_tree(none, few)) == rows(plain(none, few))
