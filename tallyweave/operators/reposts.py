@@ -99,28 +99,33 @@ def repost_links(counts: DataFrame) -> DataFrame:
     return links.union(stars)
 
 
-def _links_of_expenses(counts: DataFrame, pairs: DataFrame) -> DataFrame:
+def _links_of_expenses(counts: DataFrame, pairs: DataFrame, *row: str) -> DataFrame:
     """expense, a, b: the expenses that both sources of a pair carry. pairs: (a, b), or (expense, a, b) for one expense only.
 
-    The sources b are looked up first, as a may be the head of very many pairs; a head's expenses are then facts.
+    row: a column of `counts`, which is given as <row>_a and <row>_b. The sources b are looked up first, as a may be the head of very
+    many pairs; a head's expenses are then facts.
     """
     keyed = ["expense"] if "expense" in pairs.columns else []
-    carried = pairs.join(counts.select(F.col("source").alias("b"), "expense"), ["b", *keyed]).select("expense", "a", "b", F.struct("a", "expense").alias("head"))
+    carried = pairs.join(counts.select(F.col("source").alias("b"), "expense", *[F.col(r).alias(f"{r}_b") for r in row]), ["b", *keyed])
+    carried = carried.select("expense", "a", "b", *[f"{r}_b" for r in row], F.struct("a", "expense").alias("head"))
     heads = carried.groupBy("head").agg(F.count("*").alias("n"))
-    known = counts.select(F.struct(F.col("source").alias("a"), "expense").alias("head"))
-    return with_facts(carried, heads.join(known, "head", "left_semi"), "head", "n").select("expense", "a", "b")
+    known = counts.select(F.struct(F.col("source").alias("a"), "expense").alias("head"), *[F.col(r).alias(f"{r}_a") for r in row])
+    return with_facts(carried, heads.join(known, "head"), "head", "n").select("expense", "a", "b", *[f"{r}_{side}" for r in row for side in "ab"])
 
 
 def expense_components(counts: DataFrame, pairs: DataFrame) -> DataFrame:
     """expense, source, component (its least source): components of the pairs among the sources of each expense.
 
-    pairs: (a, b), or (expense, a, b) for pairs of one expense only. Nodes are (expense, source), so the star steps close all
-    expenses at once, and the sources of one are spread over all tasks.
+    pairs: (a, b), or (expense, a, b) for pairs of one expense only. Nodes are numbers of the rows (expense, source), so the star
+    steps close all expenses at once, and the sources of one are spread over all tasks.
     """
-    node = lambda c: F.struct(F.col("expense").alias("expense"), F.col(c).alias("source"))
-    found = components(_links_of_expenses(counts, pairs).select(node("a").alias("a"), node("b").alias("b")))
-    linked = found.select("node.expense", "node.source", F.col("component.source").alias("component"))
-    return counts.select("expense", "source").join(linked, ["expense", "source"], "left").withColumn("component", F.coalesce("component", "source"))
+    numbered = cut_lineage(counts.select("expense", "source", F.monotonically_increasing_id().alias("row")))
+    found = components(_links_of_expenses(numbered, pairs, "row").select(F.col("row_a").alias("a"), F.col("row_b").alias("b")))
+    hung = found.union(found.select(F.col("component").alias("node"), "component").distinct())
+    members = numbered.join(hung, F.col("row") == F.col("node")).select("row", "source", F.col("component").alias("group"))
+    least = members.groupBy("group").agg(F.min("source").alias("component"), F.count("*").alias("n"))
+    linked = with_facts(members.drop("source"), least, "group", "n").select("row", "component")
+    return numbered.join(linked, "row", "left").select("expense", "source", F.coalesce("component", "source").alias("component"))
 
 
 def confirmed_pairs(confirmations: DataFrame) -> DataFrame:

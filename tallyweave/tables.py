@@ -111,7 +111,7 @@ def in_ranges(df: DataFrame, order: list, part: str) -> DataFrame:
 
 
 #: A key is hot if it has more than one in HOT_SHARE of all rows, and more than HOT_ROWS.
-HOT_SHARE, HOT_ROWS = 1000, 10_000
+HOT_SHARE, HOT_ROWS = 1000, 100_000
 
 
 def with_facts(rows: DataFrame, facts: DataFrame, key: str, n: str) -> DataFrame:
