@@ -5,6 +5,7 @@ import math
 
 import pytest
 
+from tallyweave import tables
 from tallyweave.llm import codes, queries
 from tests.conftest import DATA
 
@@ -77,8 +78,9 @@ def test_large_components_saturate(spark):
     assert all(r["error"] == 0 for r in found)
 
 
-def test_hot_label(spark):
+def test_hot_label(spark, monkeypatch):
     """A label with nearly all rows is looked up through a broadcast; rare ones by a shuffle."""
+    monkeypatch.setattr(tables, "HOT_ROWS", 50)
     rows = [(k, [k % 7 / 8.0] * 16, "hot" if k % 50 else f"rare{k}") for k in range(5000)]
     found = codes.compress_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string"), entries=3)
     assert ran(found) == sorted(plain(rows, entries=3), key=str)
