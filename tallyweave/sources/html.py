@@ -64,10 +64,15 @@ def _read(html: str | None) -> _Reader:
     return reader
 
 
-def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
+#: An ampersand that begins a character reference without a semicolon, as where a text was cut off.
+_UNENDED = re.compile(r"&(?=#?[0-9A-Za-z]+(?![0-9A-Za-z;]))")
+
+
+def parse_pages(pages: DataFrame, html: str = "html", ended: bool = False) -> DataFrame:
     """Adds links (array of href, text), text (body, white space collapsed) and table_rows (array of cell arrays).
 
-    A null page has no links, rows or text.
+    A null page has no links, rows or text. ended: only character references that end with a semicolon are read; browsers
+    read some that don't (`&amp`), which else holds here too.
     """
     schema = pa.struct([("links", pa.list_(pa.struct([("href", pa.string()), ("text", pa.string())]))), ("text", pa.string()), ("table_rows", pa.list_(pa.list_(pa.string())))])
 
@@ -75,7 +80,7 @@ def parse_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     def parsed(values: pa.Array) -> pa.Array:
         out = []
         for value in values.to_pylist():
-            r = _read(value)
+            r = _read(_UNENDED.sub("&amp;", value) if ended and value else value)
             out.append({"links": [{"href": h, "text": " ".join(t.split())} for h, t in r.links], "text": " ".join(r.words), "table_rows": [x for x in r.rows if x]})
         return pa.array(out, schema)
 
