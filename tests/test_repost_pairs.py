@@ -51,3 +51,41 @@ def test_pairs_are_not_shuffled(spark, monkeypatch):
     plan = reposts.repost_pairs(table(spark, carried(1)))._jdf.queryExecution().optimizedPlan().toString()
     short = plan[: plan.index("Aggregate")] if "Aggregate" in plan else plan
     assert "array_intersect" in short and "Distinct" not in short
+
+
+@pytest.mark.parametrize(("narrow", "seed"), [(8, 1), (1, 2), (3, 3)])
+def test_components_without_pairs(spark, monkeypatch, narrow, seed):
+    """Narrow lines by pairs, wide ones by stars."""
+    monkeypatch.setattr(reposts, "NARROW", narrow)
+    monkeypatch.setattr(reposts, "BLOCK", 5)
+    held = carried(seed)
+    pairs = by_hand(held)
+    want = {}
+    for e in {e for c in held.values() for e in c}:
+        of = {s: s for s in held if e in held[s]}
+        for _ in of:
+            for a, b in pairs:
+                if a in of and b in of:
+                    of[a] = of[b] = min(of[a], of[b])
+        want |= {(e, s): c for s, c in of.items()}
+    found = reposts.repost_components(table(spark, held)).collect()
+    assert {(r["expense"], r["source"]): r["component"] for r in found} == want and len(found) == len(want)
+
+
+@pytest.mark.parametrize(("narrow", "seed"), [(8, 5), (1, 6), (1, 7)])
+def test_confirmations_of_many_pairs(spark, monkeypatch, narrow, seed):
+    """Many separated pairs, also of the sources that stars would hang on; no pairs are made of all sources of a line."""
+    from tests.test_operators import merged, plain_merge
+
+    monkeypatch.setattr(reposts, "NARROW", narrow)
+    monkeypatch.setattr(reposts, "repost_pairs", None)
+    held = {f"s{k:02d}": c for k, c in carried(seed, 30).items()}
+    records = [(f"{s}-{e}-{i}", s, e, f"{e}-{i}") for s, c in held.items() for e, n in c.items() for i in range(n)]
+    rng, said = random.Random(seed), []
+    for e in sorted({e for c in held.values() for e in c}):
+        of = sorted(s for s in held if e in held[s])
+        if len(of) > 2 and rng.random() < 0.7:
+            said.append((e, rng.choice(["same_expense", "separate_expenses", "separate_expenses"]), of[: rng.randint(2, len(of))]))
+    kept, tally = merged(spark, records, {s: None for s in held}, said)
+    want, counts = plain_merge(records, {s: None for s in held}, said)
+    assert kept == want and tally == counts and len(said) > 7
