@@ -19,6 +19,11 @@ DECLARED_PERIOD = (
     rf"(?:([1-4])\s*/\s*4\s*분기|([1-4]){_RANGE}([1-4])\s*분기|([1-4])\s*분기"
     rf"|(1[0-2]|[1-9])\s*월?{_RANGE}(1[0-2]|[1-9])\s*월|(1[0-2]|[1-9])\s*월|([상하])\s*반기)?"
 )
+#: Full, tight and short notation, in this order; groups of year, month and day.
+_NOTATIONS = (
+    r"(?Us)^['‘’`]*(?:(\d{4})\s*[-./년]\s*(\d{1,2})\s*[-./월]\s*(\d{1,2})(?!\d)|(20\d{2})(\d{2})(\d{2})(?!\d)"
+    r"|(\d{2})\s*[-./]\s*(\d{1,2})\s*[-./]\s*(\d{1,2})(?!\d)).*$"
+)
 # End of fixed values.
 
 
@@ -67,13 +72,12 @@ def _parts(text: Column, pattern: str, n: int) -> list[Column]:
 
 def parse_date_text(text: Column, year_hint: Column | None = None) -> Column:
     """Date of a text: `2026.3.4`, `2026년 3월 4일`, `20260304`, `26-3-4`; `3.4` with a year hint. The first notation that fits decides."""
-    raw = F.regexp_replace(text, "^['‘’`]+", "")
-    full = _parts(raw, r"^(\d{4})\s*[-./년]\s*(\d{1,2})\s*[-./월]\s*(\d{1,2})(?!\d)", 3)
-    tight = _parts(raw, r"^(20\d{2})(\d{2})(\d{2})(?!\d)", 3)
-    short = _parts(raw, r"^(\d{2})\s*[-./]\s*(\d{1,2})\s*[-./]\s*(\d{1,2})(?!\d)", 3)
-    out = F.when(full[0].isNotNull(), _made(*full)).when(tight[0].isNotNull(), _made(*tight)).when(short[0].isNotNull(), _made(short[0] + CENTURY, short[1], short[2]))
+    # one replacement finds all notations, as this is computed for every row: what fits becomes =year-month-day
+    said = F.regexp_replace(text, _NOTATIONS, "=$1$4$7-$2$5$8-$3$6$9")
+    day = F.concat(F.when(F.substring(said, 4, 1) == "-", str(CENTURY // 100)).otherwise(""), F.substring(said, 2, 10)).try_cast("date")
+    out = F.when(said != text, day)
     if year_hint is not None:
-        partial = _parts(raw, r"^(\d{1,2})\s*[-./월]\s*(\d{1,2})(?!\d)", 2)
+        partial = _parts(F.regexp_replace(text, "^['‘’`]+", ""), r"^(\d{1,2})\s*[-./월]\s*(\d{1,2})(?!\d)", 2)
         out = out.when(year_hint.isNotNull() & partial[0].isNotNull(), _made(year_hint, *partial))
     return out
 

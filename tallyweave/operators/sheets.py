@@ -40,19 +40,20 @@ def tight_cells(cells: Column) -> Column:
     return F.transform(cells, lambda c: F.regexp_replace(c, r"(?U)\s+", ""))
 
 
-def row_kind(cells: Column, columns: Column, headers: Column, tight: Column, joined: Column) -> Column:
+def row_kind(cells: Column, columns: Column, headers: Column, line: Column, joined: Column) -> Column:
     """blank, header, subtotal, unclear_total, total, note or candidate; the first that fits.
 
-    headers: array of header rows, each its tight cells joined by U+0001. tight, joined: columns of the tight cells and of
-    all their text, so that they are computed once.
+    headers: array of header rows, each its tight cells joined by U+0001. line, joined: columns of the row's own tight cells
+    joined so, and without a mark, so that they are computed once. Single cells are tightened only where they may be labels.
     """
+    tight = tight_cells(cells)
     # all labels of totals have this letter, which few rows hold
     summed = joined.contains("계")
     empty = lambda *roles: F.array_size(F.filter(F.array(*[_cell(cells, columns, r) for r in roles]), lambda c: c.isNotNull() & (c != ""))) == 0
     identity = ("spent_on", "month", "day", "merchant")
     return (
         F.when(~joined.rlike("[0-9A-Za-z가-힣]") | joined.rlike(f"^(?:{TERMINATOR})$"), "blank")
-        .when(F.array_contains(headers, F.array_join(tight, "\u0001")), "header")
+        .when(F.array_contains(headers, line), "header")
         .when(summed & _any(tight, SUBTOTAL), "subtotal")
         .when(summed & _any(tight, UNCLEAR_TOTAL), "unclear_total")
         .when((joined.contains("건") & count_in(cells).isNotNull() & empty(*identity)) | (summed & _any(tight, TOTAL)), "total")
@@ -67,16 +68,16 @@ def classify_rows(rows: DataFrame, mappings: DataFrame) -> DataFrame:
     Rows above data_start are of section 0; an expense there fails its sheet (kind `early_candidate`).
     """
     base = rows.join(mappings.where("layout = 'table'"), ["source", "sheet"])
-    base = base.withColumn("_tight", tight_cells(F.col("cells"))).withColumn("_joined", F.array_join("_tight", ""))
+    base = base.withColumn("_line", F.regexp_replace(F.array_join("cells", "\u0001"), r"(?U)\s+", "")).withColumn("_joined", F.replace("_line", F.lit("\u0001"), F.lit("")))
     # rows meet their mapping by (source, sheet); both windows keep that dealing and one sort
     sheet = Window.partitionBy("source", "sheet").orderBy("row")
     whole = sheet.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    own = F.when(F.array_contains("header_rows", F.col("row")), F.array_join("_tight", "\u0001"))
+    own = F.when(F.array_contains("header_rows", F.col("row")), F.col("_line"))
     base = base.withColumn("headers", F.collect_set(own).over(whole)).where(F.col("row") > F.coalesce(F.array_max("header_rows"), F.lit(0)))
-    kind = row_kind(F.col("cells"), F.col("columns"), F.col("headers"), F.col("_tight"), F.col("_joined"))
+    kind = row_kind(F.col("cells"), F.col("columns"), F.col("headers"), F.col("_line"), F.col("_joined"))
     base = base.withColumn("kind", kind).withColumn("kind", F.when((F.col("row") < F.col("data_start")) & (F.col("kind") == "candidate"), "early_candidate").otherwise(F.col("kind")))
     starts = ((F.col("kind") == "header") & (F.col("row") >= F.col("data_start"))).cast("int")
-    return base.withColumn("section", F.sum(starts).over(sheet)).drop("headers", "_tight", "_joined")
+    return base.withColumn("section", F.sum(starts).over(sheet)).drop("headers", "_line", "_joined")
 
 
 def typed_rows(classified: DataFrame) -> DataFrame:
