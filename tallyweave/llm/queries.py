@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweave.llm.common import crc_mod, read_table
+from tallyweave.llm.common import crc_mod, cut_lineage, read_table
 
 
 def tokenizer_path() -> str:
@@ -26,12 +26,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tallyweave.llm.quality import CUT_SCORE, fit_quality_model, score_quality
+    from tallyweave.llm.quality import CUT_SCORE, describe, fit_described, score_described
 
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = crc_mod("doc_id", 5) == 0
-    model = fit_quality_model(docs, labels.where(~held_out))
-    scored = score_quality(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    described = cut_lineage(describe(docs.select("doc_id", held_out.alias("held_out"), "text")).drop("text"))
+    model = fit_described(described, labels.where(~held_out))
+    scored = score_described(described, model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= CUT_SCORE).cast("int").alias("predicted"))
 
 

@@ -166,3 +166,29 @@ def test_quality_query_by_hand(spark):
         z = sum(min(6, max(-6, (x - m) / s)) * v for x, m, s, v in zip(found, model.mean, model.scale, model.weight, strict=True))
         want = 1 / (1 + np.exp(-(z - model.cut + np.log(0.3 / 0.7))))
         assert abs(r["score"] - want) < 1e-6
+
+
+def test_quality_is_learned_from_all_labelled_rows(spark):
+    """Mean, scale, weights and cut against all 9,000 labelled rows, and all pairs of them, in numpy."""
+    rng = random.Random(5)
+    rows = []
+    for k in range(9000):
+        good = rng.random() < 0.7
+        words = ["".join(rng.choice("abcAB1!,") for _ in range(rng.randint(1, 5 + good))) for _ in range(rng.randint(1, 9))]
+        rows.append((k, ("\n" if rng.random() < 0.3 else " ").join(words), int(good)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    model = quality.fit_quality_model(docs, labels)
+    x, y = np.array([quality.features(r[1].encode()) for r in rows]), np.array([r[2] for r in rows])
+    assert np.allclose(model.mean, x.mean(0), atol=1e-6) and np.allclose(model.scale, x.std(0) + 1e-6, atol=1e-6)
+    x = np.clip((x - model.mean) / model.scale, -6, 6)
+    s, bad = np.sort(x @ model.weight), int((y == 0).sum())
+    assert s[bad - 1] - 2e-6 <= model.cut <= s[bad] + 2e-6
+
+    def slope(w):
+        lost = 1 / (1 + np.exp((x[y == 1] @ w)[:, None] - x[y == 0] @ w))
+        return (lost.sum(0) @ x[y == 0] - lost.sum(1) @ x[y == 1]) / lost.size + 1e-4 * w
+
+    assert np.abs(slope(model.weight)).max() < 1e-4 and np.abs(slope(np.zeros_like(model.weight))).max() > 0.05
+    again = quality.fit_quality_model(docs.repartition(3), labels.repartition(2))
+    assert again.cut == model.cut and all((getattr(again, c) == getattr(model, c)).all() for c in ("mean", "scale", "weight"))
